@@ -61,14 +61,6 @@ def risk_band(score: Column) -> Column:
     return band
 
 
-def band_rank(band: Column) -> Column:
-    """Position of a risk band, best first; other labels come last."""
-    rank = F.lit(len(RISK_BANDS))
-    for i, (label, _, _) in reversed(list(enumerate(RISK_BANDS))):
-        rank = F.when(band == label, F.lit(i)).otherwise(rank)
-    return rank
-
-
 def percent_text(p: Column) -> Column:
     return F.format_string("%.2f%%", p * 100)
 

@@ -73,7 +73,10 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     def at(rank: Column) -> Column:
         return F.max(F.when((below < rank) & (F.col("upto") >= rank), F.col("value")))
 
-    medians = ranked.groupBy("i").agg(((at(first) + at(last)) / 2).alias("median"))
+    missed = F.raise_error("the bracket misses the median").cast("double")
+    medians = ranked.groupBy("i").agg(
+        F.coalesce((at(first) + at(last)) / 2, missed).alias("median")
+    )
     return every.join(medians, "i", "left").select("feature", "median")
 
 

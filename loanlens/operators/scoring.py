@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
 from typing import Protocol
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +13,6 @@ from loanlens.config import LOAN_ID, NUMERIC_FEATURES, REQUEST_DEFAULTS, RISK_BA
 from loanlens.functions.bands import (
     age_band,
     age_indicators,
-    band_rank,
     income_band,
     income_indicators,
     pd_to_score,
@@ -181,26 +182,32 @@ def _names(scores: DataFrame) -> tuple[str, str]:
 
 
 def band_summary(scores: DataFrame) -> DataFrame:
-    """Loans, share (percent) and mean probability (percent) of the bands that occur."""
+    """Loans, share (percent) and mean probability (percent) of the bands that occur.
+
+    One aggregate with a count and a mean per band; its single row is reshaped.
+    """
     p, _ = _names(scores)
-    counts = scores.groupBy("risk_band").agg(
-        F.count(F.lit(1)).alias("count"), F.avg(p).alias("mean")
-    )
-    rank = band_rank(F.col("risk_band"))
-    known = counts.filter(rank < len(RISK_BANDS))
-    # A handful of rows: one per band.
-    total = known.agg(F.sum("count").alias("total"))
-    share = F.col("count") / F.col("total") * 100
-    return (
-        known.join(F.broadcast(total))
-        .select(
-            "risk_band",
-            "count",
-            half_even(F.col("mean") * 100, 2).alias("avg_pd"),
-            half_even(share, 1).alias("pct"),
+    sums = []
+    for i, (label, _, _) in enumerate(RISK_BANDS):
+        here = F.col("risk_band") == label
+        sums += [
+            F.count_if(here).alias(f"n{i}"),
+            F.avg(F.when(here, F.col(p))).alias(f"p{i}"),
+        ]
+    total = reduce(add, [F.col(f"n{i}") for i in range(len(RISK_BANDS))])
+    lines = [
+        F.struct(
+            F.lit(label).alias("risk_band"),
+            F.col(f"n{i}").alias("count"),
+            half_even(F.col(f"p{i}") * 100, 2).alias("avg_pd"),
+            half_even(F.try_divide(F.col(f"n{i}").cast("double"), total.cast("double")) * 100, 1).alias(
+                "pct"
+            ),
         )
-        .orderBy(rank)
-    )
+        for i, (label, _, _) in enumerate(RISK_BANDS)
+    ]
+    occurring = F.filter(F.array(*lines), lambda line: line["count"] > 0)
+    return scores.agg(*sums).select(F.inline(occurring))
 
 
 def score_summary(scores: DataFrame) -> DataFrame:
