@@ -248,7 +248,9 @@ def batch_summary(responses: DataFrame) -> DataFrame:
         F.avg(F.when(F.col(p) > 0, F.col(p))).alias("p"),
         *counts,
     )
-    entries = F.array(*[F.struct(F.lit(b), F.col(f"n{i}")) for i, b in enumerate(bands)])
+    entries = F.array(
+        *[F.struct(F.lit(b).alias("k"), F.col(f"n{i}").alias("v")) for i, b in enumerate(bands)]
+    )
     return totals.select(
         "total",
         F.coalesce(half_even(F.col("s"), 1), F.lit(0.0)).alias("avg_score"),

@@ -49,18 +49,18 @@ def node_table(model) -> DataFrame:
     node = F.col("nodeData")
     stats = node["impurityStats"]
     if isinstance(model, GBTClassificationModel):
-        value, weight = node["prediction"], stats[0]
+        value, weight = node["prediction"], F.get(stats, F.lit(0))
     else:
         # Class weights of a classification node: good, bad.
-        weight = stats[0] + stats[1]
-        value = F.try_divide(stats[1], weight)
+        good, bad = F.get(stats, F.lit(0)), F.get(stats, F.lit(1))
+        value, weight = F.try_divide(bad, good + bad), good + bad
     return spark.read.parquet(f"{path}/data").select(
         F.col("treeID").alias("tree"),
         node["id"].alias("id"),
         node["leftChild"].alias("left"),
         node["rightChild"].alias("right"),
         node["split"]["featureIndex"].alias("feature"),
-        node["split"]["leftCategoriesOrThreshold"][0].alias("threshold"),
+        F.get(node["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"),
         value.alias("value"),
         weight.alias("weight"),
     )

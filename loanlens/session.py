@@ -13,6 +13,7 @@ def local_session(cores: int | str = "*", name: str = "loanlens") -> SparkSessio
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")

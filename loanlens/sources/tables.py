@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.config import LOAN_ID, Config
+from loanlens.config import LOAN_ID, NUMERIC_FEATURES, Config
 from loanlens.sources.borrowers import shape_nps
 from loanlens.sources.load import Sources
 
@@ -125,19 +125,40 @@ def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nps_raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Survey answers as text, one per event; the first one of a user counts."""
-    kind = F.col("event_type")
+    kind, score = F.col("event_type"), F.floor("value") % 11
+    group = (
+        F.when(score >= 9, " Promoter ").when(score <= 6, "Detractor").otherwise(" Passive")
+    )
     return table(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias(LOAN_ID),
-        (F.floor("value") % 11).cast("string").alias("NPS Score"),
+        score.cast("string").alias("NPS Score"),
         F.when(kind == "error", "Yes").otherwise(" no ").alias("Phone Locked"),
         F.when(kind == "purchase", "TRUE")
         .when(kind == "view", "x")
         .otherwise("0")
         .alias("Payment Delay"),
+        F.when(kind == "click", "1").when(kind == "error", "False").alias("Happy_Device"),
+        group.alias("Promoter/Detractor"),
         F.struct(F.col("ts").alias("at"), F.col("event_id").alias("n")).alias("_ingest_order"),
     )
 
 
+def request_view(features: DataFrame) -> DataFrame:
+    """Scoring requests as text, made from feature rows.
+
+    Requests of loans ending in 7 carry an amount that is no number.
+    """
+    names = [n for n in NUMERIC_FEATURES if n != "loan_amount"]
+    broken = F.col(LOAN_ID).endswith("7")
+    return features.select(
+        F.col(LOAN_ID).alias("loan_id"),
+        F.when(broken, "n/a")
+        .otherwise(F.col("loan_amount").cast("string"))
+        .alias("loan_amount"),
+        *[F.col(n).cast("string").alias(n) for n in names],
+    )
+
+
 def loan_sources(spark: SparkSession, sf_dir: str) -> Sources:
     return Sources(
         credit=credit_view(spark, sf_dir),
