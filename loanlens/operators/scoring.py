@@ -38,21 +38,18 @@ class RiskModel(Protocol):
     def add_attributions(self, df: DataFrame, name: str = ATTRIBUTIONS) -> DataFrame: ...
 
 
-def score_columns(p: Column, cfg: Config | None = None) -> dict[str, Column]:
-    """Rounded probability, score and band; the score uses the unrounded one."""
-    score = pd_to_score(p, cfg)
-    return {
-        "pd_score": half_even(p, 4),
-        "credit_score": score,
-        "risk_band": risk_band(score),
-    }
+def add_scores(df: DataFrame, p: str = "p", cfg: Config | None = None) -> DataFrame:
+    """Add rounded probability, score and band; the score uses the unrounded one."""
+    scored = df.withColumns(
+        {"pd_score": half_even(F.col(p), 4), "credit_score": pd_to_score(F.col(p), cfg)}
+    )
+    return scored.withColumn("risk_band", risk_band(F.col("credit_score")))
 
 
 def score_dataframe(model: RiskModel, df: DataFrame, cfg: Config | None = None) -> DataFrame:
     """``LOAN_ID, pd_score, credit_score, risk_band`` of complete feature rows."""
-    scored = model.add_probability(df, "p")
-    columns = score_columns(F.col("p"), cfg)
-    return scored.select(col(LOAN_ID), *[c.alias(name) for name, c in columns.items()])
+    scored = add_scores(model.add_probability(df, "p"), "p", cfg)
+    return scored.select(LOAN_ID, "pd_score", "credit_score", "risk_band")
 
 
 def score_portfolio(
@@ -85,8 +82,7 @@ def explain_portfolio(
     """Score, band, drivers and reason codes of every loan."""
     complete = model.impute(encode_categoricals(features))
     scored = model.add_attributions(model.add_probability(complete, "p"))
-    scored = scored.withColumns(score_columns(F.col("p"), cfg))
-    return explain(scored, model.features, ATTRIBUTIONS, n, strict_sign)
+    return explain(add_scores(scored, "p", cfg), model.features, ATTRIBUTIONS, n, strict_sign)
 
 
 # --- Requests ----------------------------------------------------------------
@@ -153,17 +149,16 @@ def score_requests(
     rows = request_features(requests)
     missing = [f for f in model.features if f not in rows.columns]
     rows = rows.withColumns({f: F.lit(0.0) for f in missing}) if missing else rows
-    scored = model.add_probability(rows, "p")
+    scored = add_scores(model.add_probability(rows, "p"), "p", cfg)
     if explain:
         scored = model.add_attributions(scored)
     ok = ~F.col("failed")
-    columns = score_columns(F.col("p"), cfg)
     out = [
         col("loan_id"),
-        F.when(ok, columns["pd_score"]).otherwise(0.0).alias("pd_score"),
+        F.when(ok, F.col("pd_score")).otherwise(0.0).alias("pd_score"),
         F.when(ok, percent_text(F.col("p"))).otherwise("Error").alias("pd_pct"),
-        F.when(ok, columns["credit_score"]).otherwise(0).alias("credit_score"),
-        F.when(ok, columns["risk_band"]).otherwise("Error").alias("risk_band"),
+        F.when(ok, F.col("credit_score")).otherwise(0).alias("credit_score"),
+        F.when(ok, F.col("risk_band")).otherwise("Error").alias("risk_band"),
     ]
     if explain:
         codes = reason_codes(model.features, F.col(ATTRIBUTIONS), n)

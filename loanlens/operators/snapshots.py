@@ -18,6 +18,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from loanlens.config import (
     ARREARS_STATUS,
@@ -89,9 +90,14 @@ def snapshot_moment(df: DataFrame) -> Column:
     return wall_clock(col(SNAPSHOT_DATE))
 
 
-def in_dates(moment: Column, dates: Sequence[str]) -> Column:
-    stamps = [F.lit(d).cast("timestamp_ntz") for d in dates]
-    return F.coalesce(moment.isin(*stamps), F.lit(False))
+def is_dated(df: DataFrame, dates: Sequence[str]) -> Column:
+    """Whether a snapshot has one of the dates.
+
+    A DATE column is compared as it is, so that the filter reaches the scan.
+    """
+    if isinstance(df.schema[SNAPSHOT_DATE].dataType, T.DateType):
+        return col(SNAPSHOT_DATE).isin(*[F.lit(d).cast("date") for d in dates])
+    return snapshot_moment(df).isin(*[F.lit(d).cast("timestamp_ntz") for d in dates])
 
 
 def measured(credit: DataFrame, early_dates: Sequence[str] | None) -> DataFrame:
@@ -100,6 +106,9 @@ def measured(credit: DataFrame, early_dates: Sequence[str] | None) -> DataFrame:
     ``early_dates=None`` marks every row as early.
     """
     moment = snapshot_moment(credit)
+    early = F.lit(True)
+    if early_dates is not None:
+        early = F.coalesce(is_dated(credit, early_dates), F.lit(False))
     has_dpd, has_status = DPD in credit.columns, STATUS_L2 in credit.columns
     status = col(STATUS_L2).cast("string") if has_status else F.lit(None).cast("string")
     origination = [
@@ -108,7 +117,7 @@ def measured(credit: DataFrame, early_dates: Sequence[str] | None) -> DataFrame:
     return credit.select(
         col(LOAN_ID),
         moment.alias("moment"),
-        (F.lit(True) if early_dates is None else in_dates(moment, early_dates)).alias("early"),
+        early.alias("early"),
         number_or(credit, DPD).alias("dpd"),
         (col(DPD).isNotNull() if has_dpd else F.lit(False)).alias("dpd_given"),
         collection_rate(credit).alias("rate"),
@@ -210,7 +219,7 @@ def early_dates(credit: DataFrame, cfg: Config) -> EarlyDates:
     """The configured early dates, or every date if the data has none of them."""
     if not cfg.early_fallback:
         return EarlyDates(cfg.early_snapshots)
-    found = credit.filter(in_dates(snapshot_moment(credit), cfg.early_snapshots))
+    found = credit.filter(is_dated(credit, cfg.early_snapshots))
     if found.select(SNAPSHOT_DATE).isEmpty():
         log.error("no early snapshot in the data; every snapshot is used")
         return EarlyDates(None)
@@ -286,7 +295,7 @@ def early_features(credit: DataFrame, cfg: Config | None = None) -> DataFrame:
     cfg = cfg or Config()
     early = early_dates(credit, cfg)
     if early.dates is not None:
-        credit = credit.filter(in_dates(snapshot_moment(credit), early.dates))
+        credit = credit.filter(is_dated(credit, early.dates))
     kept = [c for c in credit.columns if c not in ORIGINATION]
     return loan_aggregate(credit.select([col(c) for c in kept]), early).select(
         LOAN_ID, *EARLY_FEATURES

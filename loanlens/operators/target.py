@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.config import LOAN_ID, TARGET, Config
-from loanlens.operators.snapshots import in_dates, label_aggregate, measured, snapshot_moment
+from loanlens.operators.snapshots import is_dated, label_aggregate, measured
 
 
 def define_target(
@@ -23,8 +23,8 @@ def define_target(
     """
     cfg = cfg or Config()
     if label_snapshots is not None:
-        credit = credit.filter(in_dates(snapshot_moment(credit), label_snapshots))
-    rows = measured(credit, ())
+        credit = credit.filter(is_dated(credit, label_snapshots))
+    rows = measured(credit, None)
     return rows.groupBy(LOAN_ID).agg(label_aggregate(definition or cfg.target_definition))
 
 

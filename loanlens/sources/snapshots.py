@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.config import LOAN_ID, SNAPSHOT_DATE, SNAPSHOT_FILES
-from loanlens.functions.naming import clean_headers, normalise_loan_id
+from loanlens.functions.naming import clean_headers, loan_id_column, normalise_loan_id
 from loanlens.functions.values import col, text_to_number
 from loanlens.sources.files import read_table
 
@@ -31,20 +31,28 @@ def load_snapshots(
 
     Values stay text: the operators parse what they read, because the label has
     to tell an unreadable value from a missing one. A file that is not there is
-    skipped with a warning; if all are missing, it is an error.
+    skipped with a warning; if all are missing, it is an error. The loan id is
+    settled per file, so files may spell its header differently; rows of a file
+    without one are dropped like any row without an id.
     """
-    frames = []
+    frames, found = [], False
     for name, date in files:
         path = f"{base_dir.rstrip('/')}/{name}" if base_dir else name
         frame = read_table(spark, path)
         if frame is None:
             log.warning("snapshot file not found, skipped: %s", path)
             continue
+        found = True
+        if loan_id_column(clean_headers(frame).columns) is None:
+            log.warning("snapshot file without a loan-id column, skipped: %s", path)
+            continue
         stamp = F.lit(date).cast("timestamp_ntz")
-        frames.append(clean_headers(frame).withColumn(SNAPSHOT_DATE, stamp))
-    if not frames:
+        frames.append(normalise_loan_id(frame).withColumn(SNAPSHOT_DATE, stamp))
+    if not found:
         raise FileNotFoundError(f"none of the snapshot files exists under {base_dir}")
-    return normalise_loan_id(union_snapshots(frames))
+    if not frames:
+        raise KeyError("no snapshot file has a loan-id column")
+    return union_snapshots(frames)
 
 
 def infer_numeric(df: DataFrame, keep: Iterable[str] = (LOAN_ID, SNAPSHOT_DATE)) -> DataFrame:
