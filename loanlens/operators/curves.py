@@ -51,8 +51,8 @@ def _accumulated_by_range(points: DataFrame, ranges: int) -> DataFrame:
     """
     points = cut_lineage(points)
     cuts = [i / ranges for i in range(1, ranges)]
-    found = points.agg(F.percentile_approx("p", cuts, 20 * ranges)).first()[0] or []
-    splits = [float("-inf"), *sorted(set(found)), float("inf")]
+    found = points.agg(F.percentile_approx("p", cuts, 20 * ranges)).first()[0] if cuts else None
+    splits = [float("-inf"), *sorted(set(found or [0.5])), float("inf")]
     ranged = Bucketizer(splits=splits, inputCol="p", outputCol="part").transform(points)
     above = W.orderBy(F.col("part").desc()).rowsBetween(W.unboundedPreceding, -1)
     starts = (
