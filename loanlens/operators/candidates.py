@@ -57,7 +57,7 @@ def candidates(cfg: Config) -> dict[str, Candidate]:
             elasticNetParam=0.0,
             standardization=False,
             maxIter=size.logistic_iterations,
-            tol=1e-8,
+            tol=1e-7,
             **shared,
         )
 

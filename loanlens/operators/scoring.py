@@ -12,9 +12,7 @@ from pyspark.sql import functions as F
 from loanlens.config import LOAN_ID, NUMERIC_FEATURES, REQUEST_DEFAULTS, RISK_BANDS, Config
 from loanlens.functions.bands import (
     age_band,
-    age_indicators,
     income_band,
-    income_indicators,
     pd_to_score,
     percent_text,
     risk_band,
@@ -23,6 +21,7 @@ from loanlens.functions.values import col, half_even, number_or
 from loanlens.operators.attribution import ATTRIBUTIONS, driver_texts, explain, reason_codes
 from loanlens.operators.encode import encode_categoricals
 from loanlens.operators.impute import fill, median_values
+from loanlens.session import cut_lineage
 
 
 class RiskModel(Protocol):
@@ -62,11 +61,13 @@ def score_portfolio(
     """``LOAN_ID, pd, score, risk_band`` of a feature matrix.
 
     Missing features get the medians kept with the model; ``refit_medians`` takes
-    them from the scored table instead.
+    them from the scored table instead, which is then written to the checkpoint
+    folder first because it is read several times.
     """
     encoded = encode_categoricals(features)
     if refit_medians:
-        names = [f for f in model.features if f in encoded.columns]
+        encoded = cut_lineage(encoded)
+        names = [f for f in model.features if f in encoded.columns and f in NUMERIC_FEATURES]
         encoded = fill(encoded, median_values(encoded, names))
     scored = score_dataframe(model, model.impute(encoded), cfg)
     return scored.withColumnsRenamed({"pd_score": "pd", "credit_score": "score"})
@@ -105,33 +106,35 @@ def request_features(requests: DataFrame) -> DataFrame:
     Fields left out get their default. A value that is not a number, or not whole
     where it has to be, makes the request fail.
     """
-    values, failures = {}, []
-    for name in NUMERIC_FEATURES:
-        if name not in requests.columns:
-            values[name] = F.lit(float(REQUEST_DEFAULTS[name]))
-            continue
-        value = number_or(requests, name)
-        broken = col(name).isNotNull() & value.isNull()
-        if name in WHOLE_FIELDS:
-            broken = broken | (F.coalesce(value, F.lit(0.0)) != F.floor(F.coalesce(value, F.lit(0.0))))
-        failures.append(broken)
-        values[name] = F.coalesce(value, F.lit(float(REQUEST_DEFAULTS[name])))
-    failed = F.lit(False)
-    for broken in failures:
-        failed = failed | broken
-    if "_corrupt_record" in requests.columns:
-        failed = failed | col("_corrupt_record").isNotNull()
+    given = [name for name in NUMERIC_FEATURES if name in requests.columns]
     loan = col("loan_id") if "loan_id" in requests.columns else F.lit(None)
-    rows = requests.select(
+    corrupt = F.lit(False)
+    if "_corrupt_record" in requests.columns:
+        corrupt = col("_corrupt_record").isNotNull()
+    parsed = requests.select(
         loan.cast("string").alias("loan_id"),
-        failed.alias("failed"),
-        *[value.alias(name) for name, value in values.items()],
+        corrupt.alias("corrupt"),
+        *[number_or(requests, name).alias(name) for name in given],
+        *[col(name).isNotNull().alias(f"{name}?") for name in given],
     )
-    return rows.select(
-        "*",
-        *age_indicators(age_band(F.col("age_years"))),
-        *income_indicators(income_band(F.col("avg_monthly_income"))),
+    failed = F.col("corrupt")
+    for name in given:
+        failed = failed | (col(f"{name}?") & col(name).isNull())
+        if name in WHOLE_FIELDS:
+            failed = failed | F.coalesce(col(name) != F.floor(name), F.lit(False))
+    defaults = {name: F.lit(float(value)) for name, value in REQUEST_DEFAULTS.items()}
+    values = [
+        (F.coalesce(col(name), default) if name in given else default).alias(name)
+        for name, default in defaults.items()
+    ]
+    rows = parsed.select("loan_id", failed.alias("failed"), *values)
+    banded = rows.withColumns(
+        {
+            "age_band": age_band(F.col("age_years")),
+            "income_band": income_band(F.col("avg_monthly_income")),
+        }
     )
+    return encode_categoricals(banded)
 
 
 def score_requests(

@@ -333,7 +333,8 @@ def q_profile(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def q_impute_median(spark: SparkSession, sf: str) -> DataFrame:
-    return exact_medians(_features(spark, sf), NUMERIC_FEATURES)
+    # Read twice, so it is computed once before.
+    return exact_medians(cut_lineage(_features(spark, sf)), NUMERIC_FEATURES)
 
 
 # --- Labels and splits -------------------------------------------------------
@@ -515,7 +516,8 @@ def q_pd_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _attributed(spark: SparkSession, sf: str) -> DataFrame:
-    rows = _encoded(spark, sf)
+    # Read for the means and again for the rows, so it is computed once before.
+    rows = cut_lineage(_encoded(spark, sf))
     return SCORECARD.with_background(rows).add_attributions(rows)
 
 

@@ -16,7 +16,7 @@ from loanlens.plans.features import build_feature_matrix, build_labelled_matrix
 from loanlens.plans.training import TrainResult, train
 from loanlens.session import cut_lineage
 from loanlens.sources.load import Sources
-from loanlens.sources.sinks import write_metrics, write_scores
+from loanlens.sources.sinks import write_metrics, write_report, write_scores
 
 
 @dataclass(frozen=True)
@@ -44,14 +44,16 @@ def run_full(sources: Sources, out_dir: str, cfg: Config | None = None) -> RunRe
     model = training.model
     points = cut_lineage(curve(model.add_probability(training.test)))
     record = metrics(points, model.name)
+    report = class_report(confusion(points))
     write_metrics(record, f"{out_dir}/metrics")
+    write_report(report, f"{out_dir}/report")
     # Every loan with features has a label, so the labelled matrix is the portfolio.
     scores = score_portfolio(model, labelled, cfg)
     write_scores(scores, f"{out_dir}/portfolio_scores")
     return RunResult(
         training=training,
         metrics=record,
-        report=class_report(confusion(points)),
+        report=report,
         importance=model.importances(),
         attribution=compute_shap(model, labelled, n_samples=500),
         scores=scores,

@@ -13,7 +13,7 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.config import LOAN_ID, TARGET, Config
+from loanlens.config import LOAN_ID, NUMERIC_FEATURES, TARGET, Config
 from loanlens.functions.values import col, number
 from loanlens.operators.candidates import (
     FEATURE_VECTOR,
@@ -27,7 +27,7 @@ from loanlens.operators.evaluation import evaluate
 from loanlens.operators.impute import fill, median_values
 from loanlens.operators.model import TrainedModel
 from loanlens.operators.split import assign_folds, stratified_split
-from loanlens.session import cut_lineage
+from loanlens.session import cut_lineage, ensure_checkpoint_dir
 
 
 @dataclass(frozen=True)
@@ -55,8 +55,9 @@ def prepare_xy(
         col(TARGET).cast("int").alias(TARGET),
     )
     if medians is None:
-        medians = median_values(rows, features)
-    return fill(rows, medians), features, medians
+        # Indicators are never missing.
+        medians = median_values(rows, [f for f in features if f in NUMERIC_FEATURES])
+    return fill(rows, medians).select(LOAN_ID, *map(col, features), TARGET), features, medians
 
 
 def class_counts(rows: DataFrame) -> ClassCounts:
@@ -119,6 +120,7 @@ def fit_candidate(
     scale: bool = False,
 ) -> TrainedModel:
     """Fit one candidate on complete feature rows; ``scale`` adds a scaler stage."""
+    ensure_checkpoint_dir(rows.sparkSession)  # boosting cuts its lineage there
     counts = class_counts(rows)
     candidate = candidates(cfg)[name]
     stages = [VectorAssembler(inputCols=features, outputCol="raw" if scale else FEATURE_VECTOR)]

@@ -3,7 +3,7 @@
 from loanlens.sources.borrowers import load_demographics, load_nps, sheet_role
 from loanlens.sources.files import INGEST_ORDER, read_table
 from loanlens.sources.load import SourceLayout, Sources, load_all
-from loanlens.sources.sinks import write_metrics, write_scores, write_snapshots
+from loanlens.sources.sinks import write_metrics, write_report, write_scores, write_snapshots
 from loanlens.sources.snapshots import infer_numeric, load_snapshots, union_snapshots
 
 __all__ = [
@@ -19,6 +19,7 @@ __all__ = [
     "sheet_role",
     "union_snapshots",
     "write_metrics",
+    "write_report",
     "write_scores",
     "write_snapshots",
 ]

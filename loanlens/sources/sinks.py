@@ -39,3 +39,8 @@ def write_metrics(metrics: DataFrame, path: str) -> None:
         ]
     )
     metrics.select(F.inline(pairs)).coalesce(1).write.mode("overwrite").json(path)
+
+
+def write_report(report: DataFrame, path: str) -> None:
+    """The class report (five rows) as one JSON file."""
+    report.coalesce(1).write.mode("overwrite").json(path)

@@ -13,6 +13,7 @@ from loanlens.sources import (
     load_snapshots,
     sheet_role,
     write_metrics,
+    write_report,
     write_scores,
     write_snapshots,
 )
@@ -62,6 +63,12 @@ def test_ids_spelled_differently_per_file(spark, credit_dir):
     assert sorted(r.LOAN_ID for r in df.collect()) == ["1", "1", "2"]
 
 
+def test_texts_for_missing_values(spark, tmp_path):
+    write(tmp_path / "a.csv", "LOAN_ID,S\n1,NA\n2,n/a\n3,\n4,ok\nNULL,x\n5, NA\n")
+    df = load_snapshots(spark, [("a.csv", "2025-01-01")], str(tmp_path))
+    assert {r.LOAN_ID: r.S for r in df.collect()} == {"1": None, "2": None, "3": None, "4": "ok", "5": " NA"}
+
+
 def test_sheet_roles():
     assert [sheet_role(n) for n in ("DOB", "Date of Birth", "Income Level", "Gender", "Sales", "x")] == [
         "dob", "dob", "income", "gender", "sales", None,
@@ -163,6 +170,8 @@ def test_written_scores_and_metrics(spark, tmp_path):
     assert back.columns == ["LOAN_ID", "pd", "score", "risk_band"] and back.count() == 1
     write_scores(scores, str(tmp_path / "parquet"), "parquet")
     assert spark.read.parquet(str(tmp_path / "parquet")).first().score == 600
+    write_report(scores, str(tmp_path / "report"))
+    assert spark.read.json(str(tmp_path / "report")).count() == 1
     write_metrics(scores.select("pd", "score"), str(tmp_path / "metrics"))
     lines = spark.read.json(str(tmp_path / "metrics")).collect()
     assert {(r.metric, r.value) for r in lines} == {("pd", "0.1"), ("score", "600")}
