@@ -23,7 +23,9 @@ def col(name: str) -> Column:
 def text_to_number(text: Column) -> Column:
     """Text as DOUBLE; NULL when it does not parse or spells NaN."""
     parsed = text.try_cast("double")
-    return F.when(~(F.isnan(parsed) | text.rlike(_JVM_SUFFIX)), parsed)
+    # The pattern is only tried on the few texts that end like a suffix.
+    ending = F.lower(F.right(F.rtrim(text), F.lit(1))).isin("d", "f")
+    return F.when(~(F.isnan(parsed) | (ending & text.rlike(_JVM_SUFFIX))), parsed)
 
 
 def number(df: DataFrame, name: str) -> Column:

@@ -66,49 +66,60 @@ def global_importance(
     return ranked if top is None else ranked.limit(top)
 
 
-def reason_codes(
+def _sorted_keys(values: Sequence[Column]) -> Column:
+    """Values with their positions, lowest first; positions decide ties."""
+    pairs = [F.struct(v.alias("v"), F.lit(i).alias("i")) for i, v in enumerate(values)]
+    return F.sort_array(F.array(*pairs))
+
+
+def _first_keys(keys: Column, n: int, available: int) -> Column:
+    """The first ``n`` of the sorted keys.
+
+    Taken one by one, so that the sorted array is referenced several times. It is
+    then computed by generated code in a step of its own, not inside the slower
+    evaluation of the array functions that follow.
+    """
+    return F.array(*[keys[k] for k in range(min(n, available))])
+
+
+def add_reason_codes(
+    df: DataFrame,
     features: Sequence[str],
-    attr: Column,
+    attr: str = ATTRIBUTIONS,
     n: int = TOP_DRIVERS,
     strict_sign: bool = False,
-) -> Column:
-    """Array of the strongest drivers of each row, helpful ones first.
+    name: str = "reason_codes",
+) -> DataFrame:
+    """Add the strongest drivers of each row as an array, helpful ones first.
 
     The ``n`` lowest attributions count as helping and the ``n`` highest as
     hurting, both strongest first; those near zero are dropped afterwards. With
     ``strict_sign`` a driver must also have the matching sign.
     """
-    entries = F.array(
-        *[
-            F.struct(
-                attr[i].alias("v"),
-                F.lit(i).alias("i"),
-                F.lit(name).alias("code"),
-                F.lit(reason_text(name)).alias("description"),
-            )
-            for i, name in enumerate(features)
-        ]
-    )
-    flipped = F.transform(
-        entries, lambda e: F.struct((-e["v"]).alias("v"), e["i"], e["code"], e["description"])
+    names = F.array(*[F.lit(f) for f in features])
+    texts = F.array(*[F.lit(reason_text(f)) for f in features])
+    values = [F.col(attr)[i] for i in range(len(features))]
+    ranked = df.withColumns(
+        {"_helping": _sorted_keys(values), "_hurting": _sorted_keys([-v for v in values])}
     )
 
-    def strongest(ordered: Column, direction: str, sign: int) -> Column:
-        kept = F.slice(F.array_sort(ordered), 1, n)
-        kept = F.filter(kept, lambda e: F.abs(e["v"]) > SIGNIFICANT)
-        if strict_sign:
-            kept = F.filter(kept, lambda e: e["v"] < 0)
+    def strongest(keys: str, sign: int, direction: str) -> Column:
+        kept = F.filter(
+            _first_keys(F.col(keys), n, len(features)),
+            lambda e: (e["v"] < -SIGNIFICANT) if strict_sign else (F.abs(e["v"]) > SIGNIFICANT),
+        )
         return F.transform(
             kept,
             lambda e: F.struct(
-                e["code"].alias("code"),
-                e["description"].alias("description"),
+                F.element_at(names, e["i"] + 1).alias("code"),
+                F.element_at(texts, e["i"] + 1).alias("description"),
                 F.lit(direction).alias("direction"),
                 half_even(e["v"] * sign, 4).alias("shap"),
             ),
         )
 
-    return F.concat(strongest(entries, "positive", 1), strongest(flipped, "negative", -1))
+    helping, hurting = strongest("_helping", 1, "positive"), strongest("_hurting", -1, "negative")
+    return ranked.withColumn(name, F.concat(helping, hurting)).drop("_helping", "_hurting")
 
 
 def driver_texts(codes: Column, direction: str) -> Column:
@@ -125,8 +136,7 @@ def explain(
     strict_sign: bool = False,
 ) -> DataFrame:
     """Explanation per loan from ``pd_score, credit_score, risk_band`` and attributions."""
-    codes = reason_codes(features, F.col(attr), n, strict_sign)
-    return scored.withColumn("reason_codes", codes).select(
+    return add_reason_codes(scored, features, attr, n, strict_sign).select(
         LOAN_ID,
         "credit_score",
         "risk_band",
@@ -143,32 +153,34 @@ def fallback_reasons(features: DataFrame, n: int = TOP_DRIVERS) -> DataFrame:
     ``(LOAN_ID, positive_drivers, negative_drivers)`` as arrays of
     ``(code, description, value)``, largest value first.
     """
-
-    def ranked(direction: str) -> Column:
-        entries = [
-            F.struct(
-                (-number(features, name)).alias("order"),
-                F.lit(rank).alias("rank"),
-                F.lit(name).alias("code"),
-                F.lit(text).alias("description"),
-            )
-            for rank, (name, (text, way)) in enumerate(REASON_CODES.items())
+    chosen = {
+        direction: [
+            (name, text)
+            for name, (text, way) in REASON_CODES.items()
             if way == direction and name in features.columns
         ]
-        if not entries:
+        for direction in ("positive", "negative")
+    }
+
+    def keys(direction: str) -> Column:
+        values = [F.coalesce(-number(features, f), F.lit(0.0)) for f, _ in chosen[direction]]
+        return _sorted_keys(values).alias(direction)
+
+    def drivers(direction: str) -> Column:
+        rows = chosen[direction]
+        if not rows:
             return F.array().cast("array<struct<code:string,description:string,value:double>>")
-        positive = F.filter(F.array(*entries), lambda e: e["order"] < 0)
+        names = F.array(*[F.lit(name) for name, _ in rows])
+        texts = F.array(*[F.lit(text) for _, text in rows])
+        first = _first_keys(F.col(direction), n, len(rows))
         return F.transform(
-            F.slice(F.array_sort(positive), 1, n),
+            F.filter(first, lambda e: e["v"] < 0),
             lambda e: F.struct(
-                e["code"].alias("code"),
-                e["description"].alias("description"),
-                (-e["order"]).alias("value"),
+                F.element_at(names, e["i"] + 1).alias("code"),
+                F.element_at(texts, e["i"] + 1).alias("description"),
+                (-e["v"]).alias("value"),
             ),
         )
 
-    return features.select(
-        col(LOAN_ID),
-        ranked("positive").alias("positive_drivers"),
-        ranked("negative").alias("negative_drivers"),
-    )
+    ranked = features.select(col(LOAN_ID), *[keys(way) for way, rows in chosen.items() if rows])
+    return ranked.select(LOAN_ID, *[drivers(way).alias(f"{way}_drivers") for way in chosen])

@@ -18,7 +18,12 @@ from loanlens.functions.bands import (
     risk_band,
 )
 from loanlens.functions.values import col, half_even, number_or
-from loanlens.operators.attribution import ATTRIBUTIONS, driver_texts, explain, reason_codes
+from loanlens.operators.attribution import (
+    ATTRIBUTIONS,
+    add_reason_codes,
+    driver_texts,
+    explain,
+)
 from loanlens.operators.encode import encode_categoricals
 from loanlens.operators.impute import fill, median_values
 from loanlens.session import cut_lineage
@@ -164,8 +169,7 @@ def score_requests(
         F.when(ok, F.col("risk_band")).otherwise("Error").alias("risk_band"),
     ]
     if explain:
-        codes = reason_codes(model.features, F.col(ATTRIBUTIONS), n)
-        scored = scored.withColumn("codes", codes)
+        scored = add_reason_codes(scored, model.features, ATTRIBUTIONS, n, name="codes")
         for name, way in (("positive_drivers", "positive"), ("negative_drivers", "negative")):
             out.append(F.when(ok, driver_texts(F.col("codes"), way)).alias(name))
     return scored.select(*out)

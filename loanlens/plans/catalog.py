@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.config import LOAN_ID, NUMERIC_FEATURES, TARGET, TARGET_DEFINITIONS, TrainingProfile
@@ -18,11 +18,10 @@ from loanlens.functions.naming import normalise_loan_id
 from loanlens.functions.values import half_even, parse_date
 from loanlens.operators import curves
 from loanlens.operators.attribution import (
-    ATTRIBUTIONS,
+    add_reason_codes,
     fallback_reasons,
     global_importance,
     long_form,
-    reason_codes,
 )
 from loanlens.operators.borrowers import (
     add_age_features,
@@ -532,7 +531,7 @@ def q_linear_attrib_global(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(top, 6, "mean_abs_shap")
 
 
-def _listed(df: DataFrame, entries: Column, *fields: str) -> DataFrame:
+def _listed(df: DataFrame, entries: str, *fields: str) -> DataFrame:
     """One row per array entry with its place."""
     rows = df.select(LOAN_ID, F.posexplode(entries).alias("place", "e"))
     return rows.select(LOAN_ID, (F.col("place") + 1).alias("place"), *[f"e.{f}" for f in fields])
@@ -540,10 +539,8 @@ def _listed(df: DataFrame, entries: Column, *fields: str) -> DataFrame:
 
 @_query
 def q_reason_codes(spark: SparkSession, sf: str) -> DataFrame:
-    codes = reason_codes(SCORECARD.features, F.col(ATTRIBUTIONS))
-    return _listed(
-        _attributed(spark, sf), codes, "code", "description", "direction", "shap"
-    )
+    reasoned = add_reason_codes(_attributed(spark, sf), SCORECARD.features)
+    return _listed(reasoned, "reason_codes", "code", "description", "direction", "shap")
 
 
 @_query

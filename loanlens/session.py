@@ -18,6 +18,8 @@ def local_session(cores: int | str = "*", name: str = "loanlens") -> SparkSessio
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "12g")
+        # The JVM never compiles methods above 8000 bytes; smaller ones are generated then.
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         # Python call sites are only of use for error messages; recording them is slow.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()

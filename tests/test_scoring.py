@@ -3,11 +3,11 @@ from pyspark.sql import functions as F
 
 from loanlens.config import AGE_BAND_COLUMNS, INCOME_BAND_COLUMNS, REASON_CODES, RISK_BANDS
 from loanlens.operators.attribution import (
+    add_reason_codes,
     explain,
     fallback_reasons,
     global_importance,
     long_form,
-    reason_codes,
 )
 from loanlens.operators.scorecard import Scorecard
 from loanlens.operators.scoring import (
@@ -122,8 +122,8 @@ def with_attributions(spark, *rows):
 
 
 def codes_of(df, **options):
-    column = reason_codes(FEATURES, F.col("attributions"), **options).alias("codes")
-    return [[(c.code, c.direction, c.shap) for c in r.codes] for r in df.select(column).collect()]
+    reasoned = add_reason_codes(df, FEATURES, **options)
+    return [[(c.code, c.direction, c.shap) for c in r.reason_codes] for r in reasoned.collect()]
 
 
 def test_drivers(spark):
