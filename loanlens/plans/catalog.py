@@ -508,7 +508,7 @@ def q_calibration(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def q_pd_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(pd_histogram(_scored(spark, sf)), 6, "bin_low", "bin_high")
+    return _rounded(pd_histogram(_scored(spark, sf)), 8, "bin_low", "bin_high")
 
 
 # --- Explanations ------------------------------------------------------------

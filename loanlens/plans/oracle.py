@@ -576,8 +576,8 @@ def oracle_sql() -> dict[str, str]:
         ),
         "q_pd_histogram": _with(
             "scored",
-            """SELECT label, bin, round_even(lo + (bin - 1) * ((hi - lo) / 40), 6) AS bin_low,
-              round_even(lo + bin * ((hi - lo) / 40), 6) AS bin_high, count(*) AS n
+            """SELECT label, bin, round_even(lo + (bin - 1) * ((hi - lo) / 40), 8) AS bin_low,
+              round_even(lo + bin * ((hi - lo) / 40), 8) AS bin_high, count(*) AS n
             FROM (SELECT target AS label, lo, hi,
                     CAST(least(floor((p - lo) / (hi - lo) * 40) + 1, 40) AS INTEGER) AS bin
                   FROM scored JOIN (SELECT target, min(p) AS lo, max(p) AS hi FROM scored
