@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -12,16 +13,75 @@ from loanlens.functions.values import col, number
 
 # Rank error of the bracket's sketch is at most 1 / ACCURACY of the rows.
 ACCURACY = 10_000
+MARGIN = 3 / ACCURACY
+# More distinct values than this are not put in order in one task.
+MAX_INSIDE = 1_000_000
 
 
-def _brackets(values: DataFrame, n: int) -> list[tuple[float, float] | None]:
-    """Per column, two values with the median between them."""
-    margin = 3 / ACCURACY
-    cuts = [0.5 - margin, 0.5 + margin]
+@dataclass(frozen=True)
+class Bracket:
+    """Two values with the median between them, out of ``rows`` values in all."""
+
+    rows: int
+    low: float
+    high: float
+
+    @property
+    def ranks(self) -> tuple[int, int]:
+        """Places of the two middle values, from 1; the same one if ``rows`` is odd."""
+        return (self.rows + 1) // 2, self.rows // 2 + 1
+
+
+def _inside(i: int, bracket: Bracket) -> Column:
+    return F.col(f"x{i}").between(bracket.low, bracket.high)
+
+
+def _narrowed(values: DataFrame, wide: Mapping[int, Bracket]) -> dict[int, Bracket]:
+    """Brackets within the given ones: count what lies below, then sketch the inside."""
+    counts = values.agg(
+        *[F.count_if(F.col(f"x{i}") < b.low).alias(f"b{i}") for i, b in wide.items()],
+        *[F.count_if(_inside(i, b)).alias(f"n{i}") for i, b in wide.items()],
+    ).first()
+    cuts = {}
+    for i, b in wide.items():
+        first, last = ((rank - counts[f"b{i}"]) / counts[f"n{i}"] for rank in b.ranks)
+        cuts[i] = [max(0.0, first - MARGIN), min(1.0, last + MARGIN)]
+    found = values.agg(
+        *[
+            F.percentile_approx(F.when(_inside(i, b), F.col(f"x{i}")), cuts[i], ACCURACY).alias(
+                f"s{i}"
+            )
+            for i, b in wide.items()
+        ]
+    ).first()
+    return {i: Bracket(b.rows, *found[f"s{i}"]) for i, b in wide.items()}
+
+
+def _brackets(values: DataFrame, n: int) -> dict[int, Bracket]:
+    """A bracket for every column that has values.
+
+    Two of its bounds lie a small share of the rows apart. Where even that share is
+    too many values for one task, the bracket is narrowed in the same way.
+    """
+    cuts = [0.5 - MARGIN, 0.5 + MARGIN]
     row = values.agg(
-        *[F.percentile_approx(f"x{i}", cuts, ACCURACY).alias(f"b{i}") for i in range(n)],
+        *[F.count(f"x{i}").alias(f"n{i}") for i in range(n)],
+        *[F.percentile_approx(f"x{i}", cuts, ACCURACY).alias(f"s{i}") for i in range(n)],
     ).first()
-    return [tuple(row[f"b{i}"]) if row[f"b{i}"] else None for i in range(n)]
+    brackets = {i: Bracket(row[f"n{i}"], *row[f"s{i}"]) for i in range(n) if row[f"n{i}"]}
+    share = 4 * MARGIN
+    wide = {i: b for i, b in brackets.items() if b.low < b.high and b.rows * share > MAX_INSIDE}
+    while wide:
+        share *= 4 * MARGIN
+        narrow = _narrowed(values, wide)
+        brackets |= narrow
+        # A bracket that stays as it is has nearly all of its rows at its two ends.
+        wide = {
+            i: b
+            for i, b in narrow.items()
+            if b.low < b.high and b != wide[i] and b.rows * share > MAX_INSIDE
+        }
+    return brackets
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -29,8 +89,8 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
     A built-in exact median keeps every distinct value in one place. Here a sketch
     first brackets the median of every column. Then the rows below each bracket
-    are only counted, and just the values inside - a small part of the rows, and
-    counted per distinct value - are put in order.
+    are only counted, and just the values inside - at most about MAX_INSIDE, each
+    with its count - are put in order.
     """
     values = df.select([number(df, name).alias(f"x{i}") for i, name in enumerate(columns)])
     brackets = _brackets(values, len(columns))
@@ -39,12 +99,9 @@ def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         return F.struct(F.lit(i).alias("i"), kind.alias("kind"), value.alias("value"))
 
     pieces = []
-    for i, bracket in enumerate(brackets):
+    for i, bracket in brackets.items():
         x = F.col(f"x{i}")
-        if bracket is None:
-            continue
-        low, high = bracket
-        kind = F.when(x < low, -1).when(x > high, 1).when(x.isNotNull(), 0)
+        kind = F.when(x < bracket.low, -1).when(x > bracket.high, 1).when(x.isNotNull(), 0)
         pieces.append(piece(i, kind, F.when(kind == 0, x)))
     names = F.array(*[F.lit(name) for name in columns])
     every = values.sparkSession.range(len(columns)).select(

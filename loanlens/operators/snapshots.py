@@ -234,7 +234,11 @@ def _date_list(rows: DataFrame) -> list[str] | None:
 
 
 def trend_by_date(rows: DataFrame) -> DataFrame:
-    """Trend per loan for any number of dates, from per-date counts and sums."""
+    """Trend per loan for any number of dates, from per-date counts and sums.
+
+    Rows are first summed per loan and date, with map-side combining, so the window
+    over a loan holds one row per snapshot date, however many rows the loan has.
+    """
     per_date = (
         rows.filter("early")
         .groupBy(LOAN_ID, "moment")
