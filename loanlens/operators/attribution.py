@@ -25,12 +25,11 @@ def linear_attributions(
     df: DataFrame, weights: Mapping[str, float], background: Mapping[str, float]
 ) -> Column:
     """Weight times distance from the background mean, in log-odds, per feature."""
-    return F.array(
-        *[
-            F.lit(float(w)) * (F.coalesce(number(df, name), F.lit(0.0)) - F.lit(float(background[name])))
-            for name, w in weights.items()
-        ]
-    )
+    parts = []
+    for name, weight in weights.items():
+        distance = F.coalesce(number(df, name), F.lit(0.0)) - F.lit(float(background[name]))
+        parts.append(F.lit(float(weight)) * distance)
+    return F.array(*parts)
 
 
 def long_form(df: DataFrame, features: Sequence[str], attr: str = ATTRIBUTIONS) -> DataFrame:

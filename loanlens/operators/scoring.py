@@ -6,7 +6,7 @@ from functools import reduce
 from operator import add
 from typing import Protocol
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.config import LOAN_ID, NUMERIC_FEATURES, REQUEST_DEFAULTS, RISK_BANDS, Config
@@ -17,7 +17,7 @@ from loanlens.functions.bands import (
     percent_text,
     risk_band,
 )
-from loanlens.functions.values import col, half_even, number_or
+from loanlens.functions.values import col, half_even, number_or, ratio
 from loanlens.operators.attribution import (
     ATTRIBUTIONS,
     add_reason_codes,
@@ -202,9 +202,7 @@ def band_summary(scores: DataFrame) -> DataFrame:
             F.lit(label).alias("risk_band"),
             F.col(f"n{i}").alias("count"),
             half_even(F.col(f"p{i}") * 100, 2).alias("avg_pd"),
-            half_even(F.try_divide(F.col(f"n{i}").cast("double"), total.cast("double")) * 100, 1).alias(
-                "pct"
-            ),
+            half_even(ratio(F.col(f"n{i}"), total) * 100, 1).alias("pct"),
         )
         for i, (label, _, _) in enumerate(RISK_BANDS)
     ]
@@ -228,10 +226,9 @@ def score_summary(scores: DataFrame) -> DataFrame:
             F.lit(label).alias("risk_band"),
             F.lit(f"{low}–{high}").alias("score_range"),
             F.col(f"n{i}").alias("count"),
-            F.coalesce(
-                half_even(F.try_divide(F.col(f"n{i}") * 100.0, F.col("total").cast("double")), 1),
-                F.lit(0.0),
-            ).alias("pct"),
+            F.coalesce(half_even(ratio(F.col(f"n{i}") * 100.0, F.col("total")), 1), F.lit(0.0)).alias(
+                "pct"
+            ),
             half_even(F.coalesce(F.col(f"p{i}"), F.lit(0.0)) * 100, 2).alias("avg_pd"),
         )
         for i, (label, low, high) in enumerate(RISK_BANDS)

@@ -98,7 +98,9 @@ def ensemble_leaves(model) -> list[Leaf]:
     # The size of the model bounds this, not the data.
     for row in node_table(model).toPandas().itertuples(index=False):
         trees.setdefault(row.tree, {})[row.id] = row
-    return [leaf for t, nodes in sorted(trees.items()) for leaf in _leaves_of_tree(nodes, scales[t])]
+    return [
+        leaf for tree, nodes in sorted(trees.items()) for leaf in _leaves_of_tree(nodes, scales[tree])
+    ]
 
 
 def base_value(leaves: list[Leaf]) -> float:

@@ -553,9 +553,9 @@ def q_fallback_reasons(spark: SparkSession, sf: str) -> DataFrame:
         ]
     )
     per_direction = reasons.select(LOAN_ID, F.inline(both))
-    return per_direction.select(
-        LOAN_ID, "direction", F.posexplode("drivers").alias("place", "e")
-    ).select(LOAN_ID, "direction", (F.col("place") + 1).alias("place"), "e.code", "e.description", "e.value")
+    rows = per_direction.select(LOAN_ID, "direction", F.posexplode("drivers").alias("place", "e"))
+    place = (F.col("place") + 1).alias("place")
+    return rows.select(LOAN_ID, "direction", place, "e.code", "e.description", "e.value")
 
 
 # --- Models and streams ------------------------------------------------------

@@ -1,7 +1,6 @@
 import logging
 
 import pytest
-from pyspark.sql import functions as F
 
 from loanlens.operators.first_last import first_per_loan
 from loanlens.sources import (
