@@ -1,8 +1,15 @@
 """Loan-risk analytics on Spark: features, labels, models, metrics, scores, reasons."""
 
-from loanlens.config import Config, TrainingProfile
-from loanlens.operators.curves import curve, ks_curve, pr_curve, roc_curve
-from loanlens.operators.evaluation import (
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in tasks travel with the job, so workers need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+from loanlens.config import Config, TrainingProfile  # noqa: E402
+from loanlens.operators.curves import curve, ks_curve, pr_curve, roc_curve  # noqa: E402
+from loanlens.operators.evaluation import (  # noqa: E402
     calibration,
     class_report,
     confusion,
@@ -10,11 +17,11 @@ from loanlens.operators.evaluation import (
     metrics,
     pd_histogram,
 )
-from loanlens.operators.attribution import fallback_reasons, global_importance, long_form
-from loanlens.operators.importance import compute_shap
-from loanlens.operators.model import TrainedModel
-from loanlens.operators.scorecard import Scorecard
-from loanlens.operators.scoring import (
+from loanlens.operators.attribution import fallback_reasons, global_importance, long_form  # noqa: E402
+from loanlens.operators.importance import compute_shap  # noqa: E402
+from loanlens.operators.model import TrainedModel  # noqa: E402
+from loanlens.operators.scorecard import Scorecard  # noqa: E402
+from loanlens.operators.scoring import (  # noqa: E402
     band_summary,
     batch_summary,
     explain_portfolio,
@@ -23,15 +30,15 @@ from loanlens.operators.scoring import (
     score_requests,
     score_summary,
 )
-from loanlens.operators.split import assign_folds, stratified_split
-from loanlens.operators.target import define_target, merge_target
-from loanlens.plans.features import build_feature_matrix, build_labelled_matrix
-from loanlens.plans.run import run_explain, run_full, run_score
-from loanlens.plans.training import TrainResult, evaluate_model, train
-from loanlens.sources.borrowers import load_demographics, load_nps
-from loanlens.sources.load import SourceLayout, Sources, load_all
-from loanlens.sources.snapshots import load_snapshots
-from loanlens.streaming.requests import score_requests_stream
+from loanlens.operators.split import assign_folds, stratified_split  # noqa: E402
+from loanlens.operators.target import define_target, merge_target  # noqa: E402
+from loanlens.plans.features import build_feature_matrix, build_labelled_matrix  # noqa: E402
+from loanlens.plans.run import run_explain, run_full, run_score  # noqa: E402
+from loanlens.plans.training import TrainResult, evaluate_model, train  # noqa: E402
+from loanlens.sources.borrowers import load_demographics, load_nps  # noqa: E402
+from loanlens.sources.load import SourceLayout, Sources, load_all  # noqa: E402
+from loanlens.sources.snapshots import load_snapshots  # noqa: E402
+from loanlens.streaming.requests import score_requests_stream  # noqa: E402
 
 __all__ = [
     "Config",
