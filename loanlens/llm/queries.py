@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import read_table
+from loanlens.llm.common import read_table, sha256_hex
+from loanlens.llm.decontaminate import contamination, is_contaminated
 from loanlens.llm.secret_scan import digest, find_secrets
 from loanlens.llm.sharding import shard_by_bytes
 
@@ -26,9 +27,22 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return judged.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        sha256_hex(F.array_join("items", ",")).alias("items_sha256"),
+        is_contaminated().alias("contaminated"),
+    )
+
+
 QUERIES = {
     "op5_secrets": op5_secrets,
     "op6_sharding": op6_sharding,
+    "op10_decontamination": op10_decontamination,
 }
 
 SQL: dict[str, str] = {}
