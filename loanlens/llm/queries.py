@@ -7,10 +7,15 @@ from pyspark.sql import functions as F
 
 from loanlens.llm.common import read_table, sha256_hex
 from loanlens.llm.decontaminate import contamination, is_contaminated
+from loanlens.llm.ngram_join import ngram_join
 from loanlens.llm.secret_scan import digest, find_secrets
 from loanlens.llm.sharding import shard_by_bytes
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(read_table(spark, sf_dir, "documents"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_secrets(read_table(spark, sf_dir, "documents")))
 
@@ -40,6 +45,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op5_secrets": op5_secrets,
     "op6_sharding": op6_sharding,
     "op10_decontamination": op10_decontamination,
