@@ -2,20 +2,37 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.llm.common import read_table, sha256_hex
 from loanlens.llm.decontaminate import contamination, is_contaminated
 from loanlens.llm.ngram_join import ngram_join
+from loanlens.llm.packing import pack, token_pieces
 from loanlens.llm.secret_scan import digest, find_secrets
 from loanlens.llm.sharding import shard_by_bytes
+from loanlens.llm.shared_files import new_folder
+from loanlens.llm.token_files import read_token_files, write_token_files
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(read_table(spark, sf_dir, "documents"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """Every document's pieces, digested, in sequences of at most 1024 tokens."""
+    pieces = token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), suffix_id=2, size=1024)
+    digests = pieces.select(
+        F.col("id").alias("doc_id"), "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
+    )
+    return pack(digests)
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(read_table(spark, sf_dir, "documents"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_secrets(read_table(spark, sf_dir, "documents")))
 
@@ -32,6 +49,21 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files, ranks = write_token_files(
+        read_table(spark, sf_dir, "documents"),
+        public_tokenizers.path("word_bpe_49k.json"),
+        new_folder(spark, "tokens"),
+        suffix_id=1,
+    )
+    return read_token_files(files, ranks).select(
+        F.col("id").alias("doc_id"),
+        "start",
+        F.expr("cast(octet_length(ids) div 4 as long)").alias("n_tokens"),
+        F.crc32("ids").alias("ids_crc32"),
+    )
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return judged.select(
@@ -46,8 +78,10 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_packing": op2_packing,
     "op5_secrets": op5_secrets,
     "op6_sharding": op6_sharding,
+    "op8_token_files": op8_token_files,
     "op10_decontamination": op10_decontamination,
 }
 
