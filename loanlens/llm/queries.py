@@ -14,12 +14,20 @@ from loanlens.llm.secret_scan import digest, find_secrets
 from loanlens.llm.sharding import shard_by_bytes
 from loanlens.llm.shared_files import new_folder
 from loanlens.llm.token_files import read_token_files, write_token_files
+from loanlens.llm.warc import archive_pages, read_records
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(read_table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = archive_pages(read_table(spark, sf_dir, "pages"), new_folder(spark, "warc"))
+    return read_records(index, payloads=False).select(
+        F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Every document's pieces, digested, in sequences of at most 1024 tokens."""
     pieces = token_pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), suffix_id=2, size=1024)
@@ -79,10 +87,23 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_packing": op2_packing,
+    "op3_warc": op3_warc,
     "op5_secrets": op5_secrets,
     "op6_sharding": op6_sharding,
     "op8_token_files": op8_token_files,
     "op10_decontamination": op10_decontamination,
 }
 
-SQL: dict[str, str] = {}
+OP3 = """
+WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+d AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS digest FROM p),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY digest, n) AS top FROM d)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+       CASE WHEN n >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 1000 AND page_id < top THEN top END AS refers_to
+FROM g
+"""
+
+SQL: dict[str, str] = {
+    "op3_warc": OP3,
+}
