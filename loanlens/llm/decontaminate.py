@@ -1,9 +1,9 @@
 """Benchmark passages in training text, found with DataFrame functions alone.
 
 The windows of the benchmark (n consecutive words, or all words of a shorter item) are a
-set of hashes. A window can only occur in a text that holds its longest word, so a text
-without any of those words is dismissed at once. In the others every window of tokens is
-hashed and looked up, and a hit is verified word by word.
+set of hashes that goes to every task. A window can only occur in a text that holds its
+longest word, so a text without any of those words is dismissed at once. In the others
+every window of tokens is hashed and looked up, and a hit is verified word by word.
 
 The windows are counted first. A set of bounded size is broadcast; a larger one is joined
 like any table, with the same result.
@@ -94,6 +94,57 @@ def _merged(hits: Column) -> Column:
     return F.aggregate(F.array_sort(hits), start, step, last)
 
 
+FOUND = "array<struct<at:int,n:int,window:string>>"
+
+
+def _scan_with_sets(texts: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
+    """Windows found in every text, with two sets that are literals of the plan.
+
+    A text without an anchor word is done; in others the hashes of all windows of tokens
+    are looked up. Nothing but the windows found leaves a row.
+    """
+    anchors = [r["anchor"] for r in windows.select("anchor").distinct().collect()]
+    per_size = []
+    for size in sizes:
+        at_size = windows.where(F.col("n") == size).select(F.xxhash64("window").alias("hash"))
+        hashes = [r["hash"] for r in at_size.distinct().collect()]
+        per_size.append(_places_in(F.col("w"), size, hashes))
+    found = F.when(F.exists("w", lambda w: w.isin(anchors)), F.concat(*per_size))
+    return texts.withColumn("found", F.coalesce(found, F.array().cast(FOUND)))
+
+
+def _places_in(words: Column, n: int, hashes: list[int]) -> Column:
+    places = F.when(F.size(words) >= n, F.sequence(F.lit(0), F.size(words) - n)).otherwise(
+        F.array().cast("array<int>")
+    )
+    hits = F.filter(places, lambda at: F.xxhash64(_window(words, at, n)).isin(hashes))
+    return F.transform(
+        hits,
+        lambda at: F.struct(at.alias("at"), F.lit(n).alias("n"), _window(words, at, n).alias("window")),
+    )
+
+
+def _scan_with_joins(texts: DataFrame, windows: DataFrame, sizes: list[int]) -> DataFrame:
+    """The same for windows of any number: hashes of all windows of tokens, joined."""
+    hashes = windows.select("n", F.xxhash64("window").alias("hash")).distinct()
+    places = None
+    for size in sizes:
+        scanned = texts.where(F.size("w") >= size).select(
+            "row", F.posexplode(_window_hashes(F.col("w"), size)).alias("at", "hash")
+        )
+        hit = scanned.join(hashes.where(F.col("n") == size), "hash", "left_semi")
+        hit = hit.select("row", "at", F.lit(size).alias("n"))
+        places = hit if places is None else places.unionByName(hit)
+    places = places.groupBy("row").agg(F.collect_list(F.struct("at", "n")).alias("places"))
+    found = F.transform(
+        "places",
+        lambda p: F.struct(
+            p["at"].alias("at"), p["n"].alias("n"), _window(F.col("w"), p["at"], p["n"]).alias("window")
+        ),
+    )
+    return texts.join(places, "row", "left").withColumn("found", F.coalesce(found, F.array().cast(FOUND)))
+
+
 def contamination(
     docs: DataFrame,
     items: DataFrame,
@@ -123,51 +174,23 @@ def contamination(
         F.xxhash64(text_or_empty(text_col)).alias("text_hash"),
         normal_words(text_or_empty(text_col)).alias("w"),
     )
-    anchors = windows.select("anchor").distinct()
-    if small:
-        known = [r["anchor"] for r in anchors.collect()]
-        suspect = F.exists("w", lambda w: w.isin(known)) if known else F.lit(False)
-        marked = texts.withColumn("suspect", suspect)
+    if not sizes:
+        seen = texts.withColumn("found", F.array().cast(FOUND))
+    elif small:
+        seen = _scan_with_sets(texts, windows, sizes)
     else:
-        holds = texts.select("row", F.explode("w").alias("anchor")).join(anchors, "anchor", "left_semi")
-        holds = holds.select("row").distinct().withColumn("suspect", F.lit(True))
-        marked = texts.join(holds, "row", "left")
+        seen = _scan_with_joins(cut_lineage(texts), windows, sizes)
     seen = cut_lineage(
-        marked.select(
-            "id", "row", "text_hash", F.size("w").alias("n_words"), F.when(F.col("suspect"), F.col("w")).alias("w")
-        )
+        seen.select("id", "row", "text_hash", F.size("w").cast("long").alias("n_words"), "found")
     )
 
-    # All windows of the suspects as hashes; only hashes leave the row.
-    hashes = windows.select("n", F.xxhash64("window").alias("hash")).distinct()
-    if small:
-        hashes = F.broadcast(hashes)
-    empty = "row long, at int, n int"
-    places = docs.sparkSession.createDataFrame([], empty)
-    for size in sizes:
-        scanned = seen.where(F.size("w") >= size).select(
-            "row",
-            F.posexplode(_window_hashes(F.col("w"), size)).alias("at", "hash"),
-        )
-        found = scanned.join(hashes.where(F.col("n") == size), "hash", "left_semi")
-        places = places.unionByName(found.select("row", "at", F.lit(size).alias("n")))
-
     # Verified word by word: the text of the window has to be that of the item.
-    per_row = places.groupBy("row").agg(F.collect_list(F.struct("at", "n")).alias("places"))
-    texts_hit = per_row.join(seen.select("row", "w"), "row").select(
-        "row",
-        F.explode(
-            F.transform(
-                "places", lambda p: F.struct(p["at"], p["n"], _window(F.col("w"), p["at"], p["n"]).alias("window"))
-            )
-        ).alias("p"),
-    )
     known_windows = windows.select("n", "window", "item")
     if small:
         known_windows = F.broadcast(known_windows)
     pair = F.struct(F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("end"))
     verified = (
-        texts_hit.select("row", "p.at", "p.n", "p.window")
+        seen.select("row", F.inline("found"))
         .join(known_windows, ["n", "window"])
         .groupBy("row")
         .agg(_merged(F.collect_set(pair)).alias("hits"), F.array_sort(F.collect_set("item")).alias("items"))
@@ -180,7 +203,7 @@ def contamination(
         .select(
             "id",
             "text_hash",
-            F.col("n_words").cast("long").alias("n_words"),
+            "n_words",
             hits.alias("hits"),
             F.aggregate(hits, F.lit(0).cast("long"), lambda a, h: a + h["end"] - h["start"]).alias("n_hit"),
             F.coalesce("items", F.array().cast("array<string>")).alias("items"),
