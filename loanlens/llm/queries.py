@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 
 from loanlens.llm.common import read_table, sha256_hex
 from loanlens.llm.decontaminate import contamination, is_contaminated
+from loanlens.llm.near_vectors import near_vectors
 from loanlens.llm.ngram_join import ngram_join
 from loanlens.llm.packing import pack, token_pieces
 from loanlens.llm.secret_scan import digest, find_secrets
 from loanlens.llm.sharding import shard_by_bytes
 from loanlens.llm.shared_files import new_folder
 from loanlens.llm.token_files import read_token_files, write_token_files
+from loanlens.llm.url_filter import url_verdicts, verdict_sql
 from loanlens.llm.warc import archive_pages, read_records
 
 
@@ -57,6 +59,10 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_verdicts(read_table(spark, sf_dir, "pages"))
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files, ranks = write_token_files(
         read_table(spark, sf_dir, "documents"),
@@ -72,6 +78,10 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return judged.select(
@@ -90,7 +100,9 @@ QUERIES = {
     "op3_warc": op3_warc,
     "op5_secrets": op5_secrets,
     "op6_sharding": op6_sharding,
+    "op7_url_filter": op7_url_filter,
     "op8_token_files": op8_token_files,
+    "op9_near_vectors": op9_near_vectors,
     "op10_decontamination": op10_decontamination,
 }
 
@@ -106,4 +118,5 @@ FROM g
 
 SQL: dict[str, str] = {
     "op3_warc": OP3,
+    "op7_url_filter": verdict_sql(),
 }
