@@ -11,6 +11,7 @@ from loanlens.llm.decontaminate import contamination, is_contaminated
 from loanlens.llm.near_vectors import near_vectors
 from loanlens.llm.ngram_join import ngram_join
 from loanlens.llm.packing import pack, token_pieces
+from loanlens.llm.quality import quality_scores
 from loanlens.llm.secret_scan import digest, find_secrets
 from loanlens.llm.sharding import shard_by_bytes
 from loanlens.llm.shared_files import new_folder
@@ -43,6 +44,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(read_table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(find_secrets(read_table(spark, sf_dir, "documents")))
 
@@ -98,6 +103,7 @@ QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_packing": op2_packing,
     "op3_warc": op3_warc,
+    "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
     "op6_sharding": op6_sharding,
     "op7_url_filter": op7_url_filter,
