@@ -5,8 +5,14 @@ For each such pair of bands the Jaccard bound becomes a bound k on the symmetric
 difference. The domain of n-grams is cut by a hash into n1 parts with n2 parts each; as
 n1 * (k2 + 1) > k, two similar sets differ in at most k2 of the n2 parts of some first-level
 part, so they agree on one of the subsets of n2 - k2 of them. The hash of a set's n-grams
-in such a subset is a signature: similar sets share one. Sets with a shared signature are
-compared exactly.
+in such a subset is a signature: similar sets share one.
+
+Sets that share a signature are first compared by sketches: one bit for each of a few
+times as many places as the set has n-grams, set by the parity of the n-grams there. Two
+sketches differ in no more places than the sets differ in n-grams, so no similar pair is
+dismissed. Of the pairs left, a forest that connects the sets of a signature is compared
+exactly. Where such a pair fails, all pairs of its signatures that are not connected by
+then are compared exactly too. So every similar pair is linked or connected by links.
 
 A subset that holds no n-gram of a set says little, and many sets share it. There are
 e first-level parts more than needed, so that similar sets agree in e + 1 of them; a set
@@ -30,6 +36,9 @@ from pyspark.sql import functions as F
 from loanlens.llm.common import cut_lineage, mix, row_ranges, text_buffer
 from loanlens.llm.graph import components
 
+# Bits of the filter of ids whose texts are read again: 2 MB, sent to every task.
+FILTER_BITS = 1 << 24
+
 # Sets compared with each other in one piece of work; larger groups are cut into blocks.
 BLOCK = 1024
 
@@ -209,11 +218,17 @@ def signatures(grams: np.ndarray, layout: Layout) -> np.ndarray:
 def _keys_of(measure: Measure):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(len(g), *set_key(g)) for g in ngram_sets(batch.column(1), measure)]
-            n, low, high = (list(c) for c in zip(*rows)) if rows else ([], [], [])
+            rows = [(len(g), *set_key(g), sketch(g)) for g in ngram_sets(batch.column(1), measure)]
+            n, low, high, sketches = (list(c) for c in zip(*rows)) if rows else ([], [], [], [])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(low, pa.int64()), pa.array(high, pa.int32())],
-                ["id", "n", "low", "high"],
+                [
+                    batch.column(0),
+                    pa.array(n, pa.int64()),
+                    pa.array(low, pa.int64()),
+                    pa.array(high, pa.int32()),
+                    pa.array(sketches, pa.binary()),
+                ],
+                ["id", "n", "low", "high", "sketch"],
             )
 
     return run
@@ -316,140 +331,207 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out(waiting)
 
 
-def _sets_of(measure: Measure):
+def sketch(grams: np.ndarray) -> bytes:
+    """Parity of the n-grams at each of 4 to 8 times as many places, a power of two."""
+    width = 64
+    while width < 4 * len(grams):
+        width *= 2
+    place = mix(grams + np.uint64(0xC2B2AE3D27D4EB4F)) & np.uint64(width - 1)
+    return np.packbits(np.bincount(place.astype(np.int64), minlength=width) & 1).tobytes()
+
+
+def _folded(blobs: list[bytes]) -> np.ndarray:
+    """Sketches as rows of words, the wider ones folded to the width of the narrowest.
+
+    A fold keeps the bound: bits of one place are added modulo two.
+    """
+    width = min(map(len, blobs))
+    out = np.empty((len(blobs), width), np.uint8)
+    for i, blob in enumerate(blobs):
+        # Place p of a narrower sketch is p modulo its width.
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(blob, np.uint8).reshape(-1, width), 0)
+    return out.view(np.uint64)
+
+
+def sketch_pairs(
+    sizes: np.ndarray, sketches: np.ndarray, labels: np.ndarray, forest: bool, measure: Measure
+) -> list[tuple[int, int]]:
+    """Pairs of different labels that may be similar, as far as sketches tell.
+
+    With ``forest`` a pair makes one label of two, so the pairs only connect what may be
+    connected; without, all pairs are returned.
+    """
+    labels = labels.copy()
+    num, den = measure.numerator, measure.denominator
+    pairs = []
+    for i in range(len(sizes) - 1):
+        others = np.flatnonzero(labels[i + 1 :] != labels[i]) + i + 1
+        if len(others) == 0:
+            continue
+        n = sizes[others]
+        limit = (n + sizes[i]) * (den - num) // (den + num)
+        close = np.abs(n - sizes[i]) <= limit
+        others, limit = others[close], limit[close]
+        differ = np.bitwise_count(sketches[others] ^ sketches[i]).sum(1, dtype=np.int64)
+        for j in others[differ <= limit].tolist():
+            if labels[j] != labels[i]:
+                pairs.append((i, j))
+                if forest:
+                    labels[labels == labels[j]] = labels[i]
+    return pairs
+
+
+def _sets_of(measure: Measure, wanted):
+    """Rows (low, high, grams) of the texts whose hash has its bit in the broadcast ``wanted``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = wanted.value
         for batch in batches:
+            h = batch.column(0).to_numpy().view(np.uint64) & np.uint64(FILTER_BITS - 1)
+            chosen = (bits[(h >> np.uint64(6)).astype(np.int64)] >> (h & np.uint64(63))) & _ONE
+            text = batch.column(1).filter(pa.array(chosen.astype(bool)))
             rows: list[tuple] = []
             size = 0
-            for grams in ngram_sets(batch.column(0), measure):
+            for grams in ngram_sets(text, measure):
                 rows.append((*set_key(grams), grams.tobytes()))
                 size += grams.nbytes
                 if size > 8 << 20:
-                    yield _set_rows(rows)
+                    yield _batch(rows, _SET)
                     rows, size = [], 0
             if rows:
-                yield _set_rows(rows)
+                yield _batch(rows, _SET)
 
     return run
 
 
-def _set_rows(rows: list[tuple]) -> pa.RecordBatch:
-    low, high, grams = zip(*rows)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(low, pa.int64()), pa.array(high, pa.int32()), pa.array(grams, pa.binary())],
-        ["low", "high", "grams"],
+def _filter_of(ids: DataFrame) -> np.ndarray:
+    """One bit per id (column ``id``), by hash: FILTER_BITS of them, whatever the number of ids."""
+    bit = ids.select(F.xxhash64("id").bitwiseAND(F.lit(FILTER_BITS - 1)).alias("bit"))
+    words = bit.groupBy(F.shiftright("bit", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 AS int))")).alias("bits")
     )
+    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    found = words.toArrow()  # FILTER_BITS / 64 rows at most
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
 
 
-def links_within(sets: list[np.ndarray], measure: Measure) -> list[tuple[int, int]]:
-    """Similar pairs that connect all that similar pairs connect: a spanning forest.
+_SET = [("low", pa.int64()), ("high", pa.int32()), ("grams", pa.binary())]
+_PAIR = [("low_a", pa.int64()), ("high_a", pa.int32()), ("u", pa.int64())]
+_PAIR += [("low_b", pa.int64()), ("high_b", pa.int32()), ("v", pa.int64())]
+PAIR = "low_a long, high_a int, u long, low_b long, high_b int, v long"
 
-    Pairs that are connected by earlier links are not compared again.
-    """
-    order = np.argsort([len(s) for s in sets], kind="stable")
-    sizes = np.array([len(sets[i]) for i in order])
-    label = np.arange(len(sets))
-    if len(sets) == 2:
-        a, b = sets
-        common = len(np.intersect1d(a, b, assume_unique=True))
-        return [(0, 1)] if len(a) and len(b) and measure.similar(common, len(a), len(b)) else []
-    # N-grams as small numbers, so that membership is a table.
-    _, numbers = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
-    bounds = np.r_[0, np.cumsum(sizes)]
-    inside = np.zeros(int(numbers.max(initial=-1)) + 1, np.int32)
-    links = []
-    for i in range(len(sets)):
-        if sizes[i] == 0:
-            continue
-        limit = np.searchsorted(sizes, sizes[i] * measure.denominator // measure.numerator, "right")
-        others = np.arange(i + 1, limit)
-        others = others[label[others] != label[i]]
-        if len(others) == 0:
-            continue
-        own = numbers[bounds[i] : bounds[i + 1]]
-        inside[own] = 1
-        for block in np.array_split(others, max(1, int(sizes[others].sum()) // 2_000_000 + 1)):
-            if len(block) == 0:
-                continue
-            members = np.concatenate([numbers[bounds[j] : bounds[j + 1]] for j in block])
-            starts = np.r_[0, np.cumsum(sizes[block])[:-1]]
-            common = np.add.reduceat(inside[members], starts)
-            for j in block[measure.similar(common, sizes[i], sizes[block])].tolist():
-                if label[j] != label[i]:
-                    label[label == label[j]] = label[i]
-                    links.append((int(order[i]), int(order[j])))
-        inside[own] = 0
-    return links
-
-
-def _links_of(measure: Measure):
-    """From rows (grp, low, high, grams) sorted by group: links between sets of a group."""
-
-    def finish(group: list[tuple]) -> list[tuple]:
-        if len(group) < 2:
+
+def _batch(rows: list[tuple], fields: list[tuple]) -> pa.RecordBatch:
+    columns = [pa.array(column, kind) for column, (_, kind) in zip(zip(*rows), fields)]
+    return pa.RecordBatch.from_arrays(columns, [name for name, _ in fields])
+
+
+def _candidates_of(measure: Measure, forest: bool):
+    """From rows (grp, low, high, node, label, n, sketch) sorted by the first: pairs to compare."""
+
+    def finish(group: list[tuple], met: set) -> list[tuple]:
+        if len({g[3] for g in group}) < 2:
             return []
-        sets = [np.frombuffer(g[2], np.uint64) for g in group]
-        return [(*group[a][:2], *group[b][:2]) for a, b in links_within(sets, measure)]
+        sizes = np.array([g[4] for g in group])
+        labels = np.unique([g[3] for g in group], return_inverse=True)[1]
+        pairs = sketch_pairs(sizes, _folded([g[5] for g in group]), labels, forest, measure)
+        found = [(*group[a][:3], *group[b][:3]) for a, b in pairs]
+        fresh = [pair for pair in found if pair not in met]
+        if len(met) > 200_000:
+            met.clear()
+        met.update(fresh)
+        return fresh
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, group = None, []
+        at, group, met = None, [], set()
         for batch in batches:
             found = []
-            columns = [batch.column(k).to_pylist() for k in range(4)]
-            for key, *row in zip(*columns):
+            for key, *row in zip(*(batch.column(k).to_pylist() for k in range(7))):
                 if key != at:
-                    found += finish(group)
+                    found += finish(group, met)
                     at, group = key, []
                 group.append(tuple(row))
             if found:
-                yield _link_rows(found)
-        if last := finish(group):
-            yield _link_rows(last)
+                yield _batch(found, _PAIR)
+        if last := finish(group, met):
+            yield _batch(last, _PAIR)
 
     return run
 
 
-def _link_rows(found: list[tuple]) -> pa.RecordBatch:
-    a, b, c, d = zip(*found)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(a, pa.int64()), pa.array(b, pa.int32()), pa.array(c, pa.int64()), pa.array(d, pa.int32())],
-        ["low_a", "high_a", "low_b", "high_b"],
-    )
+def _compared_of(measure: Measure):
+    """From rows (a, b, grams of a, grams of b): whether they are similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            similar = []
+            for i in range(batch.num_rows):
+                a, b = (np.frombuffer(batch.column(k)[i].as_buffer(), np.uint64) for k in (2, 3))
+                common = len(np.intersect1d(a, b, assume_unique=True))
+                similar.append(bool(measure.similar(common, len(a), len(b))))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(similar)], ["u", "v", "similar"]
+            )
+
+    return run
 
 
 # -- the operator -------------------------------------------------------------------------
 
 
-def set_links(df: DataFrame, keys: DataFrame, measure: Measure, id_col: str, text_col: str) -> DataFrame:
-    """Links between distinct sets (low, high: the key), enough to connect all similar ones."""
+def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, text_col: str) -> DataFrame:
+    """Links (u, v) between nodes of ``sets``, enough to connect all similar ones.
+
+    ``sets`` has one row per distinct set: low, high (the key), node (an id), n, sketch.
+    """
     texts = df.where(F.col(id_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"))
     rows = texts.mapInArrow(_signatures_of(measure), "sig long, low long")
-    bucket = F.shiftright("sig", 16)
     groups = (
-        rows.repartition(bucket)
+        rows.repartition(F.shiftright("sig", 16))
         .sortWithinPartitions("sig", "low")
         .mapInArrow(_groups, "members binary")
         .dropDuplicates(["members"])
         .withColumn("grp", F.monotonically_increasing_id())
     )
     members = cut_lineage(groups.mapInArrow(_members, "grp long, low long, high int"))
-    wanted = members.select("low", "high").distinct()
-    # One document per set, and its n-grams again.
-    first = keys.where("n > 0").groupBy("low", "high").agg(F.min("id").alias("id"))
-    first = first.join(wanted, ["low", "high"], "left_semi").select(F.col("id").alias("_id")).distinct()
-    chosen = df.join(first, F.col(id_col) == F.col("_id"), "left_semi")
-    sets = (
-        chosen.select(F.col(text_col).cast("string").alias("text"))
-        .mapInArrow(_sets_of(measure), "low long, high int, grams binary")
-        .dropDuplicates(["low", "high"])
-    )
-    compared = (
-        members.join(sets, ["low", "high"])
-        .select("grp", "low", "high", "grams")
-        .repartition("grp")
-        .sortWithinPartitions("grp")
-    )
-    return compared.mapInArrow(_links_of(measure), "low_a long, high_a int, low_b long, high_b int").distinct()
+    sets = sets.withColumn("label", F.col("node"))
+
+    def pairs(rows: DataFrame, forest: bool) -> DataFrame:
+        order = ["grp", "low", "high"]
+        rows = rows.select(*order, "node", "label", "n", "sketch").repartition("grp").sortWithinPartitions(*order)
+        return cut_lineage(rows.mapInArrow(_candidates_of(measure, forest), PAIR).distinct())
+
+    def compared(found: DataFrame) -> DataFrame:
+        # Their n-grams again, from the texts that are probably meant: only these are shuffled.
+        ids = found.select(F.col("u").alias("id")).unionByName(found.select(F.col("v").alias("id")))
+        wanted = df.sparkSession.sparkContext.broadcast(_filter_of(ids))
+        texts = df.where(F.col(id_col).isNotNull()).select(
+            F.xxhash64(F.col(id_col).cast("long")), F.col(text_col).cast("string").alias("text")
+        )
+        grams = texts.mapInArrow(_sets_of(measure, wanted), "low long, high int, grams binary")
+        grams = cut_lineage(grams.dropDuplicates(["low", "high"]))
+        a = grams.toDF("low_a", "high_a", "ga")
+        b = grams.toDF("low_b", "high_b", "gb")
+        both = found.join(a, ["low_a", "high_a"]).join(b, ["low_b", "high_b"])
+        return cut_lineage(
+            both.select("u", "v", "ga", "gb").mapInArrow(_compared_of(measure), "u long, v long, similar boolean")
+        )
+
+    tried = compared(pairs(members.join(sets, ["low", "high"]), True))
+    links = tried.where("similar").select("u", "v")
+    failed = tried.where("NOT similar")
+    if failed.isEmpty():
+        return links
+    # Signatures that hold a set of a failed pair, with what is connected so far as one.
+    doubtful = failed.select(F.col("u").alias("node")).unionByName(failed.select(F.col("v").alias("node"))).distinct()
+    doubtful = sets.select("low", "high", "node").join(doubtful, "node", "left_semi").select("low", "high")
+    again = members.join(doubtful, ["low", "high"], "left_semi").select("grp").distinct()
+    rest = cut_lineage(members.join(again, "grp", "left_semi"))
+    joined = components(links).select(F.col("id").alias("node"), "component")
+    rows = rest.join(sets, ["low", "high"]).join(joined, "node", "left")
+    more = compared(pairs(rows.withColumn("label", F.coalesce("component", "node")), False))
+    return links.unionByName(more.where("similar").select("u", "v"))
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -480,17 +562,18 @@ def ngram_join(
     """
     ids = F.col(id_col).cast("long").alias("id")
     texts = df.select(ids, F.col(text_col).cast("string").alias("text"))
-    keys = cut_lineage(texts.mapInArrow(_keys_of(measure), "id long, n long, low long, high int"))
+    keys = cut_lineage(texts.mapInArrow(_keys_of(measure), "id long, n long, low long, high int, sketch binary"))
     named = keys.where("id IS NOT NULL AND n > 0")
-    first = cut_lineage(named.groupBy("low", "high").agg(F.min("id").alias("first")))
-    links = set_links(df, keys.where("id IS NOT NULL"), measure, id_col, text_col)
-    a = first.select(F.col("low").alias("low_a"), F.col("high").alias("high_a"), F.col("first").alias("u"))
-    b = first.select(F.col("low").alias("low_b"), F.col("high").alias("high_b"), F.col("first").alias("v"))
-    between = links.join(a, ["low_a", "high_a"]).join(b, ["low_b", "high_b"]).select("u", "v")
+    sets = named.groupBy("low", "high").agg(
+        F.min("id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")
+    )
+    sets = cut_lineage(sets)
+    between = set_links(df, sets, measure, id_col, text_col)
     # Documents with the set of another one are linked to the first such.
-    same = named.join(first, ["low", "high"]).where("id <> first")
-    found = components(between.unionByName(same.select(F.col("id").alias("u"), F.col("first").alias("v"))))
-    return keys.join(found, "id", "left").select(
+    same = named.select("id", "low", "high").join(sets.select("low", "high", "node"), ["low", "high"])
+    same = same.where("id <> node").select(F.col("id").alias("u"), F.col("node").alias("v"))
+    found = components(between.unionByName(same))
+    return keys.select("id", "n").join(found, "id", "left").select(
         F.col("id").alias(id_col),
         F.col("n").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"),
