@@ -146,22 +146,14 @@ MODEL_FEATURES = NUMERIC_FEATURES + AGE_BAND_COLUMNS + INCOME_BAND_COLUMNS
 
 @dataclass(frozen=True)
 class TrainingProfile:
-    """Sizes of the candidate models.
+    """Sizes of the candidate models; the defaults are those of production."""
 
-    The defaults keep a local run short; :meth:`full` has the sizes meant for
-    production runs.
-    """
-
-    forest_trees: int = 60
-    boosting_rounds: int = 30
+    forest_trees: int = 500
+    boosting_rounds: int = 1000
     logistic_iterations: int = 2000
-    max_bins: int = 64
+    max_bins: int = 256
     fold_parallelism: int = 2
 
-    @classmethod
-    def full(cls) -> TrainingProfile:
-        return cls(forest_trees=500, boosting_rounds=1000, max_bins=256)
-
 
 @dataclass(frozen=True)
 class Config:

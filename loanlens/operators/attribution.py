@@ -18,7 +18,6 @@ from loanlens.functions.values import col, half_even, number
 ATTRIBUTIONS = "attributions"
 SIGNIFICANT = 0.001
 TOP_DRIVERS = 4
-TOP_FEATURES = 20
 
 
 def linear_attributions(
@@ -44,9 +43,9 @@ def global_importance(
     df: DataFrame,
     features: Sequence[str],
     attr: str = ATTRIBUTIONS,
-    top: int | None = TOP_FEATURES,
+    top: int | None = None,
 ) -> DataFrame:
-    """Mean absolute attribution per feature, largest first.
+    """Mean absolute attribution of all features, or of the ``top`` ones, largest first.
 
     One aggregate over all features at once; only its single row is reshaped.
     """

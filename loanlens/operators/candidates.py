@@ -42,6 +42,7 @@ class Candidate:
     name: str
     weights: Callable[[ClassCounts], tuple[float, float]]
     build: Callable[[ClassCounts], Estimator]
+    balanced: bool = True
 
 
 def candidates(cfg: Config) -> dict[str, Candidate]:
@@ -91,7 +92,7 @@ def candidates(cfg: Config) -> dict[str, Candidate]:
     known = {
         "logistic": Candidate("logistic", lambda c: c.balanced, logistic),
         "forest": Candidate("forest", lambda c: c.balanced, forest),
-        "boosted_a": Candidate("boosted_a", lambda c: c.boosted, boosted(6)),
-        "boosted_b": Candidate("boosted_b", lambda c: c.boosted, boosted(8)),
+        "boosted_a": Candidate("boosted_a", lambda c: c.boosted, boosted(6), False),
+        "boosted_b": Candidate("boosted_b", lambda c: c.boosted, boosted(8), False),
     }
     return {name: known[name] for name in cfg.candidates}

@@ -1,13 +1,12 @@
 """Cumulative curves of a scored, labelled table, and what follows from them.
 
 Rows are first counted per distinct probability, so ties are one point and the
-raw rows never enter a window. What is accumulated is either bounded by the
-rounding of the probabilities or split into ranges (see :func:`curve`).
+raw rows never enter a window. What is accumulated is split into ranges (see
+:func:`curve`).
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -15,95 +14,71 @@ from pyspark.sql import functions as F
 from loanlens.config import TARGET
 from loanlens.session import cut_lineage
 
-# Up to this many decimals, a probability takes few enough values (a million and
-# one) to be accumulated in a single task.
-MAX_GRID_PLACES = 6
-RANGES = 512
-
 
 def count_by_probability(
     scored: DataFrame, p: str = "p", label: str = TARGET, places: int | None = None
 ) -> DataFrame:
-    """``(p, n, bad, good)`` per distinct probability."""
+    """``(p, n, bad, good)`` per distinct probability; rows without p or label are left out."""
     value = F.col(p) if places is None else F.bround(F.col(p), places)
     bad = F.sum(F.col(label).cast("long"))
     return (
-        scored.groupBy(value.alias("p"))
+        scored.where(F.col(p).isNotNull() & F.col(label).isNotNull())
+        .groupBy(value.alias("p"))
         .agg(F.count(F.lit(1)).alias("n"), bad.alias("bad"))
         .withColumn("good", F.col("n") - F.col("bad"))
     )
 
 
-def _accumulated(points: DataFrame) -> DataFrame:
-    """Running totals over few rows, highest probability first."""
-    down = W.orderBy(F.col("p").desc()).rowsBetween(W.unboundedPreceding, 0)
-    return points.withColumns(
-        {"cum_bad": F.sum("bad").over(down), "cum_good": F.sum("good").over(down)}
-    )
-
+def curve(
+    scored: DataFrame,
+    p: str = "p",
+    label: str = TARGET,
+    places: int | None = None,
+    ranges: int | None = None,
+) -> DataFrame:
+    """One row per distinct probability with counts, running totals and totals.
 
-def _accumulated_by_range(points: DataFrame, ranges: int) -> DataFrame:
-    """Running totals over any number of rows.
+    Rows without a probability or a label are no points and count in no total. With
+    ``places`` the probabilities are rounded first.
 
-    The probabilities are cut into ranges of about equally many distinct values.
-    Totals per range (few rows) give the start of every range, and each range is
-    accumulated on its own.
+    The points are cut into ranges of probabilities, as many as their size asks for (or
+    ``ranges``), and written once. Totals per range, few rows, give the start of every
+    range, and each range is accumulated on its own.
     """
-    points = cut_lineage(points)
-    cuts = [i / ranges for i in range(1, ranges)]
-    found = points.agg(F.percentile_approx("p", cuts, 20 * ranges)).first()[0] if cuts else None
-    splits = [float("-inf"), *sorted(set(found or [0.5])), float("inf")]
-    ranged = Bucketizer(splits=splits, inputCol="p", outputCol="part").transform(points)
+    points = count_by_probability(scored, p, label, places)
+    ranged = points.repartitionByRange("p") if ranges is None else points.repartitionByRange(ranges, "p")
+    # Range partitions are numbered in the order of their probabilities.
+    ranged = cut_lineage(ranged.withColumn("part", F.spark_partition_id()))
     above = W.orderBy(F.col("part").desc()).rowsBetween(W.unboundedPreceding, -1)
+    everything = W.partitionBy()
+    none = F.lit(0).cast("long")
     starts = (
         ranged.groupBy("part")
         .agg(F.sum("bad").alias("b"), F.sum("good").alias("g"))
         .select(
             "part",
-            F.coalesce(F.sum("b").over(above), F.lit(0)).alias("bad_above"),
-            F.coalesce(F.sum("g").over(above), F.lit(0)).alias("good_above"),
+            F.coalesce(F.sum("b").over(above), none).alias("bad_above"),
+            F.coalesce(F.sum("g").over(above), none).alias("good_above"),
+            F.sum("b").over(everything).alias("n_bad"),
+            F.sum("g").over(everything).alias("n_good"),
         )
     )
-    # At most `ranges` rows, so this broadcast is bounded.
-    joined = ranged.join(F.broadcast(starts), "part")
     down = (
         W.partitionBy("part")
         .orderBy(F.col("p").desc())
         .rowsBetween(W.unboundedPreceding, 0)
     )
-    return joined.withColumns(
-        {
-            "cum_bad": F.sum("bad").over(down) + F.col("bad_above"),
-            "cum_good": F.sum("good").over(down) + F.col("good_above"),
-        }
-    ).drop("part", "bad_above", "good_above")
-
-
-def curve(
-    scored: DataFrame,
-    p: str = "p",
-    label: str = TARGET,
-    places: int | None = None,
-    ranges: int = RANGES,
-) -> DataFrame:
-    """One row per distinct probability with counts, running totals and totals.
-
-    With ``places`` the probabilities are rounded first, which bounds the number
-    of points. Without, they are used as they are and accumulated range by range;
-    this writes the points to the checkpoint folder once.
-    """
-    points = count_by_probability(scored, p, label, places)
-    if places is not None and places <= MAX_GRID_PLACES:
-        rows = _accumulated(points)
-        everything = W.partitionBy().rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-        return rows.withColumns(
-            {"n_bad": F.sum("bad").over(everything), "n_good": F.sum("good").over(everything)}
+    # One row per range.
+    return (
+        ranged.join(F.broadcast(starts), "part")
+        .withColumns(
+            {
+                "cum_bad": F.sum("bad").over(down) + F.col("bad_above"),
+                "cum_good": F.sum("good").over(down) + F.col("good_above"),
+            }
         )
-    rows = _accumulated_by_range(points, ranges)
-    totals = points.agg(
-        F.coalesce(F.sum("bad"), F.lit(0)), F.coalesce(F.sum("good"), F.lit(0))
-    ).first()
-    return rows.withColumns({"n_bad": F.lit(totals[0]), "n_good": F.lit(totals[1])})
+        .drop("part", "bad_above", "good_above")
+    )
 
 
 # --- Expressions over one point of a curve -----------------------------------

@@ -14,6 +14,7 @@ from loanlens.operators.curves import (
     curve,
     ks_aggregate,
 )
+from loanlens.session import cut_lineage
 
 CALIBRATION_BINS = 10
 HISTOGRAM_BINS = 40
@@ -134,7 +135,11 @@ def class_report(counts: DataFrame) -> DataFrame:
 def calibration(
     scored: DataFrame, p: str = "p", label: str = TARGET, bins: int = CALIBRATION_BINS
 ) -> DataFrame:
-    """Mean probability and share of bad loans per right-closed bin; empty bins are left out."""
+    """Mean probability and share of bad loans per right-closed bin; empty bins are left out.
+
+    Rows without a probability or a label are left out too.
+    """
+    scored = scored.where(F.col(p).isNotNull() & F.col(label).isNotNull())
     inner = [i / bins for i in range(1, bins)]
     number = F.lit(1)
     for edge in inner:
@@ -154,7 +159,13 @@ def pd_histogram(
     A class with a single value gets a range of one around it, as usual for
     histograms.
     """
-    rows = scored.select(F.col(label).cast("int").alias("label"), F.col(p).alias("p"))
+    # Rows are counted per value first; what is read twice is small and written.
+    known = scored.where(F.col(p).isNotNull() & F.col(label).isNotNull())
+    rows = cut_lineage(
+        known.groupBy(F.col(label).cast("int").alias("label"), F.col(p).alias("p")).agg(
+            F.count(F.lit(1)).alias("n")
+        )
+    )
     ranges = rows.groupBy("label").agg(F.min("p").alias("low"), F.max("p").alias("high"))
     flat = F.col("low") == F.col("high")
     ranges = ranges.select(
@@ -169,7 +180,7 @@ def pd_histogram(
     width = (F.col("high") - F.col("low")) / bins
     return (
         placed.groupBy("label", number.alias("bin"), "low", "high")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("n").alias("n"))
         .select(
             "label",
             "bin",

@@ -24,12 +24,14 @@ def first_per_loan(
 ) -> DataFrame:
     """The first row of each loan, reduced to ``columns``.
 
-    Rows are ordered by ``order_by``, or by their place in the source file when
-    the reader recorded it. Rows that tie are ordered by their values, so the
-    outcome never depends on the partitioning.
+    Rows are ordered by ``order_by``, or by their place in the source file, which the
+    reader records; a table with neither has no first row and is refused. Rows that tie
+    are ordered by their values, so the outcome never depends on the partitioning.
     """
     if order_by is None:
-        order_by = [INGEST_ORDER] if INGEST_ORDER in df.columns else []
+        if INGEST_ORDER not in df.columns:
+            raise ValueError(f"no order of rows: pass order_by or a column {INGEST_ORDER}")
+        order_by = [INGEST_ORDER]
     fields = [col(name).alias(f"o{i}") for i, name in enumerate(order_by)]
     fields += [col(name).alias(f"v{i}") for i, name in enumerate(columns)]
     picked = df.groupBy(key).agg(F.min(F.struct(*fields)).alias("row"))

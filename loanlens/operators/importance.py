@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from loanlens.operators.attribution import ATTRIBUTIONS, TOP_FEATURES, global_importance
+from loanlens.operators.attribution import ATTRIBUTIONS, global_importance
 from loanlens.operators.encode import encode_categoricals
 from loanlens.operators.scoring import RiskModel
 from loanlens.operators.split import seeded_sample
@@ -14,12 +14,12 @@ def compute_shap(
     model: RiskModel,
     data: DataFrame,
     n_samples: int | None = None,
-    top: int | None = TOP_FEATURES,
+    top: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
-    """``(feature, mean_abs_shap)`` of the strongest features, largest first.
+    """``(feature, mean_abs_shap)`` of all features, largest first.
 
-    All loans count unless ``n_samples`` asks for a sample.
+    All loans count unless ``n_samples`` asks for a sample; ``top`` keeps the first rows.
     """
     if n_samples is not None:
         data = seeded_sample(data, n_samples, seed)

@@ -48,9 +48,14 @@ class TrainedModel:
             weights = dict(zip(self.features, self._raw_coefficients()))
             means = {f: self.background.get(f, 0.0) for f in self.features}
             return df.withColumn(name, linear_attributions(df, weights, means))
-        if len(self.pipeline.stages) > 2:
-            raise NotImplementedError("tree attribution needs unscaled features")
-        return add_tree_attributions(df, self.classifier, self.features, name)
+        return add_tree_attributions(df, self.classifier, self.features, name, self._scales())
+
+    def _scales(self) -> list[float]:
+        """What each feature is divided by before it reaches the classifier."""
+        scales = [1.0] * len(self.features)
+        for stage in self.pipeline.stages[1:-1]:
+            scales = [a * s if s else 0.0 for a, s in zip(scales, stage.std.toArray())]
+        return scales
 
     def _raw_coefficients(self) -> list[float]:
         """Coefficients in units of the raw features, also behind a scaler."""

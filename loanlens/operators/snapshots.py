@@ -54,8 +54,6 @@ ORIGINATION = {
     "Cash Price": "cash_price",
     "Loan Term": "loan_term",
 }
-# Above this many dates the trend is computed from per-date sums instead.
-MAX_TREND_DATES = 64
 
 EARLY_FEATURES = (
     "early_max_dpd",
@@ -226,13 +224,6 @@ def early_dates(credit: DataFrame, cfg: Config) -> EarlyDates:
     return EarlyDates(cfg.early_snapshots)
 
 
-def _date_list(rows: DataFrame) -> list[str] | None:
-    """The distinct dates; None if they are too many or some are missing."""
-    moments = rows.select(F.col("moment").cast("string")).distinct()
-    found = [r[0] for r in moments.limit(MAX_TREND_DATES + 1).collect()]
-    return found if len(found) <= MAX_TREND_DATES and None not in found else None
-
-
 def trend_by_date(rows: DataFrame) -> DataFrame:
     """Trend per loan for any number of dates, from per-date counts and sums.
 
@@ -261,13 +252,14 @@ def loan_aggregate(
 ) -> DataFrame:
     """One row per loan: early features, origination, last date and, if asked, label.
 
-    Loans without an early row are left out.
+    Loans without an early row are left out; rows without a loan id are one loan. The
+    trend is part of the aggregate where the dates are configured, and else comes from
+    sums per date, whose number only the data knows.
     """
     rows = measured(credit, early.dates)
-    dates = list(early.dates) if early.dates is not None else _date_list(rows)
     aggregates = early_aggregates()
-    if dates:
-        trend = trend_aggregate(F.col("early"), F.col("moment"), F.col("dpd"), dates)
+    if early.dates:
+        trend = trend_aggregate(F.col("early"), F.col("moment"), F.col("dpd"), early.dates)
         aggregates.append(trend.alias("early_dpd_trend"))
     aggregates += [
         first_known(F.col(name), F.col("moment")).alias(name)
@@ -281,9 +273,11 @@ def loan_aggregate(
     if definition is not None:
         aggregates.append(label_aggregate(definition))
     loans = rows.groupBy(LOAN_ID).agg(*aggregates).filter("seen_early").drop("seen_early")
-    if dates is None:
-        loans = loans.join(trend_by_date(rows), LOAN_ID)
-    elif not dates:
+    if early.dates is None:
+        trend = trend_by_date(rows).withColumnRenamed(LOAN_ID, "_trend_loan")
+        same = col(LOAN_ID).eqNullSafe(F.col("_trend_loan"))
+        loans = loans.join(trend, same, "left").drop("_trend_loan")
+    elif not early.dates:
         loans = loans.withColumn("early_dpd_trend", F.lit(0.0))
     return loans
 

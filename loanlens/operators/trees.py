@@ -178,11 +178,19 @@ def _attribute(leaves: list[Leaf]) -> Callable[[Column], Column]:
 
 
 def add_tree_attributions(
-    df: DataFrame, model, features: list[str], name: str = "attributions"
+    df: DataFrame,
+    model,
+    features: list[str],
+    name: str = "attributions",
+    scales: list[float] | None = None,
 ) -> DataFrame:
     """Add an array of Shapley values in feature order: log-odds for boosted trees,
-    probability for a forest. Together with the base value they sum to the margin."""
-    x = F.array(*[col(f).cast("double") for f in features])
+    probability for a forest. Together with the base value they sum to the margin. Features
+    are divided by ``scales`` before they meet the trees."""
+    # A scaler makes 0 of a feature that does not vary.
+    scales = scales or [1.0] * len(features)
+    values = zip(features, scales)
+    x = F.array(*[col(f).cast("double") / s if s else F.lit(0.0) for f, s in values])
     total = F.array(*[F.lit(0.0) for _ in features])
     for piece in _passes(ensemble_leaves(model)):
         total = F.zip_with(total, _attribute(piece)(x), lambda a, b: a + b)

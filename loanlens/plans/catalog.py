@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from loanlens.config import LOAN_ID, NUMERIC_FEATURES, TARGET, TARGET_DEFINITIONS, TrainingProfile
 from loanlens.functions.bands import pd_to_score, risk_band
 from loanlens.functions.naming import normalise_loan_id
-from loanlens.functions.values import half_even, parse_date
+from loanlens.functions.values import col, half_even, parse_date
 from loanlens.operators import curves
 from loanlens.operators.attribution import (
     add_reason_codes,
@@ -68,7 +68,7 @@ from loanlens.plans.features import (
     build_labelled_matrix,
     last_demographics,
 )
-from loanlens.plans.training import fit_candidate, prepare_xy
+from loanlens.plans.training import fit_candidate, prepare_xy, train
 from loanlens.session import checkpoint_folder, cut_lineage
 from loanlens.sources.borrowers import shape_nps
 from loanlens.sources.snapshots import infer_numeric, union_snapshots
@@ -132,13 +132,13 @@ def _encoded(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
-    """Loan, label and scorecard probability to four decimals."""
+    """Loan, label and scorecard probability, unrounded."""
     rows = SCORECARD.add_probability(encode_categoricals(_labelled(spark, sf)))
-    return rows.select(LOAN_ID, TARGET, half_even(F.col("p"), 4).alias("p"))
+    return rows.select(LOAN_ID, TARGET, "p")
 
 
 def _points(spark: SparkSession, sf: str) -> DataFrame:
-    return curves.curve(_scored(spark, sf), places=4)
+    return curves.curve(_scored(spark, sf))
 
 
 def _scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -158,7 +158,8 @@ def q_snapshot_union(spark: SparkSession, sf: str) -> DataFrame:
     ]
     cut = F.lit("1998-01-01").cast("timestamp_ntz")
     older = orders.filter(F.col("o_orderdate") < cut)
-    newer = orders.filter(F.col("o_orderdate") >= cut)
+    # Rows without a date belong to a snapshot too.
+    newer = orders.filter(F.coalesce(F.col("o_orderdate") >= cut, F.lit(True)))
     return union_snapshots(
         [
             older.select(*base, F.col("o_orderpriority").alias("PRIORITY")),
@@ -333,7 +334,7 @@ def q_profile(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def q_impute_median(spark: SparkSession, sf: str) -> DataFrame:
     # Read twice, so it is computed once before.
-    return exact_medians(cut_lineage(_features(spark, sf)), NUMERIC_FEATURES)
+    return exact_medians(cut_lineage(_features(spark, sf).select(*NUMERIC_FEATURES)), NUMERIC_FEATURES)
 
 
 # --- Labels and splits -------------------------------------------------------
@@ -456,23 +457,25 @@ def q_average_precision(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def q_youden(spark: SparkSession, sf: str) -> DataFrame:
-    return curves.optimal_threshold(_points(spark, sf))
+    return _rounded(curves.optimal_threshold(_points(spark, sf)), 9, "threshold")
 
 
 @_query
 def q_roc_curve(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(curves.roc_curve(_points(spark, sf)), 6, "fpr", "tpr")
+    found = _rounded(curves.roc_curve(_points(spark, sf)), 6, "fpr", "tpr")
+    return _rounded(found, 9, "threshold")
 
 
 @_query
 def q_pr_curve(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(curves.pr_curve(_points(spark, sf)), 6, "recall", "precision")
+    found = _rounded(curves.pr_curve(_points(spark, sf)), 6, "recall", "precision")
+    return _rounded(found, 9, "threshold")
 
 
 @_query
 def q_ks_curve(spark: SparkSession, sf: str) -> DataFrame:
     names = ("population", "cum_bad_share", "cum_good_share")
-    return _rounded(curves.ks_curve(_points(spark, sf)), 6, *names)
+    return _rounded(_rounded(curves.ks_curve(_points(spark, sf)), 6, *names), 9, "p")
 
 
 @_query
@@ -516,7 +519,8 @@ def q_pd_histogram(spark: SparkSession, sf: str) -> DataFrame:
 
 def _attributed(spark: SparkSession, sf: str) -> DataFrame:
     # Read for the means and again for the rows, so it is computed once before.
-    rows = cut_lineage(_encoded(spark, sf))
+    encoded = _encoded(spark, sf)
+    rows = cut_lineage(encoded.select(LOAN_ID, *map(col, SCORECARD.features)))
     return SCORECARD.with_background(rows).add_attributions(rows)
 
 
@@ -527,8 +531,8 @@ def q_linear_attrib(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def q_linear_attrib_global(spark: SparkSession, sf: str) -> DataFrame:
-    top = global_importance(_attributed(spark, sf), SCORECARD.features)
-    return _rounded(top, 6, "mean_abs_shap")
+    found = global_importance(_attributed(spark, sf), SCORECARD.features)
+    return _rounded(found, 6, "mean_abs_shap")
 
 
 def _listed(df: DataFrame, entries: str, *fields: str) -> DataFrame:
@@ -563,12 +567,10 @@ def q_fallback_reasons(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def ml_train_score(spark: SparkSession, sf: str) -> DataFrame:
-    """Train the logistic candidate on all labelled loans and score the portfolio."""
+    """The whole training: split, folds of every candidate, refit of the best; all loans scored."""
     cfg = VIEW_CONFIG.with_(profile=SMALL)
-    labelled = cut_lineage(_labelled(spark, sf))
-    rows, features, medians = prepare_xy(labelled)
-    model = fit_candidate(cut_lineage(rows), features, "logistic", cfg, medians)
-    return score_portfolio(model, labelled, cfg)
+    result = train(_labelled(spark, sf), cfg)
+    return score_portfolio(result.model, result.labelled, cfg)
 
 
 @_query
@@ -578,7 +580,7 @@ def ml_tree_attrib(spark: SparkSession, sf: str) -> DataFrame:
     labelled = cut_lineage(_labelled(spark, sf))
     rows, features, medians = prepare_xy(labelled)
     model = fit_candidate(cut_lineage(rows), features, "forest", cfg, medians)
-    return compute_shap(model, labelled)
+    return compute_shap(model, rows)
 
 
 @_query

@@ -68,7 +68,7 @@ def _target(definition: str) -> str:
       SELECT LOAN_ID, CAST(CASE WHEN {' OR '.join(tests)} THEN 1 ELSE 0 END AS INTEGER) AS target
       FROM (SELECT LOAN_ID,
               arg_max(ACCOUNT_STATUS_L2, SNAPSHOT_DATE) AS status,
-              arg_max(DAYS_PAST_DUE, SNAPSHOT_DATE) AS dpd
+              arg_max(coalesce(DAYS_PAST_DUE, 0), SNAPSHOT_DATE) FILTER (WHERE dpd_given) AS dpd
             FROM credit GROUP BY LOAN_ID)"""
 
 
@@ -81,11 +81,18 @@ _VIEWS: dict[str, str] = {
     "credit": """
       SELECT CAST(o_custkey AS VARCHAR) AS LOAN_ID,
         CAST(make_date(y, 12, 31) AS TIMESTAMP) AS SNAPSHOT_DATE,
-        CAST(greatest(0, abs(lag) % 91 - 30) AS DOUBLE) AS DAYS_PAST_DUE,
-        CASE WHEN returned = n THEN 'FPD' WHEN returned * 3 > n * 2 THEN 'FMD'
-             ELSE 'Active' END AS ACCOUNT_STATUS_L2,
-        CASE WHEN opened * 2 > n THEN 'Arrears' ELSE 'Current' END AS BALANCE_DUE_STATUS,
-        paid / 100.0::DOUBLE AS TOTAL_PAID, due / 100.0::DOUBLE AS TOTAL_DUE_TODAY
+        CASE WHEN (o_custkey + y) % 23 <> 0 AND (o_custkey + y) % 11 <> 0
+             THEN CAST(greatest(0, abs(lag) % 91 - 30) AS DOUBLE) END AS DAYS_PAST_DUE,
+        (o_custkey + y) % 23 = 0 OR (o_custkey + y) % 11 <> 0 AS dpd_given,
+        CASE WHEN (o_custkey + y) % 13 = 0 THEN NULL
+             WHEN returned = n THEN CASE (o_custkey + y) % 2 WHEN 0 THEN 'fpd' ELSE 'FPD' END
+             WHEN returned * 3 > n * 2 THEN 'FMD' ELSE 'Active' END AS ACCOUNT_STATUS_L2,
+        CASE WHEN (o_custkey + y) % 7 = 0 THEN NULL
+             WHEN opened * 2 > n THEN CASE (o_custkey + y) % 5 WHEN 0 THEN ' Arrears'
+               WHEN 1 THEN 'ARREARS' ELSE 'Arrears' END
+             ELSE 'Current' END AS BALANCE_DUE_STATUS,
+        CASE WHEN (o_custkey + y) % 19 = 0 THEN due * 2 ELSE paid END / 100.0::DOUBLE AS TOTAL_PAID,
+        CASE WHEN (o_custkey + y) % 17 = 0 THEN 0 ELSE due END / 100.0::DOUBLE AS TOTAL_DUE_TODAY
       FROM (
         SELECT o_custkey, year(o_orderdate) AS y, count(*) AS n,
           CAST(sum(date_diff('day', CAST(o_orderdate AS DATE), CAST(l_shipdate AS DATE)))
@@ -189,7 +196,7 @@ _VIEWS: dict[str, str] = {
       SELECT LOAN_ID, round_even(p, 4) AS pd_score, {_score('p')} AS credit_score,
         {_risk(_score('p'))} AS risk_band FROM probabilities""",
     "scored": """
-      SELECT LOAN_ID, target, round_even(p, 4) AS p
+      SELECT LOAN_ID, target, p
       FROM probabilities JOIN target USING (LOAN_ID)""",
     "points": """
       SELECT p, n, bad, n - bad AS good,
@@ -326,8 +333,8 @@ def oracle_sql() -> dict[str, str]:
           SELECT CAST(o_custkey AS VARCHAR) AS LOAN_ID, o_orderdate AS SNAPSHOT_DATE,
             o_totalprice AS AMOUNT,
             CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN o_orderpriority END AS PRIORITY,
-            CASE WHEN o_orderdate >= TIMESTAMP '1998-01-01' THEN o_orderstatus END AS STATUS
-          FROM orders WHERE o_orderdate IS NOT NULL""",
+            CASE WHEN o_orderdate < TIMESTAMP '1998-01-01' THEN NULL ELSE o_orderstatus END AS STATUS
+          FROM orders""",
         "q_normalise_loan_id": """
           SELECT c_name, CAST(c_custkey AS VARCHAR) AS LOAN_ID FROM customer
           WHERE c_custkey % 13 <> 0 AND c_custkey % 11 <> 0""",
@@ -517,22 +524,22 @@ def oracle_sql() -> dict[str, str]:
             """SELECT round_even(sum(bad / n_bad::DOUBLE * cum_bad / (cum_bad + cum_good)::DOUBLE), 6)
               AS pr_auc FROM points""",
         ),
-        "q_youden": _with("points", "SELECT threshold FROM best", _confusion_views("points")),
+        "q_youden": _with("points", "SELECT round_even(threshold, 9) AS threshold FROM best", _confusion_views("points")),
         "q_roc_curve": _with(
             "points",
-            """SELECT p AS threshold, round_even(cum_good / n_good::DOUBLE, 6) AS fpr,
+            """SELECT round_even(p, 9) AS threshold, round_even(cum_good / n_good::DOUBLE, 6) AS fpr,
               round_even(cum_bad / n_bad::DOUBLE, 6) AS tpr FROM points
             UNION ALL SELECT NULL, 0.0::DOUBLE, 0.0::DOUBLE""",
         ),
         "q_pr_curve": _with(
             "points",
-            """SELECT p AS threshold, round_even(cum_bad / n_bad::DOUBLE, 6) AS recall,
+            """SELECT round_even(p, 9) AS threshold, round_even(cum_bad / n_bad::DOUBLE, 6) AS recall,
               round_even(cum_bad / (cum_bad + cum_good)::DOUBLE, 6) AS precision FROM points
             UNION ALL SELECT NULL, 0.0::DOUBLE, 1.0::DOUBLE""",
         ),
         "q_ks_curve": _with(
             "points",
-            """SELECT p,
+            """SELECT round_even(p, 9) AS p,
               round_even((cum_bad + cum_good - 1) / (n_bad + n_good - 1)::DOUBLE, 6) AS population,
               round_even(cum_bad / n_bad::DOUBLE, 6) AS cum_bad_share,
               round_even(cum_good / n_good::DOUBLE, 6) AS cum_good_share FROM points""",
@@ -592,7 +599,7 @@ def oracle_sql() -> dict[str, str]:
         "q_linear_attrib_global": _with(
             "encoded",
             """SELECT feature, round_even(avg(abs(value)), 6) AS mean_abs_shap FROM parts
-            GROUP BY feature ORDER BY avg(abs(value)) DESC LIMIT 20""",
+            GROUP BY feature""",
             f"{_MEANS}, {_PARTS}",
         ),
         "q_reason_codes": _with(

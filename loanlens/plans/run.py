@@ -5,13 +5,21 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loanlens.config import Config
-from loanlens.operators.evaluation import class_report, confusion, metrics
-from loanlens.operators.curves import curve
+from loanlens.config import LOAN_ID, TARGET, Config
+from loanlens.operators.curves import curve, ks_curve, pr_curve, roc_curve
+from loanlens.operators.evaluation import (
+    calibration,
+    class_report,
+    confusion,
+    metrics,
+    pd_histogram,
+)
 from loanlens.operators.importance import compute_shap
 from loanlens.operators.model import TrainedModel
 from loanlens.operators.scoring import band_summary, explain_portfolio, score_portfolio
+from loanlens.operators.target import define_target, dropped_loans
 from loanlens.plans.features import build_feature_matrix, build_labelled_matrix
 from loanlens.plans.training import TrainResult, train
 from loanlens.session import cut_lineage
@@ -24,6 +32,7 @@ class RunResult:
     training: TrainResult
     metrics: DataFrame
     report: DataFrame
+    dropped: DataFrame
     importance: DataFrame
     attribution: DataFrame
     scores: DataFrame
@@ -35,18 +44,34 @@ def _matrix(sources: Sources, cfg: Config) -> DataFrame:
 
 
 def run_full(sources: Sources, out_dir: str, cfg: Config | None = None) -> RunResult:
-    """Everything from raw sources to written model, metrics and portfolio scores."""
+    """Everything from raw sources to written model, metrics, curves and portfolio scores.
+
+    ``out_dir`` gets model, metrics, report, the curves and tables of the evaluation,
+    importances, the number of loans without a label, and portfolio_scores.
+    """
     cfg = cfg or Config()
-    labelled = cut_lineage(
-        build_labelled_matrix(sources.credit, sources.demographics, sources.nps, cfg)
-    )
-    training = train(labelled, cfg, model_path=f"{out_dir}/model")
-    model = training.model
-    points = cut_lineage(curve(model.add_probability(training.test)))
+    matrix = build_labelled_matrix(sources.credit, sources.demographics, sources.nps, cfg)
+    training = train(matrix, cfg, model_path=f"{out_dir}/model")
+    model, labelled = training.model, training.labelled
+    scored = cut_lineage(model.add_probability(training.test).select(LOAN_ID, TARGET, "p"))
+    points = cut_lineage(curve(scored))
     record = metrics(points, model.name)
     report = class_report(confusion(points))
     write_metrics(record, f"{out_dir}/metrics")
     write_report(report, f"{out_dir}/report")
+    dropped = dropped_loans(labelled, define_target(sources.credit, cfg=cfg))
+    dropped = cut_lineage(dropped.agg(F.count(F.lit(1)).alias("n_dropped")))
+    tables = {
+        "roc_curve": roc_curve(points),
+        "pr_curve": pr_curve(points),
+        "ks_curve": ks_curve(points),
+        "calibration": calibration(scored),
+        "pd_histogram": pd_histogram(scored),
+        "importances": model.importances(None),
+        "dropped_loans": dropped,
+    }
+    for name, rows in tables.items():
+        rows.write.mode("overwrite").parquet(f"{out_dir}/{name}")
     # Every loan with features has a label, so the labelled matrix is the portfolio.
     scores = score_portfolio(model, labelled, cfg)
     write_scores(scores, f"{out_dir}/portfolio_scores")
@@ -54,8 +79,9 @@ def run_full(sources: Sources, out_dir: str, cfg: Config | None = None) -> RunRe
         training=training,
         metrics=record,
         report=report,
+        dropped=dropped,
         importance=model.importances(),
-        attribution=compute_shap(model, labelled, n_samples=500),
+        attribution=compute_shap(model, labelled),
         scores=scores,
         bands=band_summary(scores),
     )

@@ -32,7 +32,10 @@ from loanlens.session import cut_lineage, ensure_checkpoint_dir
 
 @dataclass(frozen=True)
 class TrainResult:
+    """``labelled`` is the written copy of the input, ``test`` the held-out rows, complete."""
+
     model: TrainedModel
+    labelled: DataFrame
     test: DataFrame
     features: list[str]
     cv: DataFrame
@@ -60,6 +63,16 @@ def prepare_xy(
     return fill(rows, medians).select(LOAN_ID, *map(col, features), TARGET), features, medians
 
 
+def fold_counts(rows: DataFrame) -> dict[int, ClassCounts]:
+    """Class counts of the rows outside of each fold."""
+    found = {(r["fold"], r[TARGET]): r["count"] for r in rows.groupBy("fold", TARGET).count().collect()}
+    whole = [sum(n for (_, y), n in found.items() if y == label) for label in (0, 1)]
+    folds = {fold for fold, _ in found}
+    return {
+        f: ClassCounts(whole[0] - found.get((f, 0), 0), whole[1] - found.get((f, 1), 0)) for f in folds
+    }
+
+
 def class_counts(rows: DataFrame) -> ClassCounts:
     found = {r[TARGET]: r["count"] for r in rows.groupBy(TARGET).count().collect()}
     return ClassCounts(good=found.get(0, 0), bad=found.get(1, 0))
@@ -76,18 +89,21 @@ def cross_validate_models(
     """ROC-AUC per candidate and fold: ``(model, fold, auc)``.
 
     ``rows`` are complete feature rows. They are assembled and written once; every
-    fit reads that copy.
+    fit reads that copy. A balanced candidate is weighted by the classes of the rows it
+    is fitted on, a boosted one by those of all rows.
     """
     counts = counts or class_counts(rows)
     folded = assign_folds(rows, cfg.cv_folds, cfg.seed)
     vectors = VectorAssembler(inputCols=features, outputCol=FEATURE_VECTOR).transform(folded)
     vectors = cut_lineage(vectors.select("fold", TARGET, FEATURE_VECTOR))
+    per_fold = fold_counts(vectors)
     evaluator = BinaryClassificationEvaluator(labelCol=TARGET, metricName="areaUnderROC", numBins=0)
 
     def run(task: tuple[Candidate, int]) -> tuple[str, int, float]:
         candidate, fold = task
-        training = _weighted(vectors.filter(F.col("fold") != fold), candidate, counts)
-        fitted = candidate.build(counts).fit(training)
+        own = per_fold.get(fold, counts) if candidate.balanced else counts
+        training = _weighted(vectors.filter(F.col("fold") != fold), candidate, own)
+        fitted = candidate.build(own).fit(training)
         held_out = fitted.transform(vectors.filter(F.col("fold") == fold))
         return candidate.name, fold, float(evaluator.evaluate(held_out))
 
@@ -158,7 +174,7 @@ def train(
     model = fit_candidate(rows, features, best_model(cv, cfg), cfg, medians)
     if model_path is not None:
         model.save(model_path)
-    return TrainResult(model, test_rows, features, cv)
+    return TrainResult(model, labelled, test_rows, features, cv)
 
 
 def evaluate_model(

@@ -9,10 +9,16 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loanlens.config import LOAN_ID, NUMERIC_FEATURES, Config
-from loanlens.sources.borrowers import shape_nps
+from loanlens.functions.naming import normalise_loan_id
+from loanlens.sources.borrowers import (
+    shape_dob,
+    shape_gender,
+    shape_income,
+    shape_nps,
+    shape_sales,
+)
 from loanlens.sources.load import Sources
 
 # Years 1995-1997 are early; the data runs to 2001.
@@ -23,15 +29,8 @@ VIEW_CONFIG = Config(
 )
 
 
-_schemas: dict[str, T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A stored table. Its schema is inferred once; later reads start no job for it."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _cents(amount: Column) -> Column:
@@ -71,37 +70,67 @@ def credit_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sum("paid").alias("paid"),
     )
     n, returned = F.col("n"), F.col("n_returned")
+    # Real sources have gaps and oddities; a number of loan and year spreads them.
+    odd = F.col("o_custkey") + F.col("y")
+    dpd = F.greatest(F.lit(0), F.abs("lag") % 91 - 30).cast("double").cast("string")
+    status = (
+        F.when(returned == n, F.when(odd % 2 == 0, "fpd").otherwise("FPD"))
+        .when(returned * 3 > n * 2, "FMD")
+        .otherwise("Active")
+    )
+    arrears = F.when(odd % 5 == 0, " Arrears").when(odd % 5 == 1, "ARREARS").otherwise("Arrears")
+    balance = F.when(F.col("n_open") * 2 > n, arrears).otherwise("Current")
+    paid = F.when(odd % 19 == 0, F.col("due") * 2).otherwise(F.col("paid"))
+    due = F.when(odd % 17 == 0, F.lit(0)).otherwise(F.col("due"))
     return yearly.select(
         F.col("o_custkey").cast("string").alias(LOAN_ID),
         F.make_date("y", F.lit(12), F.lit(31)).cast("timestamp_ntz").alias("SNAPSHOT_DATE"),
-        F.greatest(F.lit(0), F.abs("lag") % 91 - 30).cast("double").alias("DAYS_PAST_DUE"),
-        F.when(returned == n, "FPD")
-        .when(returned * 3 > n * 2, "FMD")
-        .otherwise("Active")
-        .alias("ACCOUNT_STATUS_L2"),
-        F.when(F.col("n_open") * 2 > n, "Arrears").otherwise("Current").alias(
-            "BALANCE_DUE_STATUS"
-        ),
-        (F.col("paid") / 100).alias("TOTAL_PAID"),
-        (F.col("due") / 100).alias("TOTAL_DUE_TODAY"),
+        F.when(odd % 23 == 0, "n/a").when(odd % 11 != 0, dpd).alias("DAYS_PAST_DUE"),
+        F.when(odd % 13 != 0, status).alias("ACCOUNT_STATUS_L2"),
+        F.when(odd % 7 != 0, balance).alias("BALANCE_DUE_STATUS"),
+        (paid / 100).alias("TOTAL_PAID"),
+        (due / 100).alias("TOTAL_DUE_TODAY"),
     )
 
 
+def _sheet(customer: DataFrame, header: str, text: Column, later: Column) -> DataFrame:
+    """A borrower sheet as it comes: odd headers, text, and for every third loan a second
+    row with another value, which must not count."""
+    key = F.col("c_custkey")
+
+    def rows(df: DataFrame, value: Column, place: Column) -> DataFrame:
+        return df.select(
+            F.concat(F.lit(" "), key.cast("string")).alias(" Loan Id "),
+            value.alias(header),
+            F.lit(None).cast("string").alias("Unnamed: 3"),
+            F.struct(place.alias("n")).alias("_ingest_order"),
+        )
+
+    again = rows(customer.filter(key % 3 == 0), later, key + 10**12)
+    return normalise_loan_id(rows(customer, text, key).unionByName(again))
+
+
 def dob_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("c_custkey")
     born = F.date_add(F.lit("1930-01-01").cast("date"), (key * 97 % 20000).cast("int"))
-    return table(spark, sf_dir, "customer").select(
-        key.cast("string").alias(LOAN_ID),
-        F.when(key % 17 != 0, born).cast("timestamp_ntz").alias("date_of_birth"),
-    )
+    text = F.when(key % 17 != 0, F.date_format(born, "yyyy-MM-dd"))
+    sheet = _sheet(table(spark, sf_dir, "customer"), " Date of Birth", text, F.lit("2001-01-01"))
+    return shape_dob(sheet).select(LOAN_ID, "date_of_birth", "_ingest_order")
 
 
 def income_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").cast("string").alias(LOAN_ID),
-        (F.col("c_acctbal") * 10).alias("Received"),
-        (F.col("c_nationkey") % 6).cast("double").alias("Duration"),
+    customer = table(spark, sf_dir, "customer")
+    received = (F.col("c_acctbal") * 10).cast("string")
+    months = (F.col("c_nationkey") % 6).cast("string")
+    both = F.struct(received.alias("amount"), months.alias("months"))
+    later = F.struct(F.lit("7777").alias("amount"), F.lit("1").alias("months"))
+    sheet = _sheet(customer, "values", both, later).select(
+        LOAN_ID,
+        F.col("values.amount").alias("Amount_Received"),
+        F.col("values.months").alias("duration (months)"),
+        "_ingest_order",
     )
+    return shape_income(sheet).select(LOAN_ID, "Received", "Duration", "_ingest_order")
 
 
 def gender_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,22 +142,25 @@ def gender_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(segment == "HOUSEHOLD", "female")
         .otherwise("other")
     )
-    return table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").cast("string").alias(LOAN_ID), text.alias("Gender")
-    )
+    sheet = _sheet(table(spark, sf_dir, "customer"), "customer gender", text, F.lit("M"))
+    return shape_gender(sheet).select(LOAN_ID, "Gender", "_ingest_order")
 
 
 def sales_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order is a sale row; the first one of a customer counts."""
+    """Every order is a sale row as text; the first one of a customer counts."""
     key, price = F.col("o_orderkey"), F.col("o_totalprice")
-    return table(spark, sf_dir, "orders").select(
+    cash = price * (1 - (key % 4) * F.lit(0.1).cast("double"))
+    rows = table(spark, sf_dir, "orders").select(
         F.col("o_custkey").cast("string").alias(LOAN_ID),
-        F.col("o_orderdate").alias("Sale Date"),
-        (price * (1 - (key % 4) * F.lit(0.1).cast("double"))).alias("Cash Price"),
-        price.alias("Loan Price"),
-        (6 + (key % 3) * 6).cast("double").alias("Loan Term"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("date_of_sale"),
+        cash.cast("string").alias("cash_price"),
+        price.cast("string").alias("LoanPrice"),
+        (6 + (key % 3) * 6).cast("string").alias("loan term"),
         F.struct(F.col("o_orderdate").alias("at"), key.alias("n")).alias("_ingest_order"),
     )
+    return shape_sales(rows).select(
+        LOAN_ID, "Sale Date", "Cash Price", "Loan Price", "Loan Term", "_ingest_order"
+    )
 
 
 def nps_raw_view(spark: SparkSession, sf_dir: str) -> DataFrame:

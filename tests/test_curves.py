@@ -135,3 +135,27 @@ def test_histogram_against_numpy(spark, pairs):
         assert mine.sum() == counts.sum() and np.abs(mine - counts).max() <= 2
     flat = pd_histogram(frame(spark, [(0.5, 1)] * 3)).collect()
     assert [(r.bin, r.n) for r in flat] == [(21, 3)]
+
+
+def test_missing_probabilities_and_labels_are_no_points(spark):
+    rows = [(0.9, 1), (0.2, 0), (None, 0), (0.4, 1), (0.5, 0), (0.7, None)]
+    df = spark.createDataFrame(rows, "p double, target int")
+    for places in (4, None):
+        row = evaluate(df, places=places).first()
+        assert (row.roc_auc, row.n_test) == (0.75, 4)
+    assert sum(r.n for r in calibration(df).collect()) == 4
+    assert sum(r.n for r in pd_histogram(df).collect()) == 4
+
+
+def test_constant_probability_and_empty_table(spark):
+    df = frame(spark, [(0.3, i % 2) for i in range(40)])
+    assert curves.curve(df).count() == 1 and evaluate(df).first().roc_auc == 0.5
+    assert curves.curve(df.limit(0)).count() == 0
+
+
+def test_points_are_computed_once(spark, pairs, tmp_path):
+    """The scored rows are read for the points alone; all else comes from the written points."""
+    frame(spark, pairs).write.parquet(str(tmp_path / "scored"))
+    points = curves.curve(spark.read.parquet(str(tmp_path / "scored")))
+    plan = points._jdf.queryExecution().optimizedPlan().toString()
+    assert str(tmp_path) not in plan

@@ -35,13 +35,16 @@ def demographics(spark):
             "LOAN_ID string, date_of_birth string, _ingest_order int",
         ),
         "income": frame(
-            [("A", 30000.0, 6.0), ("B", -6.0, 6.0), ("D", 9000.0, 0.0)],
-            "LOAN_ID string, Received double, Duration double",
+            [("A", 30000.0, 6.0, 1), ("B", -6.0, 6.0, 1), ("D", 9000.0, 0.0, 1), ("A", 1.0, 1.0, 2)],
+            "LOAN_ID string, Received double, Duration double, _ingest_order int",
+        ),
+        "gender": frame(
+            [("A", " Male ", 1), ("B", "F", 1), ("D", "other", 1), ("A", "F", 2)],
+            "LOAN_ID string, Gender string, _ingest_order int",
         ),
-        "gender": frame([("A", " Male "), ("B", "F"), ("D", "other")], "LOAN_ID string, Gender string"),
         "sales": frame(
-            [("A", 100.0, 150.0, 12.0), ("B", 0.0, 10.0, 6.0)],
-            "LOAN_ID string, `Cash Price` double, `Loan Price` double, `Loan Term` double",
+            [("A", 100.0, 150.0, 12.0, 1), ("B", 0.0, 10.0, 6.0, 1)],
+            "LOAN_ID string, `Cash Price` double, `Loan Price` double, `Loan Term` double, _ingest_order int",
         ),
     }
 

@@ -1,4 +1,11 @@
+import os
+import subprocess
+import sys
+
+import pytest
+
 from loanlens import SourceLayout, load_all, run_explain, run_full, run_score
+from loanlens.__main__ import config, main, parser
 from loanlens.config import Config, TrainingProfile
 from loanlens.sources.tables import VIEW_CONFIG, loan_sources
 
@@ -29,9 +36,52 @@ def test_all_jobs_from_files_to_scores(spark, sf, tmp_path):
     n = result.scores.count()
     assert n > 0 and result.metrics.first().n_test > 0
     assert sum(r["count"] for r in result.bands.collect()) == n
-    assert result.report.count() == 5 and result.attribution.count() == 20
+    assert result.report.count() == 5 and result.attribution.count() == len(result.training.features)
+    assert result.dropped.first().n_dropped == 0
+    for name in ("roc_curve", "pr_curve", "ks_curve", "calibration", "pd_histogram", "importances"):
+        assert spark.read.parquet(f"{out}/{name}").count() > 0, name
     written = spark.read.option("header", True).csv(f"{out}/portfolio_scores")
     assert written.columns == ["LOAN_ID", "pd", "score", "risk_band"] and written.count() == n
     again = run_score(spark, sources, f"{out}/model", f"{out}/again", cfg)
     assert again.exceptAll(result.scores).count() == 0
     assert run_explain(spark, sources, f"{out}/model", cfg).count() == n
+
+
+def test_command_line(spark, sf, tmp_path):
+    src = loan_sources(spark, sf)
+    date = VIEW_CONFIG.early_snapshots[0]
+    one = src.credit.filter(f"SNAPSHOT_DATE = '{date}'").drop("SNAPSHOT_DATE")
+    one.write.option("header", True).csv(str(tmp_path / "credit" / "a.csv"))
+    shared = ["--credit", str(tmp_path / "credit"), "--out", str(tmp_path / "out")]
+    shared += ["--snapshot", f"a.csv={date}", "--early", date, "--target", "par30"]
+    args = parser().parse_args(["train", *shared])
+    cfg = config(args).with_(
+        cv_folds=2, candidates=("logistic",), profile=TrainingProfile(logistic_iterations=20)
+    )
+    assert (cfg.target_definition, cfg.snapshot_files) == ("par30", (("a.csv", date),))
+    main(["train", *shared], cfg)
+    with pytest.raises(SystemExit):
+        main(["score", *shared], cfg)
+    main(["explain", *shared, "--model", str(tmp_path / "out" / "model")], cfg)
+    assert spark.read.parquet(str(tmp_path / "out" / "explanations")).count() > 0
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """From another folder, without the repository on the workers' path."""
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = (
+        "import sys; sys.path.insert(0, sys.argv[1])\n"
+        "from loanlens.session import local_session\n"
+        "from loanlens.operators.trees import Leaf, _attribute\n"
+        "import numpy as np\n"
+        "from pyspark.sql import functions as F\n"
+        "spark = local_session(1, 'elsewhere')\n"
+        "leaf = Leaf(2.0, np.array([0]), np.array([0.0]), np.array([1.0]), np.array([0.5]))\n"
+        "x = F.array(F.lit(0.5))\n"
+        "print('GOT', spark.range(1).select(_attribute([leaf])(x)).first()[0])\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run(
+        [sys.executable, "-c", code, repo], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300
+    )
+    assert "GOT [1.0]" in run.stdout, run.stderr[-2000:]

@@ -13,7 +13,7 @@ from loanlens.operators.candidates import ClassCounts, candidates
 from loanlens.operators.importance import compute_shap
 from loanlens.operators.scoring import score_requests
 from loanlens.operators.trees import base_value, ensemble_leaves, node_table
-from loanlens.plans.training import best_model, cv_summary, fit_candidate, prepare_xy
+from loanlens.plans.training import best_model, cv_summary, fit_candidate, fold_counts, prepare_xy
 from loanlens.session import cut_lineage
 from loanlens.streaming import read_request_stream, read_requests, score_requests_stream
 
@@ -83,7 +83,7 @@ def test_candidates():
     assert known["boosted_a"].weights(counts) == (1.0, 15.0)
     assert known["forest"].weights(counts) == (pytest.approx(2 / 3), 2.0)
     assert known["logistic"].build(counts).getRegParam() == pytest.approx(100 / 40)
-    full = candidates(Config(profile=TrainingProfile.full()))
+    full = candidates(Config())
     assert full["forest"].build(counts).getNumTrees() == 500
     assert full["boosted_b"].build(counts).getMaxIter() == 1000
     assert full["boosted_b"].build(counts).getMaxDepth() == 8
@@ -138,10 +138,11 @@ def test_scaled_logistic_is_explained_in_raw_units(rows):
     assert np.ptp(rest) < 1e-6
 
 
+@pytest.mark.parametrize("scale", [False, True])
 @pytest.mark.parametrize("name", ["forest", "boosted_a"])
-def test_tree_attributions_sum_to_the_margin(rows, name):
+def test_tree_attributions_sum_to_the_margin(rows, name, scale):
     df, features, _ = rows
-    model = fit_candidate(df, features, name, CFG)
+    model = fit_candidate(df, features, name, CFG, scale=scale)
     out = model.add_attributions(model.add_probability(df)).select("p", "attributions").toPandas()
     total = base_value(ensemble_leaves(model.classifier)) + np.vstack(out.attributions).sum(axis=1)
     p = out.p.to_numpy()
@@ -218,3 +219,12 @@ def test_request_stream(spark, trained, tmp_path):
     again = score_requests_stream(read_request_stream(spark, str(inbox)), model, out, str(tmp_path / "state"))
     again.awaitTermination()
     assert spark.read.parquet(out).count() == 22
+
+
+def test_folds_are_weighted_by_their_own_classes(spark):
+    """The penalty and weights of a balanced candidate follow the rows it is fitted on."""
+    rows = spark.createDataFrame([(f, y) for f in range(3) for y in [0] * 4 + [1] * (f + 1)], "fold int, target int")
+    assert fold_counts(rows) == {0: ClassCounts(8, 5), 1: ClassCounts(8, 4), 2: ClassCounts(8, 3)}
+    known = candidates(Config())
+    assert [c.balanced for c in known.values()] == [True, True, False, False]
+    assert known["logistic"].build(ClassCounts(8, 2)).getRegParam() == pytest.approx(10.0)

@@ -1,6 +1,7 @@
 import random
 import re
 import statistics
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -207,3 +208,19 @@ def test_first_row_keeps_its_gaps(spark):
     df = spark.createDataFrame(rows, "LOAN_ID string, place int, a string, b int")
     got = rows_by_loan(first_per_loan(df, ["a", "b"], ["place"]))
     assert (got["1"]["a"], got["1"]["b"]) == (None, 9)
+
+
+@pytest.mark.parametrize("n", [64, 65, 200])
+def test_any_number_of_dates_keeps_every_loan(spark, n):
+    """Without an early date every snapshot counts; a missing loan id is a loan too."""
+    start = datetime(2020, 1, 1)
+    rows = [(loan, start + timedelta(days=i), str(i * k)) for i in range(n) for loan, k in (("a", 2), (None, 1))]
+    credit = spark.createDataFrame(rows, "LOAN_ID string, SNAPSHOT_DATE timestamp_ntz, DAYS_PAST_DUE string")
+    loans = loan_aggregate(credit, EarlyDates(None)).collect()
+    assert {r.LOAN_ID: r.early_dpd_trend for r in loans} == {"a": 2.0, None: 1.0}
+
+
+def test_first_row_needs_an_order(spark):
+    df = spark.createDataFrame([("x", 1)], "LOAN_ID string, a int")
+    with pytest.raises(ValueError):
+        first_per_loan(df, ["a"])
