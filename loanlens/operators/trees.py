@@ -164,13 +164,16 @@ def _passes(leaves: list[Leaf]) -> Iterator[list[Leaf]]:
 
 def _attribute(leaves: list[Leaf]) -> Callable[[Column], Column]:
     """Shapley values of one piece of the ensemble as an Arrow-batched function."""
-    shared = SparkSession.getActiveSession().sparkContext.broadcast(leaves)
+    # Plain tuples: broadcasts do not carry classes to workers without the package.
+    plain = [tuple(leaf) for leaf in leaves]
+    shared = SparkSession.getActiveSession().sparkContext.broadcast(plain)
 
     @F.pandas_udf("array<double>")
     def attribute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        leaves = [Leaf(*leaf) for leaf in shared.value]
         for batch in batches:
             if len(batch):
-                yield pd.Series(list(shapley(shared.value, np.vstack(batch.to_numpy()))))
+                yield pd.Series(list(shapley(leaves, np.vstack(batch.to_numpy()))))
             else:
                 yield batch
 

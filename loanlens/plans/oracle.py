@@ -150,7 +150,8 @@ _VIEWS: dict[str, str] = {
             FROM answers) WHERE rn = 1""",
     "early_rows": """
       SELECT LOAN_ID, SNAPSHOT_DATE, DAYS_PAST_DUE AS dpd,
-        least(greatest(TOTAL_PAID / nullif(TOTAL_DUE_TODAY, 0), 0), 1) AS rate,
+        CASE WHEN TOTAL_DUE_TODAY <> 0
+             THEN least(greatest(TOTAL_PAID / TOTAL_DUE_TODAY, 0), 1) END AS rate,
         CASE WHEN lower(BALANCE_DUE_STATUS) = 'arrears' THEN 1 ELSE 0 END AS arrears,
         row_number() OVER (PARTITION BY LOAN_ID ORDER BY SNAPSHOT_DATE) - 1 AS pos
       FROM credit
@@ -366,12 +367,13 @@ def oracle_sql() -> dict[str, str]:
         ),
         "q_collection_rate": _with(
             "credit",
-            """SELECT LOAN_ID, SNAPSHOT_DATE, round_even(least(greatest(
-              TOTAL_PAID / nullif(TOTAL_DUE_TODAY, 0), 0), 1), 6) AS collection_rate FROM credit""",
+            """SELECT LOAN_ID, SNAPSHOT_DATE, CASE WHEN TOTAL_DUE_TODAY <> 0 THEN round_even(
+              least(greatest(TOTAL_PAID / TOTAL_DUE_TODAY, 0), 1), 6) END AS collection_rate
+            FROM credit""",
         ),
         "q_early_arrears": _with(
             "credit",
-            """SELECT LOAN_ID, SNAPSHOT_DATE, CAST(CASE WHEN BALANCE_DUE_STATUS = 'Arrears'
+            """SELECT LOAN_ID, SNAPSHOT_DATE, CAST(CASE WHEN lower(BALANCE_DUE_STATUS) = 'arrears'
               THEN 1 ELSE 0 END AS INTEGER) AS arrears FROM credit""",
         ),
         "q_loan_features": _with(
