@@ -35,6 +35,8 @@ HEADLINE = (
     "q_reason_codes",
     "q_linear_attrib_global",
     "ml_train_score",
+    "ml_tree_attrib",
+    "stream_score",
 )
 
 

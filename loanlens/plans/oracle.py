@@ -197,7 +197,7 @@ _VIEWS: dict[str, str] = {
       SELECT LOAN_ID, round_even(p, 4) AS pd_score, {_score('p')} AS credit_score,
         {_risk(_score('p'))} AS risk_band FROM probabilities""",
     "scored": """
-      SELECT LOAN_ID, target, p
+      SELECT LOAN_ID, target, round_even(p, 12) AS p
       FROM probabilities JOIN target USING (LOAN_ID)""",
     "points": """
       SELECT p, n, bad, n - bad AS good,
