@@ -75,16 +75,16 @@ def token_pieces(
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, found in encoded(batches, path, 1, suffix):
+        for part, found, bounds in encoded(batches, path, 1, suffix):
             rows, piece, start, length, ids = [], [], [], [], []
-            for row, data in enumerate(found):
+            for row, (first, end) in enumerate(zip(bounds, bounds[1:])):
                 at = 0
-                for i, n in enumerate(piece_lengths(len(data) // 4, size) if data else []):
+                for i, n in enumerate(piece_lengths(end - first, size) if end > first else []):
                     rows.append(row)
                     piece.append(i)
                     start.append(at)
                     length.append(n)
-                    ids.append(data[4 * at : 4 * (at + n)])
+                    ids.append(found[first + at : first + at + n].tobytes())
                     at += n
             yield pa.RecordBatch.from_arrays(
                 [

@@ -15,21 +15,25 @@ from array import array
 from collections.abc import Iterator
 from types import ModuleType
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
 from loanlens.llm.common import row_ranges, text_buffer
 
-# A space before anything that is surely not white space, and a space that is not so.
-CUT = re.compile(r" (?=[!-~\w])")
-ODD = re.compile(r" (?![!-~\w])")
+# White space and control characters. A space before one of these, or at the end, is odd;
+# any other space begins a piece.
+BLANK = r"\x00-\x20\x7f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200b}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}\x{feff}"
+ODD = rf" (?:[{BLANK}]|$)"
+CUT = re.compile(rf" (?=[^{re.sub(r'x{([0-9a-f]+)}', lambda m: 'u' + m[1].zfill(4), BLANK)}])")
 
-# Pieces that are kept, and the longest of them: some 120 MB in a worker.
-MAX_PIECES = 500_000
+# Pieces that are kept, and the longest of them: some 130 MB in a worker.
+MAX_PIECES = 600_000
 MAX_PIECE = 40
 
 # Text that is encoded at once, or one longer text.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 4 << 20
 
 
 # A word of Latin letters with punctuation behind it: two pre-tokens at most.
@@ -43,6 +47,36 @@ def _byte_letters() -> list[str]:
     return [chr(b if b in printable else next(others)) for b in range(256)]
 
 
+class Known(dict):
+    """Ids of pieces after a space, by their text without it, or after a line end, with it.
+
+    A piece that is missing is encoded. Commonest pieces come first; when the table is
+    full, others are encoded each time.
+    """
+
+    def __init__(self, encoder: Encoder):
+        super().__init__({"": b""})
+        self.encoder = encoder
+        self.model, self.lead = encoder.model, encoder.lead
+
+    def keep(self, key: str, ids: bytes) -> None:
+        if len(self) < MAX_PIECES and len(key) <= MAX_PIECE:
+            self[key] = ids
+
+    def __missing__(self, piece: str) -> bytes:
+        encoder = self.encoder
+        if encoder.direct and piece.isalpha() and piece.isascii():
+            word = piece.lower() if encoder.lower else piece
+            ids = array("I", [t.id for t in self.model.tokenize(self.lead + word)]).tobytes()
+        else:
+            ids = encoder._found(piece)
+            if "\n" in piece:
+                return ids
+        if len(self) < MAX_PIECES and len(piece) <= MAX_PIECE:
+            self[piece] = ids
+        return ids
+
+
 class Encoder:
     """Ids as little-endian unsigned 32-bit numbers; special tokens in a text are plain text."""
 
@@ -50,66 +84,88 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.known: dict[str, bytes] = {}
-        self.tails: dict[str, list[int]] = {"": []}
+        self.tails: dict[str, bytes] = {"": b""}
         self.letters = dict(enumerate(_byte_letters()))
         # What the tokenizer makes of a space and of capitals before it looks for merges.
         probe = self.tokenizer.encode(" Ab", add_special_tokens=False).tokens
         self.lower = "".join(probe).replace("</w>", "")[-2:] == "ab"
         self.lead = self.letters[32] if probe[0].startswith(self.letters[32]) else ""
-        self.direct = all(
-            self._word(" " + w, WORD.fullmatch(w)) == self._ids([" " + w])[0]
-            for w in ("Hello", "world.", "naïve!?", "Überstraße,", "x", "the", "qqzzv$$$", "tion...", "don'")
-        )
+        self.line = self._ids(["\n"])[0]
+        self.known = Known(self)
+        self.direct = True
+        probes = "Hello world. naïve!? Überstraße, x the qqzzv$$$ tion... don' x.\nYes a\nb,\nc: it\nIs".split(" ")
+        self.direct = all(self._found(w) == self._ids([" " + w])[0] for w in probes)
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _word(self, piece: str, m: re.Match) -> bytes:
-        """Ids of a word after a space, straight from the library's merges."""
-        word, tail = m.groups()
+    def _word(self, word: str, lead: str) -> bytes:
+        """Ids of a word of letters, straight from the library's merges."""
         if self.lower:
             word = word.lower()
         if not word.isascii():
             word = word.encode().decode("latin-1").translate(self.letters)
-        ids = [t.id for t in self.model.tokenize(self.lead + word)]
+        return array("I", [t.id for t in self.model.tokenize(lead + word)]).tobytes()
+
+    def _tail(self, tail: str) -> bytes:
+        """Ids of the punctuation behind a word."""
         if tail not in self.tails:
             if len(self.tails) > 10_000:
-                self.tails = {"": []}
-            self.tails[tail] = self.tokenizer.encode(tail, add_special_tokens=False).ids
-        return array("I", ids + self.tails[tail]).tobytes()
-
-    def _fresh(self, pieces: set[str]) -> dict[str, bytes]:
-        found, rest = {}, []
-        for p in pieces:
-            m = WORD.fullmatch(p) if self.direct else None
-            if m:
-                found[p] = self._word(p, m)
-            else:
-                rest.append(p)
-        found.update(zip(rest, self._ids([" " + p for p in rest])))
-        return found
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of every text; a piece after a space is kept under its text without it."""
-        known = self.known
-        cut = [CUT.split(t) if ODD.search(t) else t.split(" ") for t in texts]
-        first = self._ids([c[0] for c in cut])
-        out = []
-        for head, pieces in zip(first, cut):
-            pieces[0] = ""
-            ids = list(map(known.get, pieces))
-            ids[0] = head
-            if None in ids:
-                missing = {p for p, x in zip(pieces, ids) if x is None}
-                fresh = self._fresh(missing)
-                ids = [fresh[p] if x is None else x for p, x in zip(pieces, ids)]
-                # Commonest pieces come first; when the table is full, others are found anew.
-                if len(known) < MAX_PIECES:
-                    known.update((p, x) for p, x in fresh.items() if len(p) <= MAX_PIECE)
-            out.append(b"".join(ids))
-        return out
+                self.tails = {"": b""}
+            self.tails[tail] = self._ids([tail])[0]
+        return self.tails[tail]
+
+    def _found(self, piece: str) -> bytes:
+        """Ids of a piece after a space."""
+        if self.direct:
+            if m := WORD.fullmatch(piece):
+                word, tail = m.groups()
+                # The word alone may be known, and is met with other punctuation.
+                return self.known[word] + self._tail(tail) if tail else self._word(word, self.lead)
+            if "\n" in piece:
+                # A line end between words is a pre-token by itself, or dropped.
+                words = [WORD.fullmatch(w) for w in piece.split("\n")]
+                if all(words):
+                    out = [self.known[words[0][0]]]
+                    for m in words[1:]:
+                        key = "\n" + m[0]
+                        ids = self.known.get(key)
+                        if ids is None:
+                            ids = self.line + self._word(m[1], "") + self._tail(m[2])
+                            self.known.keep(key, ids)
+                        out.append(ids)
+                    return b"".join(out)
+        return self._ids([" " + piece])[0]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (not null) one after another, and where each text ends."""
+        if self.lower:
+            texts = pc.ascii_lower(texts)
+        pieces = pc.split_pattern(texts, " ")
+        odd = np.flatnonzero(pc.match_substring_regex(texts, ODD).to_numpy(zero_copy_only=False))
+        if len(odd):
+            cut = pieces.to_pylist()
+            for row in odd.tolist():
+                cut[row] = CUT.split(texts[row].as_py())
+            pieces = pa.array(cut, pieces.type)
+        offsets = pieces.offsets.to_numpy().astype(np.int64)
+        values = pieces.values.slice(offsets[0], offsets[-1] - offsets[0]).dictionary_encode()
+        offsets -= offsets[0]
+        # Every distinct piece once; after them the beginnings of the texts, which follow no space.
+        first = pc.list_element(pieces, 0).to_pylist()
+        distinct = list(map(self.known.__getitem__, values.dictionary.to_pylist())) + self._ids(first)
+        which = values.indices.to_numpy().astype(np.int64)
+        which[offsets[:-1]] = len(values.dictionary) + np.arange(len(texts))
+        sizes = np.fromiter(map(len, distinct), np.int64, len(distinct)) // 4
+        ids = np.frombuffer(b"".join(distinct), "<u4")
+        # Place of every id: where its piece stands among the distinct ones, and on from there.
+        own = sizes[which]
+        ends = np.cumsum(own)
+        shift = (np.cumsum(sizes) - sizes)[which] - (ends - own)
+        place = np.repeat(shift, own)
+        place += np.arange(len(place))
+        return ids[place], ends[offsets[1:] - 1]
 
 
 def _encoder(path: str) -> Encoder:
@@ -122,13 +178,18 @@ def _encoder(path: str) -> Encoder:
 
 def encoded(
     batches: Iterator[pa.RecordBatch], path: str, text_column: int, suffix: bytes
-) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Small slices of the batches with the ids of their texts and ``suffix``; null is empty."""
+) -> Iterator[tuple[pa.RecordBatch, np.ndarray, list[int]]]:
+    """Small slices of the batches, the ids of their texts with ``suffix`` one after another,
+    and the bounds of each text in them. A null text is empty."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     encoder = _encoder(path)
+    tail = np.frombuffer(suffix, "<u4")
     for batch in batches:
-        _, offsets = text_buffer(batch.column(text_column))
+        text = pc.fill_null(batch.column(text_column), "").cast(pa.large_string())
+        _, offsets = text_buffer(text)
         for a, b in row_ranges(offsets, SLICE_BYTES):
-            part = batch.slice(a, b - a)
-            texts = [t or "" for t in part.column(text_column).to_pylist()]
-            yield part, [ids + suffix for ids in encoder.encode(texts)]
+            ids, ends = encoder.encode(text.slice(a, b - a))
+            if len(tail):
+                ids = np.insert(ids, np.repeat(ends, len(tail)), np.tile(tail, len(ends)))
+                ends = ends + len(tail) * np.arange(1, len(ends) + 1)
+            yield batch.slice(a, b - a), ids, np.r_[0, ends].tolist()
