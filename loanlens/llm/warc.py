@@ -279,7 +279,8 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
         [("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64())]
         + [("type", pa.string()), ("record", pa.string())]
     )
-    names = archives.select("archive").repartition("archive")
+    # A task per archive; the rows are too small to tell how much work they are.
+    names = archives.select("archive").repartition(max(1, archives.count()))
     return cut_lineage(
         names.mapInArrow(run, "archive string, offset long, length long, type string, record string")
     )
@@ -325,7 +326,8 @@ def read_records(index: DataFrame, payloads: bool = True) -> DataFrame:
         + [("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64())]
     )
     places = index.select("archive", "offset", "length")
-    ordered = places.repartition("archive").sortWithinPartitions("archive", "offset")
+    n = max(1, places.select("archive").distinct().count())
+    ordered = places.repartition(n, "archive").sortWithinPartitions("archive", "offset")
     return ordered.mapInArrow(
         run,
         "id long, url string, record_type string, payload binary, payload_bytes long, payload_digest string, refers_to long",
