@@ -233,7 +233,8 @@ def decontaminate(
     judged = contamination(docs, items, id_col=id_col, text_col=text_col, **options)
     judged = judged.where(is_contaminated(share) if remove == "documents" else F.col("n_hit") > 0)
     judged = judged.select("id", "text_hash", "hits").dropDuplicates(["id", "text_hash"])
-    marks = judged.select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("hits").alias("_hits"))
+    # Written, so that the planner knows their size and broadcasts them only if small.
+    marks = cut_lineage(judged.toDF("_id", "_hash", "_hits"))
     same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("_hash"))
     if remove == "documents":
         return docs.join(marks, same, "left_anti")

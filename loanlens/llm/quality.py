@@ -292,12 +292,10 @@ def keep_good(
 ) -> DataFrame:
     """The rows of ``docs`` that are scored ``threshold`` or better, unchanged.
 
-    Only labelled documents are read for the fit; every row is scored where it is, without
-    a shuffle of texts.
+    Texts are read twice, for the fit and to score every row where it is, and never
+    shuffled.
     """
-    known = labels.where(F.col(label_col).isNotNull()).select(F.col(label_id).alias("_id")).distinct()
-    labelled = docs.select(id_col, text_col).join(known, F.col(id_col) == F.col("_id"), "left_semi")
-    rows = with_statistics(labelled, [id_col], text_col).select(F.col(id_col).alias("id"), "_statistics.*")
+    rows = with_statistics(docs, [id_col], text_col).select(F.col(id_col).alias("id"), "_statistics.*")
     ensemble = _fit(cut_lineage(rows), labels, label_id, label_col, training)
     scored = with_statistics(docs, docs.columns, text_col)
     return scored.where(ensemble.score("_statistics.") >= threshold).select(*docs.columns)
