@@ -270,15 +270,23 @@ def _signatures_of(measure: Measure):
     return run
 
 
+_KEY = [("low", "<i8"), ("high", "<u2")]
+
+
+def _key_columns(keys: np.ndarray) -> list[pa.Array]:
+    return [pa.array(keys["low"].astype(np.int64)), pa.array(keys["high"].astype(np.int32))]
+
+
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by signature: the sets of every signature that several sets share.
 
     A group of over BLOCK sets becomes the pairs of its blocks, so that no piece of work
-    grows with the group. Keys are packed as 10 bytes each.
+    grows with the group. Keys are packed as 10 bytes each; the first one is the group's hub.
+    A set has so many signatures, and so many groups whose hub it is at most.
     """
 
     def blocks(low: np.ndarray, high: np.ndarray) -> Iterator[bytes]:
-        keys = np.empty(len(low), [("low", "<i8"), ("high", "<u2")])
+        keys = np.empty(len(low), _KEY)
         keys["low"], keys["high"] = low, high
         if len(keys) <= BLOCK:
             yield keys.tobytes()
@@ -303,7 +311,10 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from blocks(low[s:e], high[s:e])
 
     def out(found: list[bytes]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(found, pa.binary())], ["members"])
+        hubs = np.frombuffer(b"".join(m[:10] for m in found), _KEY)
+        return pa.RecordBatch.from_arrays(
+            [*_key_columns(hubs), pa.array(found, pa.binary())], ["hub_low", "hub_high", "members"]
+        )
 
     waiting: list[bytes] = []
     met: set[bytes] = set()
@@ -354,26 +365,26 @@ def _folded(blobs: list[bytes]) -> np.ndarray:
 
 
 def sketch_pairs(
-    sizes: np.ndarray, sketches: np.ndarray, labels: np.ndarray, forest: bool, measure: Measure
+    rows: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, labels: np.ndarray, forest: bool, measure: Measure
 ) -> list[tuple[int, int]]:
-    """Pairs of different labels that may be similar, as far as sketches tell.
+    """Pairs of ``rows`` with different labels that may be similar, as far as sketches tell.
 
-    With ``forest`` a pair makes one label of two, so the pairs only connect what may be
-    connected; without, all pairs are returned.
+    With ``forest`` a pair makes one label of two, in ``labels`` itself, so the pairs only
+    connect what may be connected; without, all pairs are returned. Row i has sizes[i] and
+    labels[i], and the sketch at its place in ``rows``.
     """
-    labels = labels.copy()
     num, den = measure.numerator, measure.denominator
     pairs = []
-    for i in range(len(sizes) - 1):
-        others = np.flatnonzero(labels[i + 1 :] != labels[i]) + i + 1
-        if len(others) == 0:
+    for at, i in enumerate(rows[:-1].tolist()):
+        later = np.flatnonzero(labels[rows[at + 1 :]] != labels[i]) + at + 1
+        if len(later) == 0:
             continue
-        n = sizes[others]
+        n = sizes[rows[later]]
         limit = (n + sizes[i]) * (den - num) // (den + num)
         close = np.abs(n - sizes[i]) <= limit
-        others, limit = others[close], limit[close]
-        differ = np.bitwise_count(sketches[others] ^ sketches[i]).sum(1, dtype=np.int64)
-        for j in others[differ <= limit].tolist():
+        later, limit = later[close], limit[close]
+        differ = np.bitwise_count(sketches[later] ^ sketches[at]).sum(1, dtype=np.int64)
+        for j in rows[later[differ <= limit]].tolist():
             if labels[j] != labels[i]:
                 pairs.append((i, j))
                 if forest:
@@ -427,35 +438,50 @@ def _batch(rows: list[tuple], fields: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, [name for name, _ in fields])
 
 
-def _candidates_of(measure: Measure, forest: bool):
-    """From rows (grp, low, high, node, label, n, sketch) sorted by the first: pairs to compare."""
-
-    def finish(group: list[tuple], met: set) -> list[tuple]:
-        if len({g[3] for g in group}) < 2:
+class _Hub:
+    """The sets of the groups of one hub, and the pairs to compare."""
+
+    def __init__(self, measure: Measure, forest: bool):
+        self.measure, self.forest = measure, forest
+        self.sets: list[tuple] = []  # low, high, node, label, n, sketch
+        self.place: dict[bytes, int] | None = None
+        self.met: set[tuple[int, int]] = set()
+
+    def pairs(self, members: bytes) -> list[tuple]:
+        """New pairs of a group; what other groups of the hub connect is connected."""
+        if self.place is None:
+            keys = np.empty(len(self.sets), _KEY)
+            keys["low"], keys["high"] = [s[0] for s in self.sets], [s[1] for s in self.sets]
+            blob = keys.tobytes()
+            self.place = {blob[10 * i : 10 * i + 10]: i for i in range(len(self.sets))}
+            self.sizes = np.array([s[4] for s in self.sets])
+            self.labels = np.unique([s[3] for s in self.sets], return_inverse=True)[1]
+        rows = np.array([self.place[members[i : i + 10]] for i in range(0, len(members), 10)])
+        if (self.labels[rows] == self.labels[rows[0]]).all():
             return []
-        sizes = np.array([g[4] for g in group])
-        labels = np.unique([g[3] for g in group], return_inverse=True)[1]
-        pairs = sketch_pairs(sizes, _folded([g[5] for g in group]), labels, forest, measure)
-        found = [(*group[a][:3], *group[b][:3]) for a, b in pairs]
-        fresh = [pair for pair in found if pair not in met]
-        if len(met) > 200_000:
-            met.clear()
-        met.update(fresh)
-        return fresh
+        sketches = _folded([self.sets[i][5] for i in rows.tolist()])
+        found = sketch_pairs(rows, self.sizes, sketches, self.labels, self.forest, self.measure)
+        found = [pair for pair in found if pair not in self.met]
+        self.met.update(found)
+        return [(*self.sets[a][:3], *self.sets[b][:3]) for a, b in found]
+
+
+def _candidates_of(measure: Measure, forest: bool):
+    """From rows (hub, set or group) sorted by hub, sets before groups: pairs to compare."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, group, met = None, [], set()
+        at, hub = None, _Hub(measure, forest)
         for batch in batches:
             found = []
-            for key, *row in zip(*(batch.column(k).to_pylist() for k in range(7))):
-                if key != at:
-                    found += finish(group, met)
-                    at, group = key, []
-                group.append(tuple(row))
+            for low, high, *own, members in zip(*(batch.column(k).to_pylist() for k in range(9))):
+                if (low, high) != at:
+                    at, hub = (low, high), _Hub(measure, forest)
+                if members is None:
+                    hub.sets.append(tuple(own))
+                else:
+                    found += hub.pairs(members)
             if found:
                 yield _batch(found, _PAIR)
-        if last := finish(group, met):
-            yield _batch(last, _PAIR)
 
     return run
 
@@ -490,16 +516,20 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
     groups = (
         rows.repartition(F.shiftright("sig", 16))
         .sortWithinPartitions("sig", "low")
-        .mapInArrow(_groups, "members binary")
+        .mapInArrow(_groups, "hub_low long, hub_high int, members binary")
         .dropDuplicates(["members"])
-        .withColumn("grp", F.monotonically_increasing_id())
     )
-    members = cut_lineage(groups.mapInArrow(_members, "grp long, low long, high int"))
-    sets = sets.withColumn("label", F.col("node"))
-
-    def pairs(rows: DataFrame, forest: bool) -> DataFrame:
-        order = ["grp", "low", "high"]
-        rows = rows.select(*order, "node", "label", "n", "sketch").repartition("grp").sortWithinPartitions(*order)
+    groups = cut_lineage(groups)
+    hub = ["hub_low", "hub_high"]
+
+    def pairs(groups: DataFrame, labelled: DataFrame, forest: bool) -> DataFrame:
+        # A set goes to a hub once, however many groups of the hub it is in.
+        members = groups.mapInArrow(_members, "hub_low long, hub_high int, low long, high int").distinct()
+        own = ["low", "high", "node", "label", "n", "sketch"]
+        rows = members.join(labelled, ["low", "high"]).select(*hub, *own, F.lit(None).cast("binary").alias("members"))
+        nulls = [F.lit(None).cast(labelled.schema[c].dataType).alias(c) for c in own]
+        rows = rows.unionByName(groups.select(*hub, *nulls, "members"))
+        rows = rows.repartition(*hub).sortWithinPartitions(*hub, F.col("members").isNotNull(), "members", "high", "low")
         return cut_lineage(rows.mapInArrow(_candidates_of(measure, forest), PAIR).distinct())
 
     def compared(found: DataFrame) -> DataFrame:
@@ -518,7 +548,7 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
             both.select("u", "v", "ga", "gb").mapInArrow(_compared_of(measure), "u long, v long, similar boolean")
         )
 
-    tried = compared(pairs(members.join(sets, ["low", "high"]), True))
+    tried = compared(pairs(groups, sets.withColumn("label", F.col("node")), True))
     links = tried.where("similar").select("u", "v")
     failed = tried.where("NOT similar")
     if failed.isEmpty():
@@ -526,24 +556,25 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
     # Signatures that hold a set of a failed pair, with what is connected so far as one.
     doubtful = failed.select(F.col("u").alias("node")).unionByName(failed.select(F.col("v").alias("node"))).distinct()
     doubtful = sets.select("low", "high", "node").join(doubtful, "node", "left_semi").select("low", "high")
-    again = members.join(doubtful, ["low", "high"], "left_semi").select("grp").distinct()
-    rest = cut_lineage(members.join(again, "grp", "left_semi"))
+    members = groups.mapInArrow(_members, "hub_low long, hub_high int, low long, high int")
+    again = members.join(doubtful, ["low", "high"], "left_semi").select(*hub).distinct()
+    rest = cut_lineage(groups.join(again, hub, "left_semi"))
     joined = components(links).select(F.col("id").alias("node"), "component")
-    rows = rest.join(sets, ["low", "high"]).join(joined, "node", "left")
-    more = compared(pairs(rows.withColumn("label", F.coalesce("component", "node")), False))
+    labelled = sets.join(joined, "node", "left").withColumn("label", F.coalesce("component", "node"))
+    more = compared(pairs(rest, labelled, False))
     return links.unionByName(more.where("similar").select("u", "v"))
 
 
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From groups (hub, members): hub and key of every member."""
     for batch in batches:
         for at in range(0, batch.num_rows, 200):
             part = batch.slice(at, 200)
-            blobs = part.column(0).to_pylist()
-            keys = np.frombuffer(b"".join(blobs), [("low", "<i8"), ("high", "<u2")])
-            groups = np.repeat(part.column(1).to_numpy(), [len(b) // 10 for b in blobs])
+            blobs = part.column(2).to_pylist()
+            keys = np.frombuffer(b"".join(blobs), _KEY)
+            hubs = np.repeat(np.frombuffer(b"".join(b[:10] for b in blobs), _KEY), [len(b) // 10 for b in blobs])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(groups), pa.array(keys["low"].astype(np.int64)), pa.array(keys["high"].astype(np.int32))],
-                ["grp", "low", "high"],
+                [*_key_columns(hubs), *_key_columns(keys)], ["hub_low", "hub_high", "low", "high"]
             )
 
 
@@ -587,4 +618,6 @@ def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", me
     """
     joined = ngram_join(df, id_col, text_col, measure)
     others = joined.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_id")).distinct()
+    # Written, so that the planner knows their size and broadcasts them only if small.
+    others = cut_lineage(others)
     return df.join(others, F.col(id_col) == F.col("_id"), "left_anti")
