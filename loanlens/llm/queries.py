@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.llm.common import read_table, sha256_hex
-from loanlens.llm.decontaminate import contamination, is_contaminated
+from loanlens.llm.decontaminate import LOWER, UPPER, contamination, is_contaminated
 from loanlens.llm.near_vectors import near_vectors
 from loanlens.llm.ngram_join import ngram_join
 from loanlens.llm.packing import pack, token_pieces
@@ -122,7 +122,70 @@ SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
 FROM g
 """
 
+
+
+def _words(pattern: str) -> str:
+    """SQL: the words of ``text`` with A-Z in small letters."""
+    return f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{pattern}')"
+
+
+# What the words of the two contracts consist of.
+ASCII_WORDS = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+SPACED_WORDS = r"[^\x20\x09-\x0D]+"
+
+OP10 = f"""
+WITH d AS (SELECT doc_id, {_words(ASCII_WORDS)} AS w FROM documents),
+b AS (SELECT item_id, {_words(ASCII_WORDS)} AS w FROM benchmark),
+i AS (SELECT item_id, w, least(len(w), 13) AS n FROM b WHERE len(w) > 0),
+windows AS (SELECT DISTINCT item_id, n, array_to_string(w[k + 1:k + n], ' ') AS win
+            FROM (SELECT *, unnest(range(len(w) - n + 1)) AS k FROM i)),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (SELECT doc_id, n, k, array_to_string(w[k + 1:k + n], ' ') AS win
+           FROM (SELECT doc_id, w, n, unnest(range(len(w) - n + 1)) AS k
+                 FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT doc_id, n, k, item_id FROM places JOIN windows USING (n, win)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(k, k + n)) AS p FROM hits) GROUP BY doc_id),
+found AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+            string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
+          FROM hits GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+# Smallest id that links lead to, from a table links (u, v) in both directions.
+_REACH = "reach(u, r) AS (SELECT {id}, {id} FROM {table} UNION SELECT u, v FROM (SELECT reach.u, links.v FROM reach JOIN links ON links.u = reach.r))"
+OP1 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_words(SPACED_WORDS)} AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[k + 1:k + least(len(w), 4)], ' ') AS gram
+      FROM (SELECT *, unnest(range(greatest(len(w) - 3, 1))) AS k FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+      FROM s a JOIN s b ON a.gram = b.gram AND a.doc_id < b.doc_id GROUP BY ALL),
+p AS (SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n + b.n - c)),
+links AS (SELECT x AS u, y AS v FROM p UNION ALL SELECT y, x FROM p),
+{_REACH.format(id="doc_id", table="d")}
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r) AS component_id
+FROM d LEFT JOIN n USING (doc_id) JOIN reach ON reach.u = d.doc_id GROUP BY d.doc_id
+"""
+OP9 = f"""
+WITH RECURSIVE e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+n AS (SELECT vec_id, x, sqrt(list_inner_product(x, x)) AS norm FROM e),
+links AS (SELECT a.vec_id AS u, b.vec_id AS v FROM n a JOIN n b ON a.vec_id <> b.vec_id
+          WHERE a.norm > 0 AND b.norm > 0 AND list_inner_product(a.x, b.x) / (a.norm * b.norm) >= 0.95),
+l AS (SELECT u, count(*) AS n_links FROM links GROUP BY u),
+{_REACH.format(id="vec_id", table="e")},
+c AS (SELECT u, min(r) AS component_id FROM reach GROUP BY u)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM e JOIN c ON c.u = vec_id LEFT JOIN l ON l.u = vec_id
+"""
+
 SQL: dict[str, str] = {
+    "op1_ngram_join": OP1,
     "op3_warc": OP3,
     "op7_url_filter": verdict_sql(),
+    "op9_near_vectors": OP9,
+    "op10_decontamination": OP10,
 }
