@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -129,6 +130,19 @@ def _step(a: str, b: str) -> bool:
     )
 
 
+def _united(spans: list[Span]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the stretches that the spans cover; touching spans are one stretch."""
+    starts: list[int] = []
+    ends: list[int] = []
+    for s in sorted(spans):
+        if ends and s.start <= ends[-1]:
+            ends[-1] = max(ends[-1], s.end)
+        else:
+            starts.append(s.start)
+            ends.append(s.end)
+    return starts, ends
+
+
 class Scanner:
     """Finds the spans of one text after another; holds the compiled patterns."""
 
@@ -157,14 +171,16 @@ class Scanner:
         if self.run in text.encode("utf-8", "replace").translate(self.hexes):
             found += [Span(m.start(), m.end(), "hex") for m in self.hex.finditer(text)]
         if any(k in lower for k in ("pass", "pwd", "secret", "token", "apikey", "api_key", "credential")):
-            base = sorted(found)
+            starts, ends = _united(found)
             for m in self.context.finditer(text):
                 start, end = m.span(1)
                 while end > start and text[end - 1] in ".!?:)]}":
                     end -= 1
-                if end - start < self.least_length or any(
-                    s.start < end and start < s.end for s in base
-                ):
+                if end - start < self.least_length:
+                    continue
+                # A pattern may cover only part of a value; the rest is as secret.
+                at = bisect_right(starts, start) - 1
+                if at >= 0 and end <= ends[at]:
                     continue
                 if guess_cost(text[start:end], self.words) >= self.least_cost:
                     found.append(Span(start, end, "guess"))
@@ -184,9 +200,9 @@ def find_secrets(
 ) -> DataFrame:
     """The id, the columns named in ``keep`` and ``secrets``: all spans in code points.
 
-    Spans are sorted by start, then kind. Of ``guess`` spans, which the pricing adds, none
-    overlaps another one; a value needs ``least_length`` characters and ``least_cost``
-    (log10 of guesses) to count. Null and empty texts have no spans; repeated rows are
+    Spans are sorted by start, then kind. ``guess`` spans, which the pricing adds, do not
+    overlap each other; they may overlap pattern spans, but none is covered by those. A value
+    needs ``least_length`` characters and ``least_cost`` (log10 of guesses) to count. Null and empty texts have no spans; repeated rows are
     scanned each; rows of an empty table give none. Texts are scanned whole, row by row,
     without a shuffle, and values are priced whole.
     """
