@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loanlens.config import LOAN_ID, NUMERIC_FEATURES, TARGET, TARGET_DEFINITIONS, TrainingProfile
+from loanlens.config import LOAN_ID, NUMERIC_FEATURES, TARGET, TARGET_DEFINITIONS, Config
 from loanlens.functions.bands import pd_to_score, risk_band
 from loanlens.functions.naming import normalise_loan_id
 from loanlens.functions.values import col, half_even, parse_date
@@ -103,7 +103,6 @@ SCORECARD = Scorecard(
         "income_band_Below 5K": 0.25,
     },
 )
-SMALL = TrainingProfile(forest_trees=20, boosting_rounds=10, max_bins=32)
 
 QUERIES: dict[str, Query] = {}
 
@@ -570,17 +569,15 @@ def q_fallback_reasons(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @_query
-def ml_train_score(spark: SparkSession, sf: str) -> DataFrame:
+def ml_train_score(spark: SparkSession, sf: str, cfg: Config = VIEW_CONFIG) -> DataFrame:
     """The whole training: split, folds of every candidate, refit of the best; all loans scored."""
-    cfg = VIEW_CONFIG.with_(profile=SMALL)
     result = train(_labelled(spark, sf), cfg)
     return score_portfolio(result.model, result.labelled, cfg)
 
 
 @_query
-def ml_tree_attrib(spark: SparkSession, sf: str) -> DataFrame:
+def ml_tree_attrib(spark: SparkSession, sf: str, cfg: Config = VIEW_CONFIG) -> DataFrame:
     """Global attribution of a forest over all labelled loans."""
-    cfg = VIEW_CONFIG.with_(profile=SMALL)
     labelled = cut_lineage(_labelled(spark, sf))
     rows, features, medians = prepare_xy(labelled)
     model = fit_candidate(cut_lineage(rows), features, "forest", cfg, medians)
