@@ -14,6 +14,10 @@ dismissed. Of the pairs left, a forest that connects the sets of a signature is
 exactly. Where such a pair fails, all pairs of its signatures that are not connected by
 then are compared exactly too. So every similar pair is linked or connected by links.
 
+A signature of many sets is cut into chunks. Each is first compared in itself and with a few
+leaders of the signature, which takes one row per set and signature. Only sets that are not
+connected to the largest component by then meet the sets of other chunks.
+
 A subset that holds no n-gram of a set says little, and many sets share it. There are
 e first-level parts more than needed, so that similar sets agree in e + 1 of them; a set
 with empty subsets in at most e parts is found without those, and only the few other
@@ -39,7 +43,7 @@ from loanlens.llm.graph import components
 # Bits of the filter of ids whose texts are read again: 2 MB, sent to every task.
 FILTER_BITS = 1 << 24
 
-# Sets compared with each other in one piece of work; larger groups are cut into blocks.
+# Sets compared with each other in one piece of work; larger groups are cut into chunks.
 BLOCK = 1024
 
 
@@ -277,69 +281,102 @@ def _key_columns(keys: np.ndarray) -> list[pa.Array]:
     return [pa.array(keys["low"].astype(np.int64)), pa.array(keys["high"].astype(np.int32))]
 
 
+GROUP = "hub_low long, hub_high int, first_low long, first_high int, bucket long, chunk int, members binary"
+_GROUP = [("hub_low", pa.int64()), ("hub_high", pa.int32()), ("first_low", pa.int64()), ("first_high", pa.int32())]
+_GROUP += [("bucket", pa.int64()), ("chunk", pa.int32()), ("members", pa.binary())]
+
+# hub_high of chunks and tiles; the 16 bits of a set's key are never negative.
+CHUNK_HUB, TILE_HUB = -1, -2
+
+
+def _leaders() -> int:
+    """Sets of a large group that are in all its chunks."""
+    return max(1, BLOCK // 32)
+
+
 def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows sorted by signature: the sets of every signature that several sets share.
 
-    A group of over BLOCK sets becomes the pairs of its blocks, so that no piece of work
-    grows with the group. Keys are packed as 10 bytes each; the first one is the group's hub.
-    A set has so many signatures, and so many groups whose hub it is at most.
+    Keys are packed as 10 bytes each. A group's first set is its hub; a set has so many
+    signatures, and so many groups whose hub it is at most. A group of over BLOCK sets becomes
+    chunks: ``bucket`` is its signature, ``chunk`` counts, and the leaders are in front of the
+    members of all but the first chunk. The hub of a chunk is its number with the group's
+    first set, so signatures with the same sets share hubs. At most BLOCK sets of a signature
+    are held at a time.
     """
-
-    def blocks(low: np.ndarray, high: np.ndarray) -> Iterator[bytes]:
-        keys = np.empty(len(low), _KEY)
-        keys["low"], keys["high"] = low, high
-        if len(keys) <= BLOCK:
-            yield keys.tobytes()
-            return
-        half = BLOCK // 2
-        parts = [keys[i : i + half] for i in range(0, len(keys), half)]
-        for i, j in combinations(range(len(parts)), 2):
-            yield parts[i].tobytes() + parts[j].tobytes()
+    lead = _leaders()
+    size = BLOCK - lead
+    waiting: list[tuple] = []
+    met: set[bytes] = set()
+    large: int | None = None  # the signature whose chunks are being written
+    leaders, chunk = np.empty(0, _KEY), 0
+
+    def write(keys: np.ndarray) -> None:
+        nonlocal chunk
+        spread = mix(leaders["low"][:1].view(np.uint64) + np.array([chunk], np.uint64) * _BASE)
+        members = (leaders.tobytes() if chunk else b"") + keys.tobytes()
+        first = int(leaders["low"][0]), int(leaders["high"][0])
+        waiting.append((int(spread.view(np.int64)[0]), CHUNK_HUB, *first, large, chunk, members))
+        chunk += 1
+
+    def spill(bucket: int, keys: np.ndarray) -> np.ndarray:
+        """Writes whole chunks of a large group; the keys that are left, one at least."""
+        nonlocal large, leaders, chunk
+        if large != bucket:
+            if len(keys) <= BLOCK:
+                return keys
+            large, leaders, chunk = bucket, keys[:lead].copy(), 0
+        while len(keys) > size:
+            write(keys[:size])
+            keys = keys[size:]
+        return keys
+
+    def close(bucket: int, keys: np.ndarray) -> None:
+        keys = spill(bucket, keys)
+        if large == bucket:
+            write(keys)
+        elif len(keys) > 1:
+            members = keys.tobytes()
+            if members not in met:
+                if len(met) > 50_000:
+                    met.clear()
+                if len(members) <= 400:
+                    met.add(members)
+                waiting.append((int(keys["low"][0]), int(keys["high"][0]), None, None, None, None, members))
 
     held_sig, held_low = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def cut(sig: np.ndarray, low: np.ndarray) -> Iterator[bytes]:
+    for batch in batches:
+        sig = np.concatenate([held_sig, batch.column(0).to_numpy()])
+        low = np.concatenate([held_low, batch.column(1).to_numpy()])
+        if len(sig) == 0:
+            continue
         fresh = np.ones(len(sig), bool)
         fresh[1:] = (sig[1:] != sig[:-1]) | (low[1:] != low[:-1])
         sig, low = sig[fresh], low[fresh]
         bucket = sig >> 16
+        keys = np.empty(len(low), _KEY)
+        keys["low"], keys["high"] = low, sig & 0xFFFF
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         ends = np.r_[starts[1:], len(bucket)]
         shared = ends - starts > 1
-        high = sig & 0xFFFF
+        shared[0] = True  # may go on with a large group
+        shared[-1] = False
         for s, e in zip(starts[shared].tolist(), ends[shared].tolist()):
-            yield from blocks(low[s:e], high[s:e])
-
-    def out(found: list[bytes]) -> pa.RecordBatch:
-        hubs = np.frombuffer(b"".join(m[:10] for m in found), _KEY)
-        return pa.RecordBatch.from_arrays(
-            [*_key_columns(hubs), pa.array(found, pa.binary())], ["hub_low", "hub_high", "members"]
-        )
-
-    waiting: list[bytes] = []
-    met: set[bytes] = set()
-    for batch in batches:
-        sig = np.concatenate([held_sig, batch.column(0).to_numpy()])
-        low = np.concatenate([held_low, batch.column(1).to_numpy()])
-        if len(sig) == 0:
-            continue
-        last = int(np.searchsorted(sig >> 16, sig[-1] >> 16))
-        held_sig, held_low = sig[last:], low[last:]
-        if last:
-            for members in cut(sig[:last], low[:last]):
-                if members not in met:
-                    if len(met) > 50_000:
-                        met.clear()
-                    if len(members) <= 400:
-                        met.add(members)
-                    waiting.append(members)
-                    if len(waiting) >= 1000:
-                        yield out(waiting)
-                        waiting = []
+            close(int(bucket[s]), keys[s:e])
+            if len(waiting) >= 1000:
+                yield _batch(waiting, _GROUP)
+                waiting = []
+        left = len(spill(int(bucket[-1]), keys[starts[-1] :]))
+        held_sig, held_low = sig[len(sig) - left :].copy(), low[len(low) - left :].copy()
+        if len(waiting) >= 1000:
+            yield _batch(waiting, _GROUP)
+            waiting = []
     if len(held_sig):
-        waiting += cut(held_sig, held_low)
+        keys = np.empty(len(held_low), _KEY)
+        keys["low"], keys["high"] = held_low, held_sig & 0xFFFF
+        close(int(held_sig[0] >> 16), keys)
     if waiting:
-        yield out(waiting)
+        yield _batch(waiting, _GROUP)
 
 
 def sketch(grams: np.ndarray) -> bytes:
@@ -365,17 +402,24 @@ def _folded(blobs: list[bytes]) -> np.ndarray:
 
 
 def sketch_pairs(
-    rows: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, labels: np.ndarray, forest: bool, measure: Measure
+    rows: np.ndarray,
+    sizes: np.ndarray,
+    sketches: np.ndarray,
+    labels: np.ndarray,
+    forest: bool,
+    measure: Measure,
+    first: int | None = None,
 ) -> list[tuple[int, int]]:
     """Pairs of ``rows`` with different labels that may be similar, as far as sketches tell.
 
     With ``forest`` a pair makes one label of two, in ``labels`` itself, so the pairs only
     connect what may be connected; without, all pairs are returned. Row i has sizes[i] and
-    labels[i], and the sketch at its place in ``rows``.
+    labels[i], and the sketch at its place in ``rows``. Only the ``first`` rows, if given, are
+    compared with all after them.
     """
     num, den = measure.numerator, measure.denominator
     pairs = []
-    for at, i in enumerate(rows[:-1].tolist()):
+    for at, i in enumerate(rows[:-1][:first].tolist()):
         later = np.flatnonzero(labels[rows[at + 1 :]] != labels[i]) + at + 1
         if len(later) == 0:
             continue
@@ -447,7 +491,7 @@ class _Hub:
         self.place: dict[bytes, int] | None = None
         self.met: set[tuple[int, int]] = set()
 
-    def pairs(self, members: bytes) -> list[tuple]:
+    def pairs(self, members: bytes, first: int | None) -> list[tuple]:
         """New pairs of a group; what other groups of the hub connect is connected."""
         if self.place is None:
             keys = np.empty(len(self.sets), _KEY)
@@ -460,7 +504,7 @@ class _Hub:
         if (self.labels[rows] == self.labels[rows[0]]).all():
             return []
         sketches = _folded([self.sets[i][5] for i in rows.tolist()])
-        found = sketch_pairs(rows, self.sizes, sketches, self.labels, self.forest, self.measure)
+        found = sketch_pairs(rows, self.sizes, sketches, self.labels, self.forest, self.measure, first)
         found = [pair for pair in found if pair not in self.met]
         self.met.update(found)
         return [(*self.sets[a][:3], *self.sets[b][:3]) for a, b in found]
@@ -473,13 +517,13 @@ def _candidates_of(measure: Measure, forest: bool):
         at, hub = None, _Hub(measure, forest)
         for batch in batches:
             found = []
-            for low, high, *own, members in zip(*(batch.column(k).to_pylist() for k in range(9))):
+            for low, high, *own, first, members in zip(*(batch.column(k).to_pylist() for k in range(10))):
                 if (low, high) != at:
                     at, hub = (low, high), _Hub(measure, forest)
                 if members is None:
                     hub.sets.append(tuple(own))
                 else:
-                    found += hub.pairs(members)
+                    found += hub.pairs(members, first)
             if found:
                 yield _batch(found, _PAIR)
 
@@ -516,19 +560,25 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
     groups = (
         rows.repartition(F.shiftright("sig", 16))
         .sortWithinPartitions("sig", "low")
-        .mapInArrow(_groups, "hub_low long, hub_high int, members binary")
-        .dropDuplicates(["members"])
+        .mapInArrow(_groups, GROUP)
+        .dropDuplicates(["bucket", "members"])
     )
-    groups = cut_lineage(groups)
+    groups = cut_lineage(groups.withColumn("first", F.lit(None).cast("int")))
     hub = ["hub_low", "hub_high"]
 
+    def members_of(groups: DataFrame) -> DataFrame:
+        packed = groups.select(*hub, "members")
+        return packed.mapInArrow(_members, "hub_low long, hub_high int, low long, high int")
+
     def pairs(groups: DataFrame, labelled: DataFrame, forest: bool) -> DataFrame:
         # A set goes to a hub once, however many groups of the hub it is in.
-        members = groups.mapInArrow(_members, "hub_low long, hub_high int, low long, high int").distinct()
+        members = members_of(groups).distinct()
         own = ["low", "high", "node", "label", "n", "sketch"]
-        rows = members.join(labelled, ["low", "high"]).select(*hub, *own, F.lit(None).cast("binary").alias("members"))
+        rows = members.join(labelled, ["low", "high"]).select(
+            *hub, *own, F.lit(None).cast("int").alias("first"), F.lit(None).cast("binary").alias("members")
+        )
         nulls = [F.lit(None).cast(labelled.schema[c].dataType).alias(c) for c in own]
-        rows = rows.unionByName(groups.select(*hub, *nulls, "members"))
+        rows = rows.unionByName(groups.select(*hub, *nulls, "first", "members"))
         rows = rows.repartition(*hub).sortWithinPartitions(*hub, F.col("members").isNotNull(), "members", "high", "low")
         return cut_lineage(rows.mapInArrow(_candidates_of(measure, forest), PAIR).distinct())
 
@@ -548,23 +598,84 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
             both.select("u", "v", "ga", "gb").mapInArrow(_compared_of(measure), "u long, v long, similar boolean")
         )
 
+    def labelled(tried: DataFrame) -> DataFrame:
+        """The sets, with what is connected so far as one."""
+        joined = components(tried.where("similar").select("u", "v")).select(F.col("id").alias("node"), "component")
+        return sets.join(joined, "node", "left").withColumn("label", F.coalesce("component", "node"))
+
     tried = compared(pairs(groups, sets.withColumn("label", F.col("node")), True))
+    chunks = groups.where("chunk IS NOT NULL")
+    if not chunks.isEmpty():
+        now = cut_lineage(labelled(tried))
+        tiles = cut_lineage(_tiles(chunks, now))
+        if not tiles.isEmpty():
+            tried = tried.unionByName(compared(pairs(tiles, now, True)))
+            groups = groups.select(*tiles.columns).unionByName(tiles)
     links = tried.where("similar").select("u", "v")
     failed = tried.where("NOT similar")
     if failed.isEmpty():
         return links
-    # Signatures that hold a set of a failed pair, with what is connected so far as one.
+    # Groups that hold a set of a failed pair.
     doubtful = failed.select(F.col("u").alias("node")).unionByName(failed.select(F.col("v").alias("node"))).distinct()
     doubtful = sets.select("low", "high", "node").join(doubtful, "node", "left_semi").select("low", "high")
-    members = groups.mapInArrow(_members, "hub_low long, hub_high int, low long, high int")
-    again = members.join(doubtful, ["low", "high"], "left_semi").select(*hub).distinct()
+    again = members_of(groups).join(doubtful, ["low", "high"], "left_semi").select(*hub).distinct()
     rest = cut_lineage(groups.join(again, hub, "left_semi"))
-    joined = components(links).select(F.col("id").alias("node"), "component")
-    labelled = sets.join(joined, "node", "left").withColumn("label", F.coalesce("component", "node"))
-    more = compared(pairs(rest, labelled, False))
+    more = compared(pairs(rest, labelled(tried), False))
     return links.unionByName(more.where("similar").select("u", "v"))
 
 
+def _tiles(chunks: DataFrame, labelled: DataFrame) -> DataFrame:
+    """Groups for the sets that chunks leave outside of the largest component.
+
+    The sets of all large signatures with the same first set are taken together, as most of
+    them are the same. Those outside of the largest component are dealt to blocks, and every
+    block meets all the sets, dealt to blocks as well. A pair of sets of one signature with
+    different labels has one outside, so it is in a chunk or in a tile.
+    """
+    packed = chunks.select("first_low", "first_high", "chunk", "members")
+    keys = packed.mapInArrow(_chunk_members, "first_low long, first_high int, low long, high int, key binary")
+    same = ["first_low", "first_high"]
+    rows = keys.distinct().join(labelled.select("low", "high", "label"), ["low", "high"]).drop("low", "high")
+    rows = cut_lineage(rows)
+    sizes = rows.groupBy(*same, "label").agg(F.count("*").alias("n"))
+    most = sizes.groupBy(*same).agg(F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n"))
+    most = most.select(*same, "n", F.col("most.label").alias("main"), (F.col("n") - F.col("most.n")).alias("outside"))
+    rows = rows.join(most.where("outside > 0"), same)
+
+    def dealt(rows: DataFrame, total: str, block: str, blob: str) -> DataFrame:
+        place = F.pmod(F.xxhash64("key"), F.ceil(F.col(total) / BLOCK))
+        joined = F.unhex(F.array_join(F.array_sort(F.collect_list(F.hex("key"))), ""))
+        return rows.groupBy(*same, place.alias(block)).agg(joined.alias(blob), F.first("n").alias("n"))
+
+    own = dealt(rows.where("label <> main"), "outside", "i", "own")
+    own = own.withColumn("j", F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("n") / BLOCK) - 1)))
+    tiles = own.drop("n").join(dealt(rows, "n", "j", "others").drop("n"), [*same, "j"])
+    return tiles.select(
+        F.xxhash64(*same, "i", "j").alias("hub_low"),
+        F.lit(TILE_HUB).alias("hub_high"),
+        F.expr("cast(octet_length(own) div 10 as int)").alias("first"),
+        F.concat("own", "others").alias("members"),
+    )
+
+
+def _chunk_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows (first set, chunk, members): the sets of every chunk, leaders in the first only."""
+    lead = _leaders()
+    for batch in batches:
+        for first_low, first_high, chunk, members in zip(*(batch.column(k).to_pylist() for k in range(4))):
+            keys = np.frombuffer(members, _KEY)[lead if chunk else 0 :]
+            blob = keys.tobytes()
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.full(len(keys), first_low, np.int64)),
+                    pa.array(np.full(len(keys), first_high, np.int32)),
+                    *_key_columns(keys),
+                    pa.array([blob[i : i + 10] for i in range(0, len(blob), 10)], pa.binary()),
+                ],
+                ["first_low", "first_high", "low", "high", "key"],
+            )
+
+
 def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From groups (hub, members): hub and key of every member."""
     for batch in batches:
@@ -572,10 +683,9 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(at, 200)
             blobs = part.column(2).to_pylist()
             keys = np.frombuffer(b"".join(blobs), _KEY)
-            hubs = np.repeat(np.frombuffer(b"".join(b[:10] for b in blobs), _KEY), [len(b) // 10 for b in blobs])
-            yield pa.RecordBatch.from_arrays(
-                [*_key_columns(hubs), *_key_columns(keys)], ["hub_low", "hub_high", "low", "high"]
-            )
+            count = [len(b) // 10 for b in blobs]
+            hubs = [pa.array(np.repeat(part.column(k).to_numpy(), count)) for k in range(2)]
+            yield pa.RecordBatch.from_arrays([*hubs, *_key_columns(keys)], ["hub_low", "hub_high", "low", "high"])
 
 
 def ngram_join(

@@ -117,3 +117,52 @@ def test_components(spark):
     found = {r["id"]: r["component"] for r in components(df).collect()}
     assert found == {i: 0 for i in range(41)} | {100: 100, 101: 100, 103: 100}
     assert components(df.limit(0)).count() == 0
+
+
+def rows_of_signatures(groups):
+    """Sorted rows (sig, low), in small batches, of {signature: keys}."""
+    rows = sorted({(sig << 16 | high, low) for sig, keys in groups.items() for low, high in keys})
+    rows = [r for r in rows for _ in range(1 + r[1] % 2)]  # some twice
+    for i in range(0, len(rows), 700):
+        sig, low = zip(*rows[i : i + 700])
+        yield pa.RecordBatch.from_arrays([pa.array(sig, pa.int64()), pa.array(low, pa.int64())], ["sig", "low"])
+
+
+def test_a_large_group_takes_rows_in_proportion():
+    rng = random.Random(4)
+    keys = [(rng.getrandbits(63), rng.getrandbits(16)) for _ in range(20_000)]
+    groups = {-5: keys[:3], 1: keys, 2: keys[:1], 3: keys[:1024], 4: keys[:1025], 9: keys[-2:]}
+    found = [r for batch in op._groups(rows_of_signatures(groups)) for r in batch.to_pylist()]
+    assert sum(len(r["members"]) for r in found) < 1.1 * 10 * sum(map(len, groups.values()))
+    assert max(len(r["members"]) for r in found) <= 10 * op.BLOCK
+    # No hub holds more than a chunk of one signature, whatever the size of the group.
+    held = {}
+    for r in found:
+        held.setdefault((r["hub_low"], r["bucket"]), []).append(len(r["members"]) // 10)
+    assert max(map(sum, held.values())) <= op.BLOCK
+    sets = lambda r: [tuple(k) for k in np.frombuffer(r["members"], op._KEY).tolist()]
+    small = sorted(sorted(sets(r)) for r in found if r["chunk"] is None)
+    assert small == sorted(sorted(groups[g]) for g in (-5, 3, 9))
+    for g in (1, 4):
+        chunks = [sets(r) for r in found if r["bucket"] == g]
+        leaders = chunks[0][: op._leaders()]
+        assert all(c[: len(leaders)] == leaders for c in chunks)
+        assert sorted(chunks[0] + [k for c in chunks[1:] for k in c[len(leaders) :]]) == sorted(groups[g])
+
+
+@pytest.mark.parametrize("measure", [op.Measure(), op.Measure(1, 1, 2, n2=3, k2=2)])
+def test_chunks_and_tiles_find_all_links(spark, monkeypatch, measure):
+    """With chunks of seven sets, most similar sets are in different ones."""
+    monkeypatch.setattr(op, "BLOCK", 8)
+    used, tiles = [], op._tiles
+
+    def counted(chunks, labelled):
+        found = tiles(chunks, labelled)
+        used.append((chunks.count(), found.count()))
+        return found
+
+    monkeypatch.setattr(op, "_tiles", counted)
+    texts = near_copies(6, groups=5, copies=60) + edge_texts()
+    found = by_id(op.ngram_join(documents(spark, texts), measure=measure))
+    assert [found[i]["component_id"] for i in range(len(texts))] == expected(texts, measure)[1]
+    assert used and min(used[0]) > 0
