@@ -1,14 +1,21 @@
 """Attribution for tree ensembles: exact Shapley values along the tree paths.
 
-A leaf is reached through conditions on a few features. Per leaf and feature these
-conditions merge into one interval and one share: the part of the training rows
-that would stay on the path if the feature were unknown. The Shapley value of a
-feature is then a sum over leaves in which every other feature of the path enters
-as a factor, so a batch of rows is handled with array arithmetic per leaf.
-
-The ensemble is a table of nodes that Spark ML writes with the model. Its leaves
-are shipped to the tasks in pieces of a checked size; the rows are partitioned by
-Spark and never leave their partition.
+On the way to a leaf the conditions on one feature merge into one interval and one share:
+the part of the training rows that would stay on the way if the feature were unknown. A
+known feature i is inside its interval (o = 1) or not (o = 0). A leaf worth v gives feature j
+
+    v (o_j - s_j) * integral over t from 0 to 1 of the product over i <> j of
+                    s_i (1 - t) + o_i t
+
+The product is a polynomial in t whose degree is below the depth, so a Gauss-Legendre rule
+with half as many nodes as the depth integrates it exactly. The products are carried down
+the trees level by level, all edges of a level and a block of rows at once, and sums over
+leaves are carried up again; an edge that meets a feature for a second time takes the
+earlier factor out. No step visits a single leaf.
+
+The ensemble is a table of nodes that Spark ML writes with the model. Executors turn each
+tree into arrays of edges; these are shipped to the tasks in pieces of a checked size; the
+rows are partitioned by Spark and never leave their partition.
 """
 
 from __future__ import annotations
@@ -20,25 +27,36 @@ from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loanlens.functions.values import col
-from loanlens.session import checkpoint_folder
+from loanlens.session import checkpoint_folder, cut_lineage
 
-# Leaf data sent with one pass over the rows; larger ensembles take several passes.
+# Edges sent with one pass over the rows; larger ensembles take several passes.
 MAX_PASS_BYTES = 64 << 20
+# Edges (whole trees) and rows that are worked on at once.
+BLOCK_EDGES, BLOCK_ROWS = 4096, 64
 
 
-class Leaf(NamedTuple):
-    """Value of a leaf and, per feature on its path, interval (low, high] and share."""
+class Level(NamedTuple):
+    """Edges to the nodes of one depth, in pairs: left and right child of a parent.
 
-    value: float
+    ``low, high, share`` are those of the edge's feature so far, ``before_*`` those above
+    the edge. ``value`` is that of a leaf, 0 of an inner node.
+    """
+
+    parent: np.ndarray
     feature: np.ndarray
     low: np.ndarray
     high: np.ndarray
     share: np.ndarray
+    before_low: np.ndarray
+    before_high: np.ndarray
+    before_share: np.ndarray
+    value: np.ndarray
 
 
 def node_table(model) -> DataFrame:
@@ -66,116 +84,180 @@ def node_table(model) -> DataFrame:
     )
 
 
-def _leaves_of_tree(nodes: dict, scale: float) -> Iterator[Leaf]:
-    """Walk down one tree, narrowing the interval of each feature met."""
-    stack = [(0, {})]
-    while stack:
-        at, path = stack.pop()
-        node = nodes[at]
-        if node.left < 0:
-            names = sorted(path)
-            bounds = np.array([path[f] for f in names], dtype=float).reshape(-1, 3)
-            yield Leaf(scale * node.value, np.array(names, dtype=int), *bounds.T)
-            continue
-        low, high, share = path.get(node.feature, (-math.inf, math.inf, 1.0))
-        for child, interval in (
-            (node.left, (low, min(high, node.threshold))),
-            (node.right, (max(low, node.threshold), high)),
-        ):
-            kept = nodes[child].weight / node.weight if node.weight else 0.0
-            stack.append((child, {**path, node.feature: (*interval, share * kept)}))
-
-
-def ensemble_leaves(model) -> list[Leaf]:
-    """All leaves, valued so that a row's margin is the sum of the leaves it reaches."""
+# --- A tree as levels of edges -------------------------------------------------
+
+
+def tree_levels(nodes: pa.Table, scale: float) -> tuple[float, list[Level]]:
+    """Mean margin over the training rows, and the edges of one tree, level by level."""
+    nodes = nodes.sort_by("id")
+    ids, left, right, feature = (nodes.column(c).to_numpy() for c in ("id", "left", "right", "feature"))
+    threshold, value, weight = (
+        nodes.column(c).to_numpy().astype(float) for c in ("threshold", "value", "weight")
+    )
+    names, place = np.unique(feature, return_inverse=True)
+    at = np.zeros(1, np.int64)
+    low, high = np.full((1, len(names)), -math.inf), np.full((1, len(names)), math.inf)
+    share, reach = np.ones((1, len(names))), np.ones(1)
+    # A tree of one leaf gives every row its value.
+    levels, base = [], scale * value[0] if left[0] < 0 else 0.0
+    while (inner := np.flatnonzero(left[at] >= 0)).size:
+        node = at[inner]
+        child = np.searchsorted(ids, np.stack([left[node], right[node]], 1).ravel())
+        parent = inner.repeat(2)
+        node = node.repeat(2)
+        axis = np.arange(len(node)), place[node]
+        cut = threshold[node]
+        is_left = np.arange(len(node)) % 2 == 0
+        low, high, share = low[parent], high[parent], share[parent]
+        before = low[axis], high[axis], share[axis]
+        kept = np.divide(weight[child], weight[node], out=np.zeros(len(node)), where=weight[node] > 0)
+        low[axis] = np.where(is_left, before[0], np.maximum(before[0], cut))
+        high[axis] = np.where(is_left, np.minimum(before[1], cut), before[1])
+        share[axis] = before[2] * kept
+        reach = reach[parent] * kept
+        leaf = np.where(left[child] < 0, scale * value[child], 0.0)
+        base += float((leaf * reach).sum())
+        levels.append(Level(parent, feature[node], low[axis], high[axis], share[axis], *before, leaf))
+        at = child
+    return base, levels
+
+
+_EDGE = np.dtype([(name, "i4" if name in ("parent", "feature") else "f8") for name in Level._fields])
+PACKED = "tree int, base double, bytes long, edges array<binary>"
+
+
+def packed_trees(model) -> DataFrame:
+    """One row per tree: its mean margin and the edges of its levels, as bytes.
+
+    A row's margin is the sum of the trees' bases and the row's attributions: log-odds for
+    boosted trees, the probability for a forest.
+    """
     scales = list(model.treeWeights)
     if isinstance(model, GBTClassificationModel):
         # The probability is the logistic of twice the weighted sum.
         scales = [2 * w for w in scales]
     else:
         scales = [w / sum(scales) for w in scales]
-    trees: dict[int, dict] = {}
-    # The size of the model bounds this, not the data.
-    for row in node_table(model).toPandas().itertuples(index=False):
-        trees.setdefault(row.tree, {})[row.id] = row
-    return [
-        leaf for tree, nodes in sorted(trees.items()) for leaf in _leaves_of_tree(nodes, scales[tree])
-    ]
 
+    def pack(nodes: pa.Table) -> pa.Table:
+        tree = nodes.column("tree")[0].as_py()
+        base, levels = tree_levels(nodes, scales[tree])
+        packed = [np.rec.fromarrays(level, dtype=_EDGE).tobytes() for level in levels]
+        columns = {"tree": [tree], "base": [base], "bytes": [sum(map(len, packed))], "edges": [packed]}
+        schema = [("tree", pa.int32()), ("base", pa.float64()), ("bytes", pa.int64()), ("edges", pa.list_(pa.binary()))]
+        return pa.table(columns, schema=pa.schema(schema))
 
-def base_value(leaves: list[Leaf]) -> float:
+    return cut_lineage(node_table(model).groupBy("tree").applyInArrow(pack, PACKED))
+
+
+def base_value(trees: DataFrame) -> float:
     """Mean margin over the training rows."""
-    return float(sum(leaf.value * leaf.share.prod() for leaf in leaves))
+    return float(trees.agg(F.sum("base")).first()[0])
 
 
-def _gains(inside: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Per feature of a path, the Shapley value of a leaf worth one.
+# --- Shapley values ------------------------------------------------------------
 
-    ``inside`` says, per row, which features meet their interval. A feature that is
-    known keeps the row on the path or not; an unknown one keeps it in ``share`` of
-    the cases. Subsets of known features are summed by their size.
-    """
-    rows, m = inside.shape
-    weights = np.array([1 / (m * math.comb(m - 1, k)) for k in range(m)])
-    out = np.empty((rows, m))
-    for j in range(m):
-        by_size = np.zeros((rows, m))
-        by_size[:, 0] = 1.0
-        for i in range(m):
-            if i == j:
-                continue
-            grown = by_size[:, :-1] * inside[:, i : i + 1]
-            by_size *= share[i]
-            by_size[:, 1:] += grown
-        out[:, j] = (inside[:, j] - share[j]) * (by_size @ weights)
-    return out
+
+def _merged(trees: list[list[bytes]]) -> list[Level]:
+    """Levels of several trees side by side; the root of tree i is node i of level 0."""
+    levels, before = [], [1] * len(trees)
+    for depth in range(max(map(len, trees))):
+        parts, start, width = [], 0, []
+        for tree, above in zip(trees, before):
+            edges = np.frombuffer(tree[depth], _EDGE) if depth < len(tree) else np.zeros(0, _EDGE)
+            parts.append([edges["parent"].astype(np.int64) + start, *(edges[f] for f in Level._fields[1:])])
+            start += above
+            width.append(len(edges))
+        levels.append(Level(*map(np.concatenate, zip(*parts))))
+        before = width
+    return levels
+
+
+def _tables(level: Level, t: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per edge and kind (in neither interval, in the earlier one, in both): factor and gain."""
+    share, before = level.share[:, None, None], level.before_share[:, None, None]
+    now = np.array([0.0, 0.0, 1.0])[:, None]
+    then = np.array([0.0, 1.0, 1.0])[:, None]
+    factor, old = share * (1 - t) + now * t, before * (1 - t) + then * t
+    # A factor of 0 belongs to a share of 0, whose difference to o is 0 as well.
+    ratio = np.divide(factor, old, out=np.zeros_like(factor), where=old > 0)
+    gain = np.divide(now - share, factor, out=np.zeros_like(factor), where=factor > 0)
+    gain -= np.divide(then - before, old, out=np.zeros_like(factor), where=old > 0)
+    return ratio.reshape(-1, len(t)), (gain * w).reshape(-1, len(t))
 
 
-def shapley(leaves: list[Leaf], x: np.ndarray) -> np.ndarray:
-    """Shapley values, rows by features, of the sum of the leaves."""
+def shapley(trees: list[list[bytes]], x: np.ndarray) -> np.ndarray:
+    """Shapley values, rows by features, of the sum of the trees."""
     out = np.zeros_like(x, dtype=float)
-    for leaf in leaves:
-        m = len(leaf.feature)
-        if m == 0 or leaf.value == 0:
-            continue
-        values = x[:, leaf.feature]
-        inside = (values > leaf.low) & (values <= leaf.high)
-        # Rows that meet the same conditions have the same values: work them out once.
-        codes = inside @ (1 << np.arange(m))
-        kinds, first, back = np.unique(codes, return_index=True, return_inverse=True)
-        gains = leaf.value * _gains(inside[first].astype(float), leaf.share)
-        out[:, leaf.feature] += gains[back]
+    trees = sorted((t for t in trees if t), key=len)
+    block: list[list[bytes]] = []
+    for i, tree in enumerate(trees):
+        block.append(tree)
+        size = sum(len(edges) for t in block for edges in t) // _EDGE.itemsize
+        if size >= BLOCK_EDGES or i + 1 == len(trees):
+            _add_block(block, x, out)
+            block = []
     return out
 
 
-def _passes(leaves: list[Leaf]) -> Iterator[list[Leaf]]:
-    """Leaves in pieces that stay below the size allowed per pass."""
-    piece, size = [], 0
-    for leaf in leaves:
-        cost = 100 + 32 * len(leaf.feature)
-        if piece and size + cost > MAX_PASS_BYTES:
-            yield piece
-            piece, size = [], 0
-        piece.append(leaf)
-        size += cost
-    if piece:
-        yield piece
+def _add_block(trees: list[list[bytes]], x: np.ndarray, out: np.ndarray) -> None:
+    levels = _merged(trees)
+    t, w = np.polynomial.legendre.leggauss((len(levels) + 1) // 2)
+    t, w = (t + 1) / 2, w / 2
+    tables = [_tables(level, t, w) for level in levels]
+    order = [np.argsort(level.feature, kind="stable") for level in levels]
+    firsts = [np.unique(level.feature[o], return_index=True) for level, o in zip(levels, order)]
+    for start in range(0, len(x), BLOCK_ROWS):
+        rows = x[start : start + BLOCK_ROWS]
+        product = np.ones((len(rows), len(trees), len(t)))
+        down = []
+        for level, (ratio, _) in zip(levels, tables):
+            values = rows[:, level.feature]
+            kind = ((values > level.low) & (values <= level.high)).astype(np.intp)
+            kind += (values > level.before_low) & (values <= level.before_high)
+            kind += 3 * np.arange(len(level.parent))
+            product = product[:, level.parent] * ratio[kind]
+            down.append((kind, product))
+        below = None
+        for depth in reversed(range(len(levels))):
+            level, (kind, product) = levels[depth], down[depth]
+            product *= level.value[:, None]
+            if below is not None:
+                # Children come in pairs; their parents have no value of their own.
+                product[:, levels[depth + 1].parent[::2]] = below[:, ::2] + below[:, 1::2]
+            below = product
+            gains = np.einsum("rnq,rnq->rn", below, tables[depth][1][kind])
+            names, first = firsts[depth]
+            out[start : start + BLOCK_ROWS, names] += np.add.reduceat(gains[:, order[depth]], first, axis=1)
 
 
-def _attribute(leaves: list[Leaf]) -> Callable[[Column], Column]:
-    """Shapley values of one piece of the ensemble as an Arrow-batched function."""
-    # Plain tuples: broadcasts do not carry classes to workers without the package.
-    plain = [tuple(leaf) for leaf in leaves]
-    shared = SparkSession.getActiveSession().sparkContext.broadcast(plain)
+# --- As a column -----------------------------------------------------------------
+
+
+def _passes(sizes: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """First and last tree of pieces that stay below the size allowed per pass."""
+    first, last, total = None, None, 0
+    for tree, size in sizes:
+        if first is not None and total + size > MAX_PASS_BYTES:
+            yield first, last
+            first, total = None, 0
+        first = tree if first is None else first
+        last, total = tree, total + size
+    if first is not None:
+        yield first, last
+
+
+def attribution_udf(trees: list[list[bytes]]) -> Callable[[Column], Column]:
+    """Shapley values of some trees as an Arrow-batched function.
+
+    Their bytes are broadcast, and freed with the plan that uses them.
+    """
+    shared = SparkSession.getActiveSession().sparkContext.broadcast(trees)
 
     @F.pandas_udf("array<double>")
     def attribute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        leaves = [Leaf(*leaf) for leaf in shared.value]
         for batch in batches:
-            if len(batch):
-                yield pd.Series(list(shapley(leaves, np.vstack(batch.to_numpy()))))
-            else:
-                yield batch
+            yield pd.Series(list(shapley(shared.value, np.vstack(batch.to_numpy())))) if len(batch) else batch
 
     return attribute
 
@@ -195,6 +277,10 @@ def add_tree_attributions(
     values = zip(features, scales)
     x = F.array(*[col(f).cast("double") / s if s else F.lit(0.0) for f, s in values])
     total = F.array(*[F.lit(0.0) for _ in features])
-    for piece in _passes(ensemble_leaves(model)):
-        total = F.zip_with(total, _attribute(piece)(x), lambda a, b: a + b)
+    trees = packed_trees(model)
+    sizes = [tuple(r) for r in trees.select("tree", "bytes").orderBy("tree").collect()]
+    for first, last in _passes(sizes):
+        piece = trees.where(F.col("tree").between(first, last)).select("edges").collect()
+        edges = [[bytes(level) for level in r["edges"]] for r in piece]
+        total = F.zip_with(total, attribution_udf(edges)(x), lambda a, b: a + b)
     return df.withColumn(name, total)

@@ -72,13 +72,15 @@ def test_workers_need_no_copy_of_the_package(tmp_path):
     code = (
         "import sys; sys.path.insert(0, sys.argv[1])\n"
         "from loanlens.session import local_session\n"
-        "from loanlens.operators.trees import Leaf, _attribute\n"
+        "from loanlens.operators.trees import Level, _EDGE, attribution_udf\n"
         "import numpy as np\n"
         "from pyspark.sql import functions as F\n"
         "spark = local_session(1, 'elsewhere')\n"
-        "leaf = Leaf(2.0, np.array([0]), np.array([0.0]), np.array([1.0]), np.array([0.5]))\n"
+        "inf = float('inf')\n"
+        "pair = Level([0, 0], [0, 0], [-inf, 0.0], [0.0, inf], [0.5, 0.5], [-inf] * 2, [inf] * 2, [1.0] * 2, [0.0, 2.0])\n"
+        "tree = [np.rec.fromarrays([np.array(c) for c in pair], dtype=_EDGE).tobytes()]\n"
         "x = F.array(F.lit(0.5))\n"
-        "print('GOT', spark.range(1).select(_attribute([leaf])(x)).first()[0])\n"
+        "print('GOT', spark.range(1).select(attribution_udf([tree])(x)).first()[0])\n"
     )
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     run = subprocess.run(

@@ -12,7 +12,7 @@ from loanlens.config import MODEL_FEATURES, TARGET, Config, TrainingProfile
 from loanlens.operators.candidates import ClassCounts, candidates
 from loanlens.operators.importance import compute_shap
 from loanlens.operators.scoring import score_requests
-from loanlens.operators.trees import base_value, ensemble_leaves, node_table
+from loanlens.operators.trees import base_value, node_table, packed_trees, shapley, tree_levels
 from loanlens.plans.training import best_model, cv_summary, fit_candidate, fold_counts, prepare_xy
 from loanlens.session import cut_lineage
 from loanlens.streaming import read_request_stream, read_requests, score_requests_stream
@@ -144,7 +144,7 @@ def test_tree_attributions_sum_to_the_margin(rows, name, scale):
     df, features, _ = rows
     model = fit_candidate(df, features, name, CFG, scale=scale)
     out = model.add_attributions(model.add_probability(df)).select("p", "attributions").toPandas()
-    total = base_value(ensemble_leaves(model.classifier)) + np.vstack(out.attributions).sum(axis=1)
+    total = base_value(packed_trees(model.classifier)) + np.vstack(out.attributions).sum(axis=1)
     p = out.p.to_numpy()
     assert np.allclose(total, p if name == "forest" else np.log(p / (1 - p)), atol=1e-9)
 
@@ -185,6 +185,41 @@ def test_tree_attributions_against_all_subsets(rows):
             assert row.attributions[j] == pytest.approx(expected / len(trees), abs=1e-10)
 
 
+def test_paths_that_meet_a_feature_again_and_empty_nodes():
+    """A chain on two features, a node without training rows, a tree of one leaf."""
+    import pyarrow as pa
+
+    from loanlens.operators.trees import _EDGE
+
+    nodes = [  # id, left, right, feature, threshold, value, weight
+        (0, 1, 2, 0, 5.0, 0.0, 10.0), (1, 3, 4, 1, 2.0, 0.0, 6.0), (2, -1, -1, -1, 0.0, 3.0, 4.0),
+        (3, 5, 6, 0, 1.0, 0.0, 6.0), (4, 7, 8, 0, 3.0, 0.0, 0.0), (5, -1, -1, -1, 0.0, -2.0, 2.0),
+        (6, -1, -1, -1, 0.0, 7.0, 4.0), (7, -1, -1, -1, 0.0, 11.0, 0.0), (8, -1, -1, -1, 0.0, 13.0, 0.0),
+    ]
+    names = ["id", "left", "right", "feature", "threshold", "value", "weight"]
+    table = pa.table({n: list(c) for n, c in zip(names, zip(*nodes))})
+    base, levels = tree_levels(table, 0.5)
+    plain = {n[0]: type("Node", (), dict(zip(names, n))) for n in nodes}
+
+    def mean(at, x, known):
+        node = plain[at]
+        if node.left < 0:
+            return node.value / 2
+        if node.feature in known:
+            return mean(node.left if x[node.feature] <= node.threshold else node.right, x, known)
+        weights = [plain[c].weight / node.weight if node.weight else 0.0 for c in (node.left, node.right)]
+        return sum(w * mean(c, x, known) for w, c in zip(weights, (node.left, node.right)))
+
+    assert base == pytest.approx(mean(0, None, ()))
+    packed = [np.rec.fromarrays(level, dtype=_EDGE).tobytes() for level in levels]
+    x = np.array([[a, b] for a in (0.0, 1.0, 2.0, 4.0, 5.0, 9.0) for b in (1.0, 2.0, 3.0)])
+    for row, got in zip(x, shapley([packed, [], packed], x)):
+        both, first, second, none = (mean(0, row, k) for k in ((0, 1), (0,), (1,), ()))
+        assert got == pytest.approx([both - second + first - none, both - first + second - none], abs=1e-12)
+    leaf = table.slice(2, 1).set_column(0, "id", pa.array([0]))
+    assert tree_levels(leaf, 2.0) == (6.0, [])
+
+
 def test_large_ensembles_take_several_passes(rows, monkeypatch):
     df, features, _ = rows
     model = fit_candidate(df, features, "boosted_a", CFG)
