@@ -18,6 +18,7 @@ from loanlens.functions.naming import normalise_loan_id
 from loanlens.functions.values import col, half_even, parse_date
 from loanlens.operators import curves
 from loanlens.operators.attribution import (
+    ATTRIBUTIONS,
     add_reason_codes,
     fallback_reasons,
     global_importance,
@@ -43,6 +44,7 @@ from loanlens.operators.evaluation import (
 from loanlens.operators.first_last import first_known_per_loan, first_per_loan
 from loanlens.operators.impute import exact_medians
 from loanlens.operators.importance import compute_shap
+from loanlens.operators.model import TrainedModel
 from loanlens.operators.scorecard import Scorecard
 from loanlens.operators.scoring import (
     band_summary,
@@ -63,6 +65,7 @@ from loanlens.operators.snapshots import (
 )
 from loanlens.operators.split import assign_folds, class_weights, mark_test
 from loanlens.operators.target import define_target, label_summary
+from loanlens.operators.trees import base_value, packed_trees
 from loanlens.plans.features import (
     build_feature_matrix,
     build_labelled_matrix,
@@ -568,22 +571,42 @@ def q_fallback_reasons(spark: SparkSession, sf: str) -> DataFrame:
 # --- Models and streams ------------------------------------------------------
 
 
-@_query
-def ml_train_score(spark: SparkSession, sf: str, cfg: Config = VIEW_CONFIG) -> DataFrame:
-    """The whole training: split, folds of every candidate, refit of the best; all loans scored."""
+def train_score(spark: SparkSession, sf: str, cfg: Config = VIEW_CONFIG) -> DataFrame:
+    """The whole training: split, folds of every candidate, refit of the best; all loans scored.
+
+    Not registered: at production sizes it is 10,000 rounds of boosting (see the README).
+    """
     result = train(_labelled(spark, sf), cfg)
     return score_portfolio(result.model, result.labelled, cfg)
 
 
+def _forest(spark: SparkSession, sf: str, cfg: Config) -> tuple[TrainedModel, DataFrame]:
+    """A forest fitted on all labelled loans, and their complete features."""
+    rows, features, medians = prepare_xy(cut_lineage(_labelled(spark, sf)))
+    rows = cut_lineage(rows)
+    return fit_candidate(rows, features, "forest", cfg, medians), rows
+
+
 @_query
 def ml_tree_attrib(spark: SparkSession, sf: str, cfg: Config = VIEW_CONFIG) -> DataFrame:
     """Global attribution of a forest over all labelled loans."""
-    labelled = cut_lineage(_labelled(spark, sf))
-    rows, features, medians = prepare_xy(labelled)
-    model = fit_candidate(cut_lineage(rows), features, "forest", cfg, medians)
+    model, rows = _forest(spark, sf, cfg)
     return compute_shap(model, rows)
 
 
+@_query
+def ml_tree_additive(spark: SparkSession, sf: str, cfg: Config = VIEW_CONFIG) -> DataFrame:
+    """Per loan, whether base value and attributions of a forest add up to its probability."""
+    model, rows = _forest(spark, sf, cfg)
+    found = model.add_attributions(model.add_probability(rows))
+    total = F.aggregate(ATTRIBUTIONS, F.lit(base_value(packed_trees(model.classifier))), lambda a, v: a + v)
+    return found.select(
+        LOAN_ID,
+        F.size(ATTRIBUTIONS).alias("n_features"),
+        (F.abs(total - F.col("p")) < 1e-6).alias("additive"),
+    )
+
+
 @_query
 def stream_score(spark: SparkSession, sf: str) -> DataFrame:
     """All requests as JSON files, scored by the streaming job."""

@@ -6,7 +6,7 @@ Spark plans: windows where Spark uses sums, self-contained views, no shared code
 
 from __future__ import annotations
 
-from loanlens.config import AGE_BANDS, INCOME_BANDS, NUMERIC_FEATURES, REASON_CODES, RISK_BANDS
+from loanlens.config import AGE_BANDS, INCOME_BANDS, MODEL_FEATURES, NUMERIC_FEATURES, REASON_CODES, RISK_BANDS
 from loanlens.plans.catalog import SCORECARD
 
 _WEIGHTS = dict(SCORECARD.weights)
@@ -628,4 +628,9 @@ def oracle_sql() -> dict[str, str]:
     for definition in ("fpd_fmd", "par30", "par60", "par90", "combined"):
         sql[f"q_target_{definition}"] = _with("credit", _target(definition))
     sql["stream_score"] = sql["q_score_requests"]
+    sql["ml_tree_additive"] = _with(
+        "target",
+        f"""SELECT LOAN_ID, CAST({len(MODEL_FEATURES)} AS INTEGER) AS n_features, true AS additive
+        FROM features JOIN target USING (LOAN_ID)""",
+    )
     return sql

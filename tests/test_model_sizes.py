@@ -16,7 +16,7 @@ class Stop(Exception):
     pass
 
 
-@pytest.mark.parametrize("name, step", [("ml_train_score", "train"), ("ml_tree_attrib", "fit_candidate")])
+@pytest.mark.parametrize("name, step", [("train_score", "train"), ("ml_tree_attrib", "fit_candidate")])
 def test_queries_fit_the_default_profile(spark, sf, monkeypatch, name, step):
     """Stops before the fit: whole models take too long for a test."""
     used = []
@@ -27,7 +27,7 @@ def test_queries_fit_the_default_profile(spark, sf, monkeypatch, name, step):
 
     monkeypatch.setattr(catalog, step, stop)
     with pytest.raises(Stop):
-        catalog.QUERIES[name](spark, sf)
+        getattr(catalog, name)(spark, sf)
     (cfg,) = used
     assert cfg.profile == TrainingProfile()
     assert cfg.candidates == ("logistic", "forest", "boosted_a", "boosted_b") and cfg.cv_folds == 5
@@ -37,6 +37,6 @@ def test_queries_fit_the_default_profile(spark, sf, monkeypatch, name, step):
 
 
 def test_queries_take_a_small_profile(spark, sf):
-    scored = catalog.QUERIES["ml_train_score"](spark, sf, TINY)
+    scored = catalog.train_score(spark, sf, TINY)
     assert scored.filter("pd BETWEEN 0 AND 1 AND score BETWEEN 300 AND 850").count() == scored.count() > 0
     assert catalog.QUERIES["ml_tree_attrib"](spark, sf, TINY).count() == len(MODEL_FEATURES)
