@@ -4,8 +4,10 @@ Unit vectors with a cosine of c or more lie within epsilon = sqrt(2 - 2 c) of ea
 After a rotation onto principal axes, vectors are sorted by their grid cells (of side
 epsilon) along the leading axes and cut into blocks, none of which crosses a cell of the
 first axes. Blocks of neighbouring cells meet if the boxes around their vectors are not
-further apart than epsilon. A pair of blocks is joined recursively: intervals of the two
-sequences whose boxes are too far apart are skipped, small ones are multiplied.
+further apart than epsilon; a vector goes along only if it is that near to the other box.
+A pair of blocks is joined recursively: intervals of the two sequences whose boxes are too
+far apart are skipped, small ones are multiplied. The rotation moves the last bits, so
+pairs next to the threshold are decided by the vectors as they were.
 
 Equal vectors are one vector with a weight before all this, so copies cost nothing.
 """
@@ -21,6 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
 from loanlens.llm.common import cut_lineage
 from loanlens.llm.graph import components
@@ -29,9 +32,11 @@ from loanlens.llm.graph import components
 ORDER_AXES = 8
 KEY_AXES = 2
 # Vectors of a block, and of an interval that is multiplied without further cuts.
-BLOCK = 1024
+BLOCK = 4096
 LEAF = 256
-SLACK = 1e-9  # of distances, far above rounding
+SLACK = 1e-9  # of distances and cosines, far above rounding
+# Pairs next to the threshold that are decided at once.
+CLOSE_PAIRS = 1 << 16
 
 
 def _valid(vector: Column) -> Column:
@@ -40,14 +45,18 @@ def _valid(vector: Column) -> Column:
     return vector.isNotNull() & finite & F.exists(vector, lambda x: x != 0)
 
 
-def unit_rows(column: pa.Array, width: int) -> np.ndarray:
-    """Unit vectors in double precision; shorter ones end in zeros."""
+def scaled_rows(column: pa.Array, width: int) -> np.ndarray:
+    """Vectors in double precision; shorter ones end in zeros. Each is divided by a power of
+    two, which is exact and keeps squares from overflowing."""
     lengths = column.value_lengths().to_numpy(zero_copy_only=False)
     values = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     out = np.zeros((len(lengths), width))
     out[np.arange(width) < lengths[:, None]] = values
-    out /= np.abs(out).max(1, initial=0.0)[:, None]  # against overflow of squares
-    return out / np.sqrt((out * out).sum(1))[:, None]
+    return np.ldexp(out, -np.frexp(np.abs(out).max(1, initial=0.0))[1][:, None])
+
+
+def unit(x: np.ndarray) -> np.ndarray:
+    return x / np.sqrt((x * x).sum(1))[:, None]
 
 
 def principal_axes(classes: DataFrame, width: int) -> np.ndarray:
@@ -56,7 +65,7 @@ def principal_axes(classes: DataFrame, width: int) -> np.ndarray:
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((width, width))
         for batch in batches:
-            x = unit_rows(batch.column(0), width)
+            x = unit(scaled_rows(batch.column(0), width))
             total += x.T @ x
         i, j = np.indices(total.shape)
         yield pa.RecordBatch.from_arrays(
@@ -70,14 +79,19 @@ def principal_axes(classes: DataFrame, width: int) -> np.ndarray:
     return np.ascontiguousarray(np.linalg.eigh((matrix + matrix.T) / 2)[1][:, ::-1])
 
 
-def grid_blocks(classes: DataFrame, axes: np.ndarray, epsilon: float) -> DataFrame:
-    """Blocks in epsilon grid order: number, cells of the key axes, box, and the vectors."""
+def grid_blocks(classes: DataFrame, axes: np.ndarray, epsilon: float, kind: str = "<f8") -> DataFrame:
+    """Blocks in epsilon grid order: number, cells of the key axes, box, and the vectors.
+
+    Boxes are of rotated unit vectors; the vectors themselves stay as they were but for a
+    power of two, in numbers of ``kind``, which has to hold them exactly.
+    """
     width = len(axes)
     n_order, n_key = min(ORDER_AXES, width), min(KEY_AXES, width)
 
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x = unit_rows(batch.column(2), width) @ axes
+            raw = scaled_rows(batch.column(2), width)
+            x = unit(raw) @ axes
             cells = np.floor(x[:, :n_order] / epsilon).astype(np.int64)
             # Big-endian and without a sign, bytes sort as the cells do.
             keys = (cells + (1 << 31)).astype(">u4")
@@ -86,7 +100,7 @@ def grid_blocks(classes: DataFrame, axes: np.ndarray, epsilon: float) -> DataFra
                     batch.column(0),
                     batch.column(1),
                     pa.array([k.tobytes() for k in keys], pa.binary()),
-                    pa.array([v.tobytes() for v in x], pa.binary()),
+                    pa.array([v.tobytes() for v in raw.astype(kind)], pa.binary()),
                 ],
                 ["id", "weight", "grid", "coordinates"],
             )
@@ -95,7 +109,8 @@ def grid_blocks(classes: DataFrame, axes: np.ndarray, epsilon: float) -> DataFra
         part, number, key, rows = TaskContext.get().partitionId(), 0, None, []
 
         def block() -> pa.RecordBatch:
-            x = np.frombuffer(b"".join(r[3] for r in rows)).reshape(-1, width)
+            packed = b"".join(r[3] for r in rows)
+            x = unpacked(packed, kind, axes)[1]
             cells = (np.frombuffer(key, ">u4").astype(np.int64) - (1 << 31)).tolist()
             return pa.RecordBatch.from_pylist(
                 [
@@ -106,7 +121,7 @@ def grid_blocks(classes: DataFrame, axes: np.ndarray, epsilon: float) -> DataFra
                         "high": x.max(0).tolist(),
                         "ids": [r[0] for r in rows],
                         "weights": [r[1] for r in rows],
-                        "vectors": x.tobytes(),
+                        "vectors": packed,
                     }
                 ],
                 schema,
@@ -143,8 +158,15 @@ def grid_blocks(classes: DataFrame, axes: np.ndarray, epsilon: float) -> DataFra
     )
 
 
+def unpacked(packed: bytes, kind: str, axes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Vectors of a block, and the same rotated at length one."""
+    raw = np.frombuffer(packed, kind).reshape(-1, len(axes)).astype(np.float64)
+    return raw, unit(raw) @ axes
+
+
 def near_blocks(blocks: DataFrame, epsilon: float, n_key: int) -> DataFrame:
-    """``owner, other``: pairs of blocks (a block with itself too) whose boxes are near.
+    """``owner, other, low, high``: pairs of blocks (a block with itself too) whose boxes are
+    near, and the owner's box.
 
     Found through the cells of the key axes: a block looks up its 3 ** n_key neighbours.
     """
@@ -166,9 +188,38 @@ def near_blocks(blocks: DataFrame, epsilon: float, n_key: int) -> DataFrame:
     return pairs.select(
         F.when(first, F.col("a")).otherwise(F.col("b")).alias("owner"),
         F.when(first, F.col("b")).otherwise(F.col("a")).alias("other"),
+        F.when(first, F.col("low_a")).otherwise(F.col("low_b")).alias("low"),
+        F.when(first, F.col("high_a")).otherwise(F.col("high_b")).alias("high"),
     )
 
 
+MET = "owner long, other long, ids array<long>, weights array<long>, vectors binary"
+
+
+def _within_reach(epsilon: float, kind: str, axes: np.ndarray):
+    """Rows (owner, other, low, high, ids, weights, vectors): the part of the vectors that is
+    within epsilon of the owner's box."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept: list[list] = [[], [], [], [], []]
+            for i in range(batch.num_rows):
+                owner, other, low, high, ids, weights, packed = (batch.column(k)[i] for k in range(7))
+                raw, x = unpacked(packed.as_buffer(), kind, axes)
+                gap = np.maximum(np.maximum(low.values.to_numpy() - x, x - high.values.to_numpy()), 0.0)
+                near = (gap * gap).sum(1) <= (epsilon + SLACK) ** 2
+                if near.any():
+                    row = (owner.as_py(), other.as_py(), ids.values.to_numpy()[near], weights.values.to_numpy()[near])
+                    for column, value in zip(kept, (*row, raw[near].astype(kind).tobytes())):
+                        column.append(value)
+            if kept[0]:
+                types = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary())
+                arrays = [pa.array(c, t) for c, t in zip(kept, types)]
+                yield pa.RecordBatch.from_arrays(arrays, ["owner", "other", "ids", "weights", "vectors"])
+
+    return run
+
+
 def _mover(axis: int, steps: Column):
     def moved(cells: Column) -> Column:
         def by(step: Column) -> Column:
@@ -183,6 +234,20 @@ class Side(NamedTuple):
     ids: np.ndarray
     weights: np.ndarray
     x: np.ndarray
+    raw: np.ndarray
+
+
+def linked_pairs(a: np.ndarray, b: np.ndarray, raw_a: np.ndarray, raw_b: np.ndarray, cosine: float) -> np.ndarray:
+    """Which pairs of rows have a cosine of at least ``cosine``."""
+    found = a @ b.T
+    linked = found >= cosine
+    close_a, close_b = np.nonzero(np.abs(found - cosine) <= SLACK)
+    for at in range(0, len(close_a), CLOSE_PAIRS):
+        i, j = close_a[at : at + CLOSE_PAIRS], close_b[at : at + CLOSE_PAIRS]
+        u, v = raw_a[i], raw_b[j]
+        norms = np.sqrt((u * u).sum(1)) * np.sqrt((v * v).sum(1))
+        linked[i, j] = (u * v).sum(1) / norms >= cosine
+    return linked
 
 
 def _apart(a: np.ndarray, b: np.ndarray) -> float:
@@ -209,7 +274,7 @@ def linked_intervals(a: Side, b: Side, same: bool, cosine: float) -> Iterator[tu
                 cut = (b0 + b1) // 2
                 todo += [(a0, a1, b0, cut), (a0, a1, cut, b1)]
             continue
-        linked = a.x[a0:a1] @ b.x[b0:b1].T >= cosine
+        linked = linked_pairs(a.x[a0:a1], b.x[b0:b1], a.raw[a0:a1], b.raw[b0:b1], cosine)
         if same:
             # Each pair once: the row after the column.
             linked &= np.arange(a0, a1)[:, None] > np.arange(b0, b1)
@@ -229,7 +294,7 @@ def local_roots(linked: np.ndarray, a_ids: np.ndarray, b_ids: np.ndarray) -> tup
         rows, columns = new_rows, new_columns
 
 
-def _joined(cosine: float, width: int):
+def _joined(cosine: float, kind: str, axes: np.ndarray):
     """Rows (owner, other, ids, weights, vectors), the owner's own first: links per vector."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,11 +302,9 @@ def _joined(cosine: float, width: int):
         for batch in batches:
             for i in range(batch.num_rows):
                 owner, other = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                side = Side(
-                    batch.column(2)[i].values.to_numpy(),
-                    batch.column(3)[i].values.to_numpy(),
-                    np.frombuffer(batch.column(4)[i].as_buffer(), np.float64).reshape(-1, width),
-                )
+                raw, x = unpacked(batch.column(4)[i].as_buffer(), kind, axes)
+                ids, weights = (batch.column(k)[i].values.to_numpy() for k in (2, 3))
+                side = Side(ids, weights, x, raw)
                 if owner != at:
                     own, at = side, owner
                 found = []
@@ -289,14 +352,18 @@ def near_vectors(
             F.col("id").isNotNull().alias("kept"),
         )
     epsilon = math.sqrt(2 - 2 * cosine)
-    blocks = grid_blocks(classes, principal_axes(classes, width), epsilon)
+    axes = principal_axes(classes, width)
+    # Single precision holds what came in it, in half the bytes.
+    kind = "<f4" if isinstance(df.schema[vector_col].dataType.elementType, FloatType) else "<f8"
+    blocks = grid_blocks(classes, axes, epsilon, kind)
     pairs = near_blocks(blocks, epsilon, min(KEY_AXES, width))
     sides = blocks.select(F.col("block").alias("other"), "ids", "weights", "vectors")
-    work = pairs.join(sides, "other").withColumn("later", F.col("owner") != F.col("other"))
+    work = pairs.join(sides, "other").select("owner", "other", "low", "high", "ids", "weights", "vectors")
+    work = work.mapInArrow(_within_reach(epsilon, kind, axes), MET).withColumn("later", F.col("owner") != F.col("other"))
     work = work.repartition("owner").sortWithinPartitions("owner", "later", "other")
     links = cut_lineage(
         work.select("owner", "other", "ids", "weights", "vectors").mapInArrow(
-            _joined(cosine, width), "id long, links long, root long"
+            _joined(cosine, kind, axes), "id long, links long, root long"
         )
     )
     between = components(links.select(F.col("id").alias("u"), F.col("root").alias("v")))

@@ -78,10 +78,17 @@ class Known(dict):
 
 
 class Encoder:
-    """Ids as little-endian unsigned 32-bit numbers; special tokens in a text are plain text."""
+    """Ids as little-endian unsigned 32-bit numbers, as the library gives them for whole texts.
+
+    Names of special tokens in a text become their ids, which is the library's default; such
+    texts are left to it.
+    """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = "|".join(map(re.escape, names))
+        # Pieces are always encoded as plain text.
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.tails: dict[str, bytes] = {"": b""}
@@ -140,6 +147,22 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (not null) one after another, and where each text ends."""
+        if not self.special:
+            return self._plain(texts)
+        named = pc.match_substring_regex(texts, self.special, ignore_case=True)
+        rows = np.flatnonzero(named.to_numpy(zero_copy_only=False))
+        if not len(rows):
+            return self._plain(texts)
+        ids, ends = self._plain(pc.if_else(named, "", texts))
+        self.tokenizer.encode_special_tokens = False
+        whole = [np.frombuffer(self._ids([texts[r].as_py()])[0], "<u4") for r in rows.tolist()]
+        self.tokenizer.encode_special_tokens = True
+        more = np.zeros(len(ends), np.int64)
+        more[rows] = list(map(len, whole))
+        # An empty text has no ids, so its end is where its own go.
+        return np.insert(ids, np.repeat(ends[rows], more[rows]), np.concatenate(whole)), ends + np.cumsum(more)
+
+    def _plain(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         if self.lower:
             texts = pc.ascii_lower(texts)
         pieces = pc.split_pattern(texts, " ")

@@ -56,3 +56,24 @@ def test_empty_tables(spark):
     assert op.near_vectors(vectors(spark, [])).count() == 0
     rows = op.near_vectors(vectors(spark, [(1, None), (2, [0.0])])).collect()
     assert sorted(map(tuple, rows)) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_ties_at_the_threshold(spark, kind):
+    """Pairs such as (1, 0, ...) and (19, 6, 1, 1, 1) / 20 have a cosine of exactly 0.95."""
+    rows, width = [], 64
+    for k in range(60):
+        a, b = np.zeros(width), np.zeros(width)
+        a[k] = 1.0
+        b[[(k + i) % width for i in range(5)]] = [19, 6, 1, 1, 1]
+        rows += [a, b]
+    x = np.array(rows) * np.array([1.0, 3.0, 0.5])[np.arange(120) % 3][:, None]
+    dot = x @ x.T  # whole and half numbers: exact
+    norms = np.sqrt((x * x).sum(1))
+    linked = dot / (norms[:, None] * norms) >= 0.95
+    np.fill_diagonal(linked, False)
+    assert linked.sum() >= 120
+    found = by_id(op.near_vectors(vectors(spark, enumerate(x), kind)), "vec_id")
+    assert [found[i]["n_links"] for i in range(120)] == linked.sum(1).tolist()
+    big = by_id(op.near_vectors(vectors(spark, enumerate(x * 1e200), "double")), "vec_id")
+    assert sum(r["n_links"] for r in big.values()) >= 120

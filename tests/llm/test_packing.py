@@ -13,14 +13,13 @@ from loanlens.llm.tokens import Encoder
 from tests.llm.helpers import documents, edge_texts, sentence
 
 PATHS = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json")]
-ODD_TEXTS = ["a  b   c \n d\n\n e's  ", " ", "  x", "<|endoftext|> a", "x\x1c \x85 q", "é \u0301a", "\t\t a", "12 ½ ² don't",
+ODD_TEXTS = ["a  b   c \n d\n\n e's  ", " ", "  x", "<|endoftext|> a", "a <|endoftext|> b", "x<|startoftext|>  <|endoftext|><|ENDOFTEXT|>.\n", "x\x1c \x85 q", "é \u0301a", "\t\t a", "12 ½ ² don't",
              "Line.\nNext, Line\n\nLast word.", "ÀÖØöø ß.\nÄ", "x" * 300 + " y"]
 
 
 @pytest.mark.parametrize("path", PATHS)
 def test_ids_are_those_of_the_library(path):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     texts = ODD_TEXTS + [t or "" for t in edge_texts()] + [" ".join(sentence(3, 500))]
     encoder = Encoder(path)
     assert encoder.direct
@@ -36,7 +35,6 @@ def test_pieces_and_sequences(spark):
     pieces = op.token_pieces(df, PATHS[0], 2, size=128)
     placed = op.pack(pieces, op.Capacity(tokens=128), group=100).collect()
     tokenizer = Tokenizer.from_file(PATHS[0])
-    tokenizer.encode_special_tokens = True
     by_doc = {}
     for r in placed:
         by_doc.setdefault(r["id"], []).append(r)

@@ -44,7 +44,7 @@ def test_file_round_trip(monkeypatch):
 
 
 def test_documents_round_trip(spark):
-    texts = [" ".join(sentence(i, 3 + i * 5)) for i in range(60)] + edge_texts()
+    texts = [" ".join(sentence(i, 3 + i * 5)) for i in range(60)] + edge_texts() + ["a <|endoftext|> b"]
     ids = list(range(len(texts)))[::-1]
     ids[3] = None
     df = documents(spark, texts, ids).repartition(5)
@@ -52,7 +52,6 @@ def test_documents_round_trip(spark):
     files, ranks = op.write_token_files(df, PATH, folder, file_tokens=500)
     assert files.count() > 5
     tokenizer = Tokenizer.from_file(PATH)
-    tokenizer.encode_special_tokens = True
     start = 0
     found = {r["id"]: r for r in op.read_token_files(files, ranks).collect()}
     counts = np.zeros(60_000, int)
