@@ -15,7 +15,9 @@ from loanlens.session import checkpoint_folder, cut_lineage
 __all__ = [
     "checkpoint_folder",
     "cut_lineage",
+    "free_name",
     "mix",
+    "named",
     "read_table",
     "row_ranges",
     "sha256_hex",
@@ -24,13 +26,29 @@ __all__ = [
 ]
 
 # Bytes of text that are worked on at once in a task; one longer text is a piece of its own.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 256 << 10
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores in front as it takes to be no column of ``df``.
+
+    Spark compares names without regard to case.
+    """
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def named(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, also those whose names hold dots."""
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import cut_lineage, sha256_hex, text_or_empty
+from loanlens.llm.common import cut_lineage, free_name, named, sha256_hex, text_or_empty
 
 # Upper and lower case letters, and the runs of characters that are words.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -228,22 +228,25 @@ def decontaminate(
     """``docs`` without contaminated documents, or without hit words (``remove="spans"``).
 
     Rows meet their verdict by id (null is an id too) and text. With ``spans`` hit words
-    go together with the separators before them, in every document; other columns stay.
+    go together with the separators before them, in every document; other columns stay and
+    may have any names. Null and wordless texts have no hits and stay; repeated rows share
+    a verdict; an empty table on either side changes nothing.
     """
     judged = contamination(docs, items, id_col=id_col, text_col=text_col, **options)
     judged = judged.where(is_contaminated(share) if remove == "documents" else F.col("n_hit") > 0)
     judged = judged.select("id", "text_hash", "hits").dropDuplicates(["id", "text_hash"])
     # Written, so that the planner knows their size and broadcasts them only if small.
-    marks = cut_lineage(judged.toDF("_id", "_hash", "_hits"))
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_or_empty(text_col)) == F.col("_hash"))
+    own_id, own_hash, hits = (free_name(docs, name) for name in ("_id", "_hash", "_hits"))
+    marks = cut_lineage(judged.toDF(own_id, own_hash, hits))
+    same = F.col(id_col).eqNullSafe(F.col(own_id)) & (F.xxhash64(text_or_empty(text_col)) == F.col(own_hash))
     if remove == "documents":
         return docs.join(marks, same, "left_anti")
     separator = WORD.replace("[^", "[")
     pieces = F.regexp_extract_all(F.col(text_col), F.lit(rf"(?:{separator[:-1]}*){WORD}"), F.lit(0))
     tail = F.regexp_extract(F.col(text_col), rf"{separator[:-1]}*$", 0)
-    left = F.filter(pieces, lambda p, i: ~F.exists("_hits", lambda h: (h["start"] <= i) & (i < h["end"])))
+    left = F.filter(pieces, lambda p, i: ~F.exists(hits, lambda h: (h["start"] <= i) & (i < h["end"])))
     cut = F.concat(F.array_join(left, ""), tail)
     joined = docs.join(marks, same, "left")
-    return joined.withColumn(text_col, F.when(F.col("_hits").isNull(), F.col(text_col)).otherwise(cut)).select(
-        *docs.columns
+    return joined.withColumn(text_col, F.when(F.col(hits).isNull(), F.col(text_col)).otherwise(cut)).select(
+        *named(docs)
     )

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import cut_lineage, mix, row_ranges, text_buffer
+from loanlens.llm.common import cut_lineage, free_name, mix, row_ranges, text_buffer
 from loanlens.llm.graph import components
 
 # Bits of the filter of ids whose texts are read again: 2 MB, sent to every task.
@@ -724,10 +724,13 @@ def ngram_join(
 def keep_first(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", measure: Measure = Measure()) -> DataFrame:
     """``df`` with one document of each component: the one with the smallest id.
 
-    Rows without an id, which no component can name, stay.
+    Rows without an id, which no component can name, stay, as do repeated rows of an id that
+    is kept. Null and empty texts link with nothing and stay. Columns may have any names; an
+    empty table gives no rows.
     """
     joined = ngram_join(df, id_col, text_col, measure)
-    others = joined.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_id")).distinct()
+    name = free_name(df, "_id")
+    others = joined.where(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias(name)).distinct()
     # Written, so that the planner knows their size and broadcasts them only if small.
     others = cut_lineage(others)
-    return df.join(others, F.col(id_col) == F.col("_id"), "left_anti")
+    return df.join(others, F.col(id_col) == F.col(name), "left_anti")

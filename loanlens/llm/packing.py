@@ -152,9 +152,14 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity(), group: int = GROUP)
     """``pieces`` (with a column ``length``) and their ``sequence_id`` and ``offset``.
 
     A sequence's pieces lie gapless from offset 0. Carry no payload through this: its rows
-    are written once and shuffled once. An empty table gives no rows.
+    are written once and shuffled once. An empty table gives no rows. Columns of the two
+    names are replaced; others may have any names.
     """
-    rows = cut_lineage(pieces.withColumn("_row", F.monotonically_increasing_id()))
+    pieces = pieces.drop("sequence_id", "offset")
+    # Plain names meanwhile: those of the table may be any.
+    names, pieces = pieces.columns, pieces.toDF(*[f"c{i}" for i in range(len(pieces.columns))])
+    length = f"c{names.index('length')}"
+    rows = cut_lineage(pieces.withColumn("row", F.monotonically_increasing_id()))
     n_groups = max(1, -(-rows.count() // group))
     columns = pieces.columns
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
@@ -162,10 +167,10 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity(), group: int = GROUP)
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
         for frame in frames:
-            changes = np.flatnonzero(np.diff(frame["_group"].to_numpy())) + 1
+            changes = np.flatnonzero(np.diff(frame["group"].to_numpy())) + 1
             for part in np.split(np.arange(len(frame)), changes):
                 part = frame.iloc[part]
-                if held and len(part) and held[0]["_group"].iloc[0] != part["_group"].iloc[0]:
+                if held and len(part) and held[0]["group"].iloc[0] != part["group"].iloc[0]:
                     yield place(held)
                     held = []
                 if len(part):
@@ -175,16 +180,18 @@ def pack(pieces: DataFrame, capacity: Capacity = Capacity(), group: int = GROUP)
 
     def place(parts: list[pd.DataFrame]) -> pd.DataFrame:
         rows = pd.concat(parts, ignore_index=True)
-        sequence, offset = best_fit(rows["length"].to_numpy(), capacity)
-        first = int(rows["_group"].iloc[0]) << 40
+        sequence, offset = best_fit(rows[length].to_numpy(), capacity)
+        first = int(rows["group"].iloc[0]) << 40
         return rows[columns].assign(sequence_id=sequence + first, offset=offset)
 
-    grouped = rows.withColumn("_group", F.pmod(F.xxhash64("_row"), F.lit(n_groups)))
+    grouped = rows.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(n_groups)))
+    # A task takes any number of groups, one after the other.
     return (
-        grouped.repartition(n_groups, "_group")
-        .sortWithinPartitions("_group", "_row")
-        .drop("_row")
+        grouped.repartition("group")
+        .sortWithinPartitions("group", "row")
+        .drop("row")
         .mapInPandas(run, f"{ddl}, sequence_id long, offset long")
+        .toDF(*names, "sequence_id", "offset")
     )
 
 

@@ -20,7 +20,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import cut_lineage, row_ranges, text_buffer
+from loanlens.llm.common import cut_lineage, free_name, named, row_ranges, text_buffer
 from loanlens.llm.ngram_join import word_hashes
 from loanlens.operators.trees import node_table
 
@@ -117,23 +117,15 @@ def _longest_words(data: np.ndarray, offsets: np.ndarray, rows: np.ndarray, n: i
     return out
 
 
-def with_statistics(df: DataFrame, keep: list[str], text_col: str = "text") -> DataFrame:
-    """The columns ``keep`` of ``df`` and a struct ``_statistics`` of doubles."""
-    read = list(dict.fromkeys([*keep, text_col]))
-    place = read.index(text_col)
-    ddl = ", ".join(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in keep)
+def statistics_of(text_col: str) -> Column:
+    """A struct of the statistics of a text. Only texts go to Python, only numbers come back."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = np.array(list(text_statistics(batch.column(place)))).reshape(-1, len(STATISTICS))
-            columns = [pa.array(c) for c in np.ascontiguousarray(rows.T)]
-            found = pa.StructArray.from_arrays(columns, STATISTICS)
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(read.index(n)) for n in keep], found], [*keep, "_statistics"]
-            )
+    @F.arrow_udf("struct<" + ", ".join(f"{s}: double" for s in STATISTICS) + ">")
+    def found(text: pa.Array) -> pa.Array:
+        rows = np.array(list(text_statistics(text))).reshape(-1, len(STATISTICS))
+        return pa.StructArray.from_arrays([pa.array(c) for c in np.ascontiguousarray(rows.T)], STATISTICS)
 
-    fields = ", ".join(f"{s}: double" for s in STATISTICS)
-    return df.select(*read).mapInArrow(run, f"{ddl}, _statistics struct<{fields}>")
+    return found(F.col(text_col).cast("string"))
 
 
 # -- rules --------------------------------------------------------------------------------
@@ -250,6 +242,12 @@ def _fit(
     return fit_rules(examples, training)
 
 
+def _statistics(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``id`` and the statistics of every row, written."""
+    rows = docs.select(F.col(id_col).alias("id"), statistics_of(text_col).alias("s"))
+    return cut_lineage(rows.select("id", "s.*"))
+
+
 def quality_scores(
     docs: DataFrame,
     labels: DataFrame,
@@ -269,8 +267,7 @@ def quality_scores(
     and learnt from once per id. Without labels of both classes all scores are equal. An
     empty table gives no rows; no other columns are read.
     """
-    rows = with_statistics(docs, [id_col], text_col)
-    rows = cut_lineage(rows.select(F.col(id_col).alias("id"), "_statistics.*"))
+    rows = _statistics(docs, id_col, text_col)
     score = _fit(rows, labels, label_id, label_col, training).score()
     return rows.select(
         F.col("id").alias(id_col),
@@ -292,10 +289,12 @@ def keep_good(
 ) -> DataFrame:
     """The rows of ``docs`` that are scored ``threshold`` or better, unchanged.
 
-    Texts are read twice, for the fit and to score every row where it is, and never
-    shuffled.
+    Rows are scored as by ``quality_scores``: null and empty texts, null ids and repeated
+    rows too. Columns may have any names; an empty table gives no rows. Texts are read twice,
+    for the fit and to score every row where it is, and never shuffled: meeting their scores
+    by id would send them all over the network.
     """
-    rows = with_statistics(docs, [id_col], text_col).select(F.col(id_col).alias("id"), "_statistics.*")
-    ensemble = _fit(cut_lineage(rows), labels, label_id, label_col, training)
-    scored = with_statistics(docs, docs.columns, text_col)
-    return scored.where(ensemble.score("_statistics.") >= threshold).select(*docs.columns)
+    ensemble = _fit(_statistics(docs, id_col, text_col), labels, label_id, label_col, training)
+    name = free_name(docs, "_statistics")
+    scored = docs.withColumn(name, statistics_of(text_col))
+    return scored.where(ensemble.score(f"{name}.") >= threshold).select(*named(docs))

@@ -234,22 +234,28 @@ def redact(
 ) -> DataFrame:
     """``df`` with every secret of its text replaced by ``mark``; other columns stay.
 
-    Spans that overlap are replaced together. Null texts stay null.
+    Spans that overlap are replaced together. Null texts stay null, empty ones empty;
+    repeated rows and rows of a null id are redacted each; columns may have any names; an
+    empty table gives no rows.
     """
-    found = find_secrets(df, id_col, text_col, keep=tuple(df.columns))
-    state = F.aggregate(
+    # Plain names meanwhile: those of the table may be any.
+    names, plain = df.columns, df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    own_id, text = (f"c{names.index(name)}" for name in (id_col, text_col))
+    found = find_secrets(plain, own_id, text, keep=tuple(plain.columns))
+    replaced = F.aggregate(
         "secrets",
         F.struct(F.lit("").alias("out"), F.lit(0).alias("at")),
         lambda s, x: F.struct(
             F.when(x["start"] < s["at"], s["out"])
-            .otherwise(F.concat(s["out"], F.col(text_col).substr(s["at"] + 1, x["start"] - s["at"]), F.lit(mark)))
+            .otherwise(F.concat(s["out"], F.col(text).substr(s["at"] + 1, x["start"] - s["at"]), F.lit(mark)))
             .alias("out"),
             F.greatest(s["at"], x["end"]).alias("at"),
         ),
     )
-    rest = F.col(text_col).substr(F.col("_cut.at") + 1, F.length(text_col))
-    cut = F.when(F.size("secrets") == 0, F.col(text_col)).otherwise(F.concat(F.col("_cut.out"), rest))
-    return found.withColumn("_cut", state).withColumn(text_col, cut).select(*df.columns)
+    rest = F.col(text).substr(F.col("cut.at") + 1, F.length(text))
+    cut = F.when(F.size("secrets") == 0, F.col(text)).otherwise(F.concat(F.col("cut.out"), rest))
+    clean = found.withColumn("cut", replaced).withColumn(text, cut)
+    return clean.select(*plain.columns).toDF(*names)
 
 
 def digest(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
