@@ -58,10 +58,9 @@ def add_gender_features(df: DataFrame, gender: DataFrame | None) -> DataFrame:
     """``is_male``: 1, 0, or NULL for anything else."""
     if gender is None:
         return df.withColumn("is_male", _missing())
-    first = first_per_loan(gender, ["Gender"])
-    return df.join(
-        first.select(LOAN_ID, male_flag(col("Gender")).alias("is_male")), LOAN_ID, "left"
-    )
+    # The flag before the first row: a number stays on the hash path.
+    flagged = gender.withColumn("is_male", male_flag(col("Gender")))
+    return df.join(first_per_loan(flagged, ["is_male"]), LOAN_ID, "left")
 
 
 SALES_COLUMNS = ("Sale Date", "Cash Price", "Loan Price", "Loan Term")

@@ -44,7 +44,7 @@ from loanlens.functions.values import (
     time_key,
     wall_clock,
 )
-from loanlens.operators.first_last import first_known
+from loanlens.operators.first_last import first_known_per_loan
 
 log = logging.getLogger(__name__)
 
@@ -254,18 +254,14 @@ def loan_aggregate(
 
     Loans without an early row are left out; rows without a loan id are one loan. The
     trend is part of the aggregate where the dates are configured, and else comes from
-    sums per date, whose number only the data knows.
+    sums per date, whose number only the data knows. Prices at origination, if the snapshots
+    have any, come from an aggregate of their own, reduced per date first.
     """
     rows = measured(credit, early.dates)
     aggregates = early_aggregates()
     if early.dates:
         trend = trend_aggregate(F.col("early"), F.col("moment"), F.col("dpd"), early.dates)
         aggregates.append(trend.alias("early_dpd_trend"))
-    aggregates += [
-        first_known(F.col(name), F.col("moment")).alias(name)
-        for name in ORIGINATION.values()
-        if name in rows.columns
-    ]
     aggregates += [
         F.max("moment").alias("last_snapshot"),
         F.max("early").alias("seen_early"),
@@ -279,6 +275,10 @@ def loan_aggregate(
         loans = loans.join(trend, same, "left").drop("_trend_loan")
     elif not early.dates:
         loans = loans.withColumn("early_dpd_trend", F.lit(0.0))
+    prices = [name for name in ORIGINATION.values() if name in rows.columns]
+    if prices:
+        known = first_known_per_loan(rows, prices, "moment").withColumnRenamed(LOAN_ID, "_priced_loan")
+        loans = loans.join(known, col(LOAN_ID).eqNullSafe(F.col("_priced_loan")), "left").drop("_priced_loan")
     return loans
 
 

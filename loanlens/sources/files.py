@@ -40,9 +40,12 @@ def read_table(
         raise
     if not ingest_order:
         return df.select(columns)
-    position = F.struct(
-        F.col("_metadata.file_path").alias("file"),
+    place = [
         F.col("_metadata.file_block_start").alias("offset"),
         F.monotonically_increasing_id().alias("row"),
-    )
+    ]
+    # Two numbers order the rows of one file, without its name in every row.
+    if len(df.inputFiles()) > 1:
+        place.insert(0, F.col("_metadata.file_path").alias("file"))
+    position = F.struct(*place)
     return df.select(*columns, position.alias(INGEST_ORDER))

@@ -21,6 +21,7 @@ from loanlens.operators.snapshots import (
     trend_by_date,
 )
 from loanlens.operators.target import define_target, dropped_loans, label_summary, merge_target
+from loanlens.plans.catalog import QUERIES
 from tests.conftest import rows_by_loan
 
 EXPECTED = {
@@ -220,6 +221,40 @@ def test_any_number_of_dates_keeps_every_loan(spark, n):
     assert {r.LOAN_ID: r.early_dpd_trend for r in loans} == {"a": 2.0, None: 1.0}
 
 
+def test_hash_path_equals_the_sorted_one(spark):
+    """First rows by place and known values by date, against plain Python; one loan holds a third."""
+    rng = random.Random(4)
+    rows = []
+    for i in rng.sample(range(3000), 3000):
+        loan = "hot" if i % 3 == 0 else None if i % 50 == 1 else str(i % 40)
+        day = datetime(2025, 1, 1 + rng.randrange(9)) if rng.random() < 0.9 else None
+        value = rng.choice([None, float(rng.randrange(5))])
+        rows.append((loan, day, value, rng.choice([None, "a", "b"]), (day, i)))
+    schema = ("LOAN_ID string, SNAPSHOT_DATE timestamp_ntz, n double, s string, "
+              "_ingest_order struct<at: timestamp_ntz, place: bigint>")
+    df = spark.createDataFrame(rows, schema).repartition(7)
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[0], []).append(row)
+    early = datetime(1, 1, 1)
+    first = {k: min(v, key=lambda r: (r[4][0] or early, r[4][1])) for k, v in groups.items()}
+    got = first_per_loan(df, ["n", "s"]).collect()
+    assert len(got) == len(groups) and {r.LOAN_ID: (r.n, r.s) for r in got} == {k: v[2:4] for k, v in first.items()}
+    for known, sign in ((first_known_per_loan, 1), (last_known_per_loan, -1)):
+        got = {r.LOAN_ID: (r.n, r.s) for r in known(df, ["n", "s"]).collect()}
+        for loan, own in groups.items():
+            for place, column in ((0, 2), (1, 3)):
+                values = sorted(((r[1] or early, r[column]) for r in own if r[column] is not None))
+                assert got[loan][place] == values[::sign][0][1]
+
+
+def test_no_rows_are_sorted_for_first_rows(spark, sf):
+    for name in ("q_first_per_loan", "q_origination", "q_labelled", "q_feature_matrix", "q_last_demographics"):
+        df = QUERIES[name](spark, sf)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in plan and "HashAggregate" in plan, name
+
+
 def test_first_row_needs_an_order(spark):
     df = spark.createDataFrame([("x", 1)], "LOAN_ID string, a int")
     with pytest.raises(ValueError):
