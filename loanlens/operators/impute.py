@@ -2,139 +2,109 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.functions.values import col, number
-
-# Rank error of the bracket's sketch is at most 1 / ACCURACY of the rows.
-ACCURACY = 10_000
-MARGIN = 3 / ACCURACY
-# More distinct values than this are not put in order in one task.
-MAX_INSIDE = 1_000_000
-
-
-@dataclass(frozen=True)
-class Bracket:
-    """Two values with the median between them, out of ``rows`` values in all."""
-
-    rows: int
-    low: float
-    high: float
-
-    @property
-    def ranks(self) -> tuple[int, int]:
-        """Places of the two middle values, from 1; the same one if ``rows`` is odd."""
-        return (self.rows + 1) // 2, self.rows // 2 + 1
-
-
-def _inside(i: int, bracket: Bracket) -> Column:
-    return F.col(f"x{i}").between(bracket.low, bracket.high)
-
-
-def _narrowed(values: DataFrame, wide: Mapping[int, Bracket]) -> dict[int, Bracket]:
-    """Brackets within the given ones: count what lies below, then sketch the inside."""
-    counts = values.agg(
-        *[F.count_if(F.col(f"x{i}") < b.low).alias(f"b{i}") for i, b in wide.items()],
-        *[F.count_if(_inside(i, b)).alias(f"n{i}") for i, b in wide.items()],
-    ).first()
-    cuts = {}
-    for i, b in wide.items():
-        first, last = ((rank - counts[f"b{i}"]) / counts[f"n{i}"] for rank in b.ranks)
-        cuts[i] = [max(0.0, first - MARGIN), min(1.0, last + MARGIN)]
-    found = values.agg(
-        *[
-            F.percentile_approx(F.when(_inside(i, b), F.col(f"x{i}")), cuts[i], ACCURACY).alias(
-                f"s{i}"
-            )
-            for i, b in wide.items()
-        ]
-    ).first()
-    return {i: Bracket(b.rows, *found[f"s{i}"]) for i, b in wide.items()}
-
-
-def _brackets(values: DataFrame, n: int) -> dict[int, Bracket]:
-    """A bracket for every column that has values.
-
-    Two of its bounds lie a small share of the rows apart. Where even that share is
-    too many values for one task, the bracket is narrowed in the same way.
+from loanlens.session import cut_lineage
+
+# Bits of a double that one pass decides.
+DIGIT_BITS = 11
+_SIGN = np.uint64(1 << 63)
+
+
+def ordered_images(values: np.ndarray) -> np.ndarray:
+    """64-bit whole numbers that order like the doubles; both zeros are one, NaN is last."""
+    values = np.where(np.isnan(values), np.nan, values + 0.0)
+    bits = values.view(np.uint64)
+    return np.where(bits & _SIGN, ~bits, bits | _SIGN)
+
+
+def value_of(image: int) -> float:
+    """The double of an ordered image."""
+    bits = np.uint64(image)
+    return float(np.array(bits ^ _SIGN if bits & _SIGN else ~bits).view(np.float64))
+
+
+def _digit_counts(values: DataFrame, prefixes: Mapping[int, Sequence[int]], known: int) -> list:
+    """``(i, prefix, digit, n)``: how many values of column i begin with ``known`` bits of one
+    of its prefixes and go on with the digit. A row is read once for all its columns."""
+    bits = min(DIGIT_BITS, 64 - known)
+    shift = np.uint64(64 - known - bits)
+    mask = np.uint64((1 << bits) - 1)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = {(i, p): np.zeros(1 << bits, np.int64) for i, own in prefixes.items() for p in own}
+        for batch in batches:
+            for i, own in prefixes.items():
+                rest = ordered_images(batch.column(i).drop_null().to_numpy()) >> shift
+                digits = (rest & mask).astype(np.int64)
+                for p in own:
+                    # Before the first digit all values begin alike.
+                    chosen = digits[(rest >> np.uint64(bits)) == np.uint64(p)] if known else digits
+                    counts[i, p] += np.bincount(chosen, minlength=1 << bits)
+        for (i, p), found in counts.items():
+            digits = np.flatnonzero(found)
+            columns = [np.full(len(digits), i, np.int32), np.full(len(digits), p, np.int64), digits, found[digits]]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["i", "prefix", "digit", "n"])
+
+    rows = values.mapInArrow(run, "i int, prefix long, digit long, n long")
+    return rows.groupBy("i", "prefix", "digit").agg(F.sum("n").alias("n")).orderBy("i", "prefix", "digit").collect()
+
+
+def middle_values(values: DataFrame) -> dict[int, tuple[float, float]]:
+    """The two middle values (the same one of an odd number) per column that has any.
+
+    Radix selection: each pass counts the next digit of the values that still may be the
+    middle ones, and keeps the digit in which they lie. A column needs as many passes as
+    a double has digits, whatever its values; the driver sees the counts of one digit.
     """
-    cuts = [0.5 - MARGIN, 0.5 + MARGIN]
-    row = values.agg(
-        *[F.count(f"x{i}").alias(f"n{i}") for i in range(n)],
-        *[F.percentile_approx(f"x{i}", cuts, ACCURACY).alias(f"s{i}") for i in range(n)],
-    ).first()
-    brackets = {i: Bracket(row[f"n{i}"], *row[f"s{i}"]) for i in range(n) if row[f"n{i}"]}
-    share = 4 * MARGIN
-    wide = {i: b for i, b in brackets.items() if b.low < b.high and b.rows * share > MAX_INSIDE}
-    while wide:
-        share *= 4 * MARGIN
-        narrow = _narrowed(values, wide)
-        brackets |= narrow
-        # A bracket that stays as it is has nearly all of its rows at its two ends.
-        wide = {
-            i: b
-            for i, b in narrow.items()
-            if b.low < b.high and b != wide[i] and b.rows * share > MAX_INSIDE
-        }
-    return brackets
+    wanted: dict[tuple[int, int], tuple[int, int]] = {}  # column, side: prefix, rank in it
+    known = 0
+    while known < 64:
+        if known:
+            prefixes: dict[int, list[int]] = {}
+            for (i, _), (prefix, _) in sorted(wanted.items()):
+                prefixes.setdefault(i, [])
+                if prefix not in prefixes[i]:
+                    prefixes[i].append(prefix)
+        else:
+            prefixes = {i: [0] for i in range(len(values.columns))}
+        counts: dict[tuple[int, int], list] = {}
+        for r in _digit_counts(values, prefixes, known):
+            counts.setdefault((r["i"], r["prefix"]), []).append((r["digit"], r["n"]))
+        if not known:
+            for (i, _), own in counts.items():
+                n = sum(c for _, c in own)
+                wanted[i, 0], wanted[i, 1] = (0, (n + 1) // 2), (0, n // 2 + 1)
+        bits = min(DIGIT_BITS, 64 - known)
+        for key, (prefix, rank) in wanted.items():
+            for digit, n in counts[key[0], prefix]:
+                if rank <= n:
+                    wanted[key] = ((prefix << bits) | digit, rank)
+                    break
+                rank -= n
+        if not wanted:
+            break
+        known += bits
+    return {i: (value_of(wanted[i, 0][0]), value_of(wanted[i, 1][0])) for i, side in wanted if side == 0}
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``(feature, median)`` per column; NULL for a column without values.
 
-    A built-in exact median keeps every distinct value in one place. Here a sketch
-    first brackets the median of every column. Then the rows below each bracket
-    are only counted, and just the values inside - at most about MAX_INSIDE, each
-    with its count - are put in order.
+    The columns are written once, as every pass reads them again. NaN is missing.
     """
-    values = df.select([number(df, name).alias(f"x{i}") for i, name in enumerate(columns)])
-    brackets = _brackets(values, len(columns))
-
-    def piece(i: int, kind: Column, value: Column) -> Column:
-        return F.struct(F.lit(i).alias("i"), kind.alias("kind"), value.alias("value"))
-
-    pieces = []
-    for i, bracket in brackets.items():
-        x = F.col(f"x{i}")
-        kind = F.when(x < bracket.low, -1).when(x > bracket.high, 1).when(x.isNotNull(), 0)
-        pieces.append(piece(i, kind, F.when(kind == 0, x)))
-    names = F.array(*[F.lit(name) for name in columns])
-    every = values.sparkSession.range(len(columns)).select(
-        F.col("id").cast("int").alias("i"),
-        F.element_at(names, (F.col("id") + 1).cast("int")).alias("feature"),
-    )
-    if not pieces:
-        return every.select("feature", F.lit(None).cast("double").alias("median"))
-    counted = (
-        values.select(F.inline(F.array(*pieces)))
-        .filter("kind IS NOT NULL")
-        .groupBy("i", "kind", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    # Below and above the bracket there is one row each, so these windows hold
-    # the values inside the bracket and little else.
-    up_to = (
-        W.partitionBy("i").orderBy("kind", "value").rowsBetween(W.unboundedPreceding, 0)
-    )
-    ranked = counted.withColumns(
-        {"upto": F.sum("n").over(up_to), "total": F.sum("n").over(W.partitionBy("i"))}
-    )
-    first, last = F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1
-    below = F.col("upto") - F.col("n")
-
-    def at(rank: Column) -> Column:
-        return F.max(F.when((below < rank) & (F.col("upto") >= rank), F.col("value")))
-
-    missed = F.raise_error("the bracket misses the median").cast("double")
-    medians = ranked.groupBy("i").agg(
-        F.coalesce((at(first) + at(last)) / 2, missed).alias("median")
-    )
-    return every.join(medians, "i", "left").select("feature", "median")
+    values = df.select([number(df, name).cast("double").alias(f"x{i}") for i, name in enumerate(columns)])
+    middle = middle_values(cut_lineage(values)) if columns else {}
+    rows = [
+        (name, (middle[i][0] + middle[i][1]) / 2 if i in middle else None) for i, name in enumerate(columns)
+    ]
+    return df.sparkSession.createDataFrame(rows, "feature string, median double")
 
 
 def median_values(df: DataFrame, columns: Sequence[str]) -> dict[str, float]:

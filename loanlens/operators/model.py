@@ -21,13 +21,17 @@ from loanlens.operators.trees import add_tree_attributions
 
 @dataclass(frozen=True)
 class TrainedModel:
-    """A fitted pipeline with its feature order, medians and background means."""
+    """A fitted pipeline with its feature order, medians and background means.
+
+    ``trained_on`` is the number and checksum of the loans it was trained on.
+    """
 
     name: str
     pipeline: PipelineModel
     features: list[str]
     medians: Mapping[str, float] = field(default_factory=dict)
     background: Mapping[str, float] = field(default_factory=dict)
+    trained_on: str | None = None
 
     @property
     def classifier(self):
@@ -85,6 +89,7 @@ class TrainedModel:
             "features": self.features,
             "medians": dict(self.medians),
             "background": dict(self.background),
+            "trained_on": self.trained_on,
         }
         spark = SparkSession.getActiveSession()
         row = spark.createDataFrame([(json.dumps(facts),)], "value string")

@@ -49,6 +49,7 @@ from loanlens.operators.scorecard import Scorecard
 from loanlens.operators.scoring import (
     band_summary,
     batch_summary,
+    explain_portfolio,
     score_dataframe,
     score_portfolio,
     score_profile,
@@ -64,7 +65,7 @@ from loanlens.operators.snapshots import (
     trend_by_date,
 )
 from loanlens.operators.split import assign_folds, class_weights, mark_test
-from loanlens.operators.target import define_target, label_summary
+from loanlens.operators.target import define_target, dropped_loans, label_summary, merge_target
 from loanlens.operators.trees import base_value, packed_trees
 from loanlens.plans.features import (
     build_feature_matrix,
@@ -553,6 +554,55 @@ def q_reason_codes(spark: SparkSession, sf: str) -> DataFrame:
     return _listed(reasoned, "reason_codes", "code", "description", "direction", "shap")
 
 
+def _explained(df: DataFrame, key: str, *kept: str) -> DataFrame:
+    """One row per driver of an explanation, or one without a driver, with its place."""
+
+    def placed(way: str):
+        drivers = F.coalesce(f"{way}_drivers", F.array().cast("array<string>"))
+        return F.transform(
+            drivers,
+            lambda text, i: F.struct(
+                F.lit(way).alias("direction"), (i + 1).alias("place"), text.alias("driver")
+            ),
+        )
+
+    drivers = F.explode_outer(F.concat(placed("positive"), placed("negative")))
+    rows = df.select(key, *kept, drivers.alias("d"))
+    return rows.select(key, *kept, "d.direction", "d.place", "d.driver")
+
+
+@_query
+def q_explain_portfolio(spark: SparkSession, sf: str) -> DataFrame:
+    """Score, band and drivers in words of every loan, measured from the mean loan."""
+    features = cut_lineage(_features(spark, sf))
+    model = SCORECARD.with_background(encode_categoricals(features))
+    found = explain_portfolio(model, features)
+    return _explained(found, LOAN_ID, "credit_score", "risk_band", "pd_pct")
+
+
+@_query
+def q_score_requests_explained(spark: SparkSession, sf: str) -> DataFrame:
+    """Every request's answer with its drivers; failed ones have none."""
+    found = score_requests(request_view(_features(spark, sf)), SCORECARD, explain=True)
+    return _explained(found, "loan_id", "pd_score", "credit_score", "risk_band")
+
+
+@_query
+def q_early_fallback(spark: SparkSession, sf: str) -> DataFrame:
+    """Early features where no snapshot has an early date: all snapshots count."""
+    cfg = VIEW_CONFIG.with_(early_snapshots=("1900-01-01",), early_fallback=True)
+    return early_features(credit_view(spark, sf), cfg)
+
+
+@_query
+def q_merge_target(spark: SparkSession, sf: str) -> DataFrame:
+    """Features joined with labels of late snapshots only, and how many loans that drops."""
+    features = _features(spark, sf).select(LOAN_ID, "early_max_dpd", "loan_amount")
+    target = define_target(credit_view(spark, sf), "par30", label_snapshots=("2001-12-31",))
+    dropped = dropped_loans(features, target).agg(F.count(F.lit(1)).alias("n_dropped"))
+    return merge_target(features, target).withColumn("n_dropped", dropped.scalar())
+
+
 @_query
 def q_fallback_reasons(spark: SparkSession, sf: str) -> DataFrame:
     reasons = fallback_reasons(_encoded(spark, sf))

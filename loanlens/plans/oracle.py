@@ -284,6 +284,31 @@ _REASONS = """
       SELECT *, row_number() OVER (PARTITION BY LOAN_ID ORDER BY side, rn) AS place
       FROM chosen WHERE abs(value) > 0.001)"""
 
+# Drivers in words, with their place among those of the same direction.
+_WORDED = """worded AS (
+      SELECT LOAN_ID, kept.direction, row_number() OVER (PARTITION BY LOAN_ID, side ORDER BY rn) AS rn,
+        CASE side WHEN 0 THEN '✓ ' ELSE '✗ ' END || coalesce(description, feature) AS driver
+      FROM kept LEFT JOIN codes ON code = feature)"""
+
+# Attributions of a request are measured from zero.
+_REQUEST_PARTS = (
+    "parts AS (SELECT LOAN_ID, u.i AS i, u.f AS feature, u.v AS value FROM (SELECT loan_id AS LOAN_ID, unnest(["
+    + ", ".join(
+        f"{{'i': {i}, 'f': '{n}', 'v': CAST({w} AS DOUBLE) * coalesce(\"{n}\", 0)}}"
+        for i, (n, w) in enumerate(_WEIGHTS.items())
+    )
+    + "]) AS u FROM requests))"
+)
+
+# The early features over all snapshots.
+_FALLBACK = ", ".join(
+    f"{new} AS ({sql})"
+    for new, sql in (
+        ("all_rows", _VIEWS["early_rows"].split("WHERE")[0]),
+        ("late_early", _VIEWS["early"].replace("early_rows", "all_rows")),
+    )
+)
+
 # A request without an age or income counts as 0 and is banded as such.
 _REQUEST_ROWS = """
     asked AS (
@@ -612,6 +637,29 @@ def oracle_sql() -> dict[str, str]:
             FROM kept LEFT JOIN codes ON code = feature""",
             f"{_MEANS}, {_PARTS}, {_CODES} {_REASONS}",
         ),
+        "q_explain_portfolio": _with(
+            "scores",
+            """SELECT s.LOAN_ID, credit_score, s.risk_band, format('{:.2f}%', pd_score * 100) AS pd_pct,
+              k.direction, CAST(k.rn AS INTEGER) AS place, k.driver
+            FROM scores s LEFT JOIN worded k USING (LOAN_ID)""",
+            f"{_MEANS}, {_PARTS}, {_CODES} {_REASONS}, {_WORDED}",
+        ),
+        "q_score_requests_explained": _with(
+            "features",
+            """SELECT r.loan_id, r.pd_score, r.credit_score, r.risk_band,
+              k.direction, CAST(k.rn AS INTEGER) AS place, k.driver
+            FROM responses r LEFT JOIN worded k ON k.LOAN_ID = r.loan_id AND r.risk_band <> 'Error'""",
+            f"{_REQUEST_ROWS}, {_REQUEST_PARTS}, {_CODES} {_REASONS}, {_WORDED}",
+        ),
+        "q_early_fallback": _with("credit", "SELECT * FROM late_early", _FALLBACK),
+        "q_merge_target": _with(
+            "features",
+            """SELECT f.LOAN_ID, early_max_dpd, loan_amount, target,
+              (SELECT count(*) FROM features WHERE LOAN_ID NOT IN (SELECT LOAN_ID FROM late)) AS n_dropped
+            FROM features f JOIN late USING (LOAN_ID)""",
+            """late AS (SELECT LOAN_ID, CAST(CASE WHEN coalesce(DAYS_PAST_DUE, 0) > 30 THEN 1 ELSE 0 END AS INTEGER)
+                AS target FROM credit WHERE SNAPSHOT_DATE = TIMESTAMP '2001-12-31')""",
+        ),
         "q_fallback_reasons": _with(
             "encoded",
             """SELECT LOAN_ID, direction, CAST(place AS INTEGER) AS place, code, description, value

@@ -47,11 +47,16 @@ def run_full(sources: Sources, out_dir: str, cfg: Config | None = None) -> RunRe
     """Everything from raw sources to written model, metrics, curves and portfolio scores.
 
     ``out_dir`` gets model, metrics, report, the curves and tables of the evaluation,
-    importances, the number of loans without a label, and portfolio_scores.
+    importances, the number of loans without a label, and portfolio_scores. Where
+    ``spark.checkpoint.dir`` is set, finished fits are kept there, and a job that is started
+    again goes on from them.
     """
     cfg = cfg or Config()
+    shared = sources.credit.sparkSession.conf.get("spark.checkpoint.dir", None)
     matrix = build_labelled_matrix(sources.credit, sources.demographics, sources.nps, cfg)
-    training = train(matrix, cfg, model_path=f"{out_dir}/model")
+    training = train(
+        matrix, cfg, model_path=f"{out_dir}/model", ledger_root=shared and f"{shared.rstrip('/')}/ledger"
+    )
     model, labelled = training.model, training.labelled
     scored = cut_lineage(model.add_probability(training.test).select(LOAN_ID, TARGET, "p"))
     points = cut_lineage(curve(scored))

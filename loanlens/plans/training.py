@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import product
 
 from pyspark import inheritable_thread_target
@@ -27,6 +27,7 @@ from loanlens.operators.evaluation import evaluate
 from loanlens.operators.impute import fill, median_values
 from loanlens.operators.model import TrainedModel
 from loanlens.operators.split import assign_folds, stratified_split
+from loanlens.plans.ledger import Ledger, loans_checksum
 from loanlens.session import cut_lineage, ensure_checkpoint_dir
 
 
@@ -84,13 +85,18 @@ def _weighted(rows: DataFrame, candidate: Candidate, counts: ClassCounts) -> Dat
 
 
 def cross_validate_models(
-    rows: DataFrame, features: list[str], cfg: Config, counts: ClassCounts | None = None
+    rows: DataFrame,
+    features: list[str],
+    cfg: Config,
+    counts: ClassCounts | None = None,
+    ledger: Ledger | None = None,
 ) -> DataFrame:
     """ROC-AUC per candidate and fold: ``(model, fold, auc)``.
 
     ``rows`` are complete feature rows. They are assembled and written once; every
     fit reads that copy. A balanced candidate is weighted by the classes of the rows it
-    is fitted on, a boosted one by those of all rows.
+    is fitted on, a boosted one by those of all rows. Fits that ``ledger`` has are not
+    repeated, and every other one is entered as it ends.
     """
     counts = counts or class_counts(rows)
     folded = assign_folds(rows, cfg.cv_folds, cfg.seed)
@@ -105,12 +111,19 @@ def cross_validate_models(
         training = _weighted(vectors.filter(F.col("fold") != fold), candidate, own)
         fitted = candidate.build(own).fit(training)
         held_out = fitted.transform(vectors.filter(F.col("fold") == fold))
-        return candidate.name, fold, float(evaluator.evaluate(held_out))
-
-    tasks = list(product(candidates(cfg).values(), range(cfg.cv_folds)))
+        auc = float(evaluator.evaluate(held_out))
+        if ledger is not None:
+            ledger.record(candidate.name, fold, auc)
+        return candidate.name, fold, auc
+
+    known = ledger.fits() if ledger is not None else {}
+    wanted = list(product(candidates(cfg).values(), range(cfg.cv_folds)))
+    tasks = [(candidate, fold) for candidate, fold in wanted if (candidate.name, fold) not in known]
     run_in_thread = inheritable_thread_target(rows.sparkSession)(run)
     with ThreadPoolExecutor(cfg.profile.fold_parallelism) as pool:
-        results = list(pool.map(run_in_thread, tasks))
+        fresh = {(name, fold): auc for name, fold, auc in pool.map(run_in_thread, tasks)}
+    found = known | fresh
+    results = [(c.name, fold, found[c.name, fold]) for c, fold in wanted]
     return rows.sparkSession.createDataFrame(results, "model string, fold int, auc double")
 
 
@@ -157,11 +170,13 @@ def train(
     *,
     model_path: str | None = None,
     medians_of_all_rows: bool = False,
+    ledger_root: str | None = None,
 ) -> TrainResult:
     """Split, cross-validate, refit the best candidate and, if asked, save it.
 
     Missing features get the medians of the training rows; ``medians_of_all_rows``
-    takes them before the split.
+    takes them before the split. With ``ledger_root``, a folder in shared storage, a second
+    call on the same rows and configuration goes on where the first one stopped.
     """
     cfg = cfg or Config()
     labelled = cut_lineage(labelled)
@@ -170,8 +185,14 @@ def train(
     rows, features, medians = prepare_xy(training, medians)
     rows = cut_lineage(rows)
     test_rows = prepare_xy(test, medians)[0]
-    cv = cross_validate_models(rows, features, cfg)
-    model = fit_candidate(rows, features, best_model(cv, cfg), cfg, medians)
+    ledger = Ledger.of(ledger_root, rows, features, cfg) if ledger_root else None
+    cv = cross_validate_models(rows, features, cfg, ledger=ledger)
+    best = best_model(cv, cfg)
+
+    def refit() -> TrainedModel:
+        return replace(fit_candidate(rows, features, best, cfg, medians), trained_on=loans_checksum(rows))
+
+    model = ledger.model(best, refit) if ledger else refit()
     if model_path is not None:
         model.save(model_path)
     return TrainResult(model, labelled, test_rows, features, cv)
@@ -182,10 +203,16 @@ def evaluate_model(
 ) -> DataFrame:
     """Metrics of a saved model on the held-out loans.
 
-    The split depends on the loan ids and the seed only, so these are the loans
-    the model has not seen.
+    The split depends on the loan ids and the seed only, so these are the loans the model
+    has not seen. That is proved: the loans on the other side of the split have to be those
+    that the model was trained on, and the features its own. Anything else (other loans,
+    seed or share, a model that :func:`train` has not made) raises ValueError.
     """
     cfg = cfg or Config()
-    _, test = stratified_split(labelled, cfg.test_size, cfg.seed)
-    rows = prepare_xy(test, dict(model.medians))[0]
+    training, test = stratified_split(labelled, cfg.test_size, cfg.seed)
+    if model.trained_on is None or loans_checksum(training) != model.trained_on:
+        raise ValueError("the loans held out here are not those held out when the model was trained")
+    rows, features, _ = prepare_xy(test, dict(model.medians))
+    if features != model.features:
+        raise ValueError("the features are not those of the model")
     return evaluate(model.add_probability(rows), model=model.name)

@@ -2,6 +2,7 @@ import itertools
 import json
 import math
 import random
+from dataclasses import replace
 
 import numpy as np
 import pytest
@@ -13,6 +14,7 @@ from loanlens.operators.candidates import ClassCounts, candidates
 from loanlens.operators.importance import compute_shap
 from loanlens.operators.scoring import score_requests
 from loanlens.operators.trees import base_value, node_table, packed_trees, shapley, tree_levels
+from loanlens.plans import training
 from loanlens.plans.training import best_model, cv_summary, fit_candidate, fold_counts, prepare_xy
 from loanlens.session import cut_lineage
 from loanlens.streaming import read_request_stream, read_requests, score_requests_stream
@@ -109,6 +111,63 @@ def test_training(labelled, trained):
     assert (again.roc_auc, again.n_test) == (metrics.roc_auc, metrics.n_test)
 
 
+def test_only_the_held_out_loans_are_evaluated(labelled, trained):
+    """Another seed, share or table would put trained loans among the held-out ones."""
+    model = trained[0].model
+    for cfg in (CFG.with_(seed=7), CFG.with_(test_size=0.3)):
+        with pytest.raises(ValueError, match="held out"):
+            evaluate_model(model, labelled, cfg)
+    with pytest.raises(ValueError, match="held out"):
+        evaluate_model(model, labelled.where("LOAN_ID <> '5'"), CFG)
+    with pytest.raises(ValueError, match="held out"):
+        evaluate_model(replace(model, trained_on=None), labelled, CFG)
+    with pytest.raises(ValueError, match="features"):
+        evaluate_model(model, labelled.drop("loan_amount"), CFG)
+
+
+def test_training_goes_on_after_a_lost_driver(labelled, tmp_path, monkeypatch):
+    """The first run stops after two fits; the second fits only the rest, the third nothing."""
+    cfg = CFG.with_(candidates=("logistic", "forest"), profile=replace(CFG.profile, fold_parallelism=1))
+    fitted = []
+    build = candidates
+
+    def counted(stop_after):
+        def known(config):
+            def wrap(candidate):
+                def make(counts):
+                    if len(fitted) == stop_after:
+                        raise KeyboardInterrupt
+                    fitted.append(candidate.name)
+                    return candidate.build(counts)
+
+                return replace(candidate, build=make)
+
+            return {name: wrap(c) for name, c in build(config).items()}
+
+        return known
+
+    root = str(tmp_path / "ledger")
+    monkeypatch.setattr(training, "candidates", counted(2))
+    with pytest.raises(KeyboardInterrupt):
+        train(labelled, cfg, ledger_root=root)
+    assert fitted == ["logistic", "logistic"]
+    fitted.clear()
+    monkeypatch.setattr(training, "candidates", counted(99))
+    result = train(labelled, cfg, ledger_root=root)
+    assert fitted == ["forest", "forest", result.model.name]  # both folds, then the refit
+    fitted.clear()
+    again = train(labelled, cfg, ledger_root=root)
+    assert fitted == [] and again.model.name == result.model.name
+    assert sorted(map(tuple, again.cv.collect())) == sorted(map(tuple, result.cv.collect()))
+    assert again.model.trained_on == result.model.trained_on
+    # A curve's area depends on the order of its sums in the last bits.
+    whole = {r[:2]: r.auc for r in train(labelled, cfg).cv.collect()}
+    assert whole == pytest.approx({r[:2]: r.auc for r in result.cv.collect()}, abs=1e-9)
+    fitted.clear()
+    train(labelled.where("LOAN_ID <> '3'"), cfg, ledger_root=root)
+    assert len(fitted) == 5  # other rows, another ledger
+
+
 def test_saved_model_scores_alike(spark, labelled, trained):
     result, path = trained
     loaded = TrainedModel.load(spark, path)

@@ -1,10 +1,12 @@
+import math
 import random
 import statistics
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from loanlens.operators.impute import exact_medians, fill, median_values
+from loanlens.operators.impute import exact_medians, fill, median_values, ordered_images, value_of
 from loanlens.operators.split import (
     assign_folds,
     class_weights,
@@ -79,23 +81,33 @@ def test_medians_against_brute_force(spark, n):
         assert got[name] == (statistics.median(present) if present else None), name
 
 
-@pytest.mark.parametrize("limit", [1_000_000, 20])
-def test_medians_of_many_rows(spark, monkeypatch, limit):
-    """Whether brackets are narrowed again or not; two thirds of a column may be equal."""
-    monkeypatch.setattr("loanlens.operators.impute.MAX_INSIDE", limit)
-    monkeypatch.setattr("loanlens.operators.impute.ACCURACY", 300)
-    monkeypatch.setattr("loanlens.operators.impute.MARGIN", 3 / 300)
+def test_ordered_images():
+    values = np.array([-np.inf, -1e300, -1.5, -5e-324, 0.0, 5e-324, 1.0, 1.0000000000000002, 1e300, np.inf, np.nan])
+    images = ordered_images(values)
+    assert (np.diff(images.astype(object)) > 0).all()
+    assert [value_of(v) for v in images[:-1]] == list(values[:-1]) and math.isnan(value_of(images[-1]))
+    assert len(set(ordered_images(np.array([0.0, -0.0])).tolist())) == 1
+
+
+def test_medians_of_many_rows_and_columns(spark):
+    """65 columns; two thirds of one may be equal, one has infinities and NaN, one is negative."""
     value = F.hash("id").cast("double")
     df = spark.range(50001).select(
         value.alias("x"),
         F.when(F.col("id") % 3 == 0, value).otherwise(0.0).alias("hot"),
-        F.when(F.col("id") % 2 == 0, 1.0).otherwise(0.0).alias("two"),
+        F.when(F.col("id") % 2 == 0, 1.0).otherwise(-0.0).alias("two"),
         F.when(F.col("id") % 5 != 0, F.exp(value / 1e8)).alias("gaps"),
+        (-F.abs(value) - 1).alias("negative"),
+        F.when(F.col("id") % 5 < 3, F.lit(float("nan"))).otherwise(value).alias("nan"),
+        F.when(F.col("id") % 5 < 2, F.lit(float("inf"))).otherwise(value).alias("inf"),
+        *[(value + i).alias(f"c{i}") for i in range(58)],
     )
     rows = df.toPandas()
     got = median_values(df, df.columns)
-    for name in df.columns:
+    for name in got:
         assert got[name] == statistics.median(rows[name].dropna()), name
+    assert median_values(df.limit(0), ["x"]) == {"x": 0.0}
+    assert median_values(df, []) == {}
 
 
 def test_fill(spark):
