@@ -10,7 +10,7 @@ from operator import add
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.functions.values import number_or
+from loanlens.functions.values import half_even, number_or
 from loanlens.operators.attribution import ATTRIBUTIONS, linear_attributions
 from loanlens.operators.impute import fill
 
@@ -39,6 +39,22 @@ class Scorecard:
         ]
         return reduce(add, terms, F.lit(float(self.intercept)))
 
+    def fixed_log_odds(self, df: DataFrame) -> Column:
+        """Log-odds in millionths as a LONG, from weights and features in thousandths.
+
+        Whole numbers add up alike in any order and engine, so loans tie exactly where
+        they should. Features with more than three decimals are rounded half to even.
+        """
+        terms = [
+            F.lit(round(w * 1000)) * half_even(F.coalesce(number_or(df, name), F.lit(0.0)) * 1000, 0).cast("long")
+            for name, w in self.weights.items()
+        ]
+        return reduce(add, terms, F.lit(round(self.intercept * 1_000_000)).cast("long"))
+
+    def add_fixed_probability(self, df: DataFrame, name: str = "p") -> DataFrame:
+        """Probability by the fixed log-odds, not rounded: equal where those are equal."""
+        return df.withColumn(name, 1 / (1 + F.exp(-(self.fixed_log_odds(df) / F.lit(1e6)))))
+
     def impute(self, df: DataFrame) -> DataFrame:
         return fill(df, {name: self.medians.get(name, 0.0) for name in self.weights})
 

@@ -137,11 +137,11 @@ def _encoded(spark: SparkSession, sf: str) -> DataFrame:
 def _scored(spark: SparkSession, sf: str) -> DataFrame:
     """Loan, label and scorecard probability.
 
-    Twelve decimals: engines differ in the last bit of an exponential, which would make
-    ties of one engine two points of the other.
+    The probability comes from whole-number log-odds: the last bits of a sum of doubles, or
+    of an exponential, differ by engine, but loans that tie in one tie in the other.
     """
-    rows = SCORECARD.add_probability(encode_categoricals(_labelled(spark, sf)))
-    return rows.select(LOAN_ID, TARGET, half_even(F.col("p"), 12).alias("p"))
+    rows = SCORECARD.add_fixed_probability(encode_categoricals(_labelled(spark, sf)))
+    return rows.select(LOAN_ID, TARGET, "p")
 
 
 def _points(spark: SparkSession, sf: str) -> DataFrame:

@@ -43,6 +43,15 @@ def _log_odds(prefix: str = "") -> str:
     return f"CAST({SCORECARD.intercept} AS DOUBLE){terms}"
 
 
+def _fixed_log_odds() -> str:
+    """Log-odds in millionths, of weights and features in thousandths."""
+    terms = "".join(
+        f" + {round(w * 1000)} * CAST(round_even(coalesce(\"{name}\", 0) * 1000.0::DOUBLE, 0) AS BIGINT)"
+        for name, w in _WEIGHTS.items()
+    )
+    return f"{round(SCORECARD.intercept * 1_000_000)}{terms}"
+
+
 def _score(p: str) -> str:
     safe = f"least(greatest({p}, 1e-6::DOUBLE), (1 - 1e-6)::DOUBLE)"
     raw = f"600 - 20 / ln(2) * ln(5) - 20 / ln(2) * ln({safe} / (1 - {safe}))"
@@ -193,12 +202,13 @@ _VIEWS: dict[str, str] = {
     "encoded": f"SELECT *, {_ONE_HOT} FROM features",
     "probabilities": f"""
       SELECT LOAN_ID, 1 / (1 + exp(-({_log_odds()}))) AS p FROM encoded""",
+    "fixed": f"SELECT LOAN_ID, {_fixed_log_odds()} AS millionths FROM encoded",
     "scores": f"""
       SELECT LOAN_ID, round_even(p, 4) AS pd_score, {_score('p')} AS credit_score,
         {_risk(_score('p'))} AS risk_band FROM probabilities""",
     "scored": """
-      SELECT LOAN_ID, target, round_even(p, 12) AS p
-      FROM probabilities JOIN target USING (LOAN_ID)""",
+      SELECT LOAN_ID, target, 1 / (1 + exp(-(millionths / 1e6::DOUBLE))) AS p
+      FROM fixed JOIN target USING (LOAN_ID)""",
     "points": """
       SELECT p, n, bad, n - bad AS good,
         sum(bad) OVER down AS cum_bad, sum(n - bad) OVER down AS cum_good,
