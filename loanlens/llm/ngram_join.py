@@ -578,7 +578,8 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
         )
         chunks = groups.where("chunk IS NOT NULL").select(*hub, "members")
         leaders = chunks.mapInArrow(_leading, "hub_low long, hub_high int, low long, high int")
-        return one.select(*hub, "low", "high").unionByName(leaders).distinct()
+        # A leader may come twice, which changes nothing.
+        return one.select(*hub, "low", "high").unionByName(leaders)
 
     def pairs(groups: DataFrame, members: DataFrame, labelled: DataFrame, forest: bool) -> DataFrame:
         """Pairs to compare out of groups, between the sets that ``members`` sends to their hub."""
@@ -624,20 +625,17 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
         return sets.join(joined, "node", "left").withColumn("label", F.coalesce("component", "node"))
 
     # A set first meets the sets of one of its hubs. That connects most of a cluster, and
-    # groups whose sets are connected need no more; the others meet in all of their hubs.
+    # groups whose sets are connected need no more; the others meet in all of their hubs,
+    # those of chunks in tiles.
     tried = compared(pairs(groups, first_hubs(groups), sets.withColumn("label", F.col("node")), True))
     now = cut_lineage(labelled(tried))
-    later = cut_lineage(undecided(groups, now))
+    later = undecided(groups.where("chunk IS NULL"), now).select(*hub, "first", "members")
+    tiles = _tiles(groups.where("chunk IS NOT NULL"), now).select(*hub, "first", "members")
+    later = cut_lineage(later.unionByName(tiles))
     if not later.isEmpty():
         # A set goes to a hub once, however many groups of the hub it is in.
         tried = tried.unionByName(compared(pairs(later, members_of(later).distinct(), now, True)))
-    chunks = groups.where("chunk IS NOT NULL")
-    if not chunks.isEmpty():
-        now = cut_lineage(labelled(tried))
-        tiles = cut_lineage(_tiles(chunks, now))
-        if not tiles.isEmpty():
-            tried = tried.unionByName(compared(pairs(tiles, members_of(tiles).distinct(), now, True)))
-            groups = groups.select(*tiles.columns).unionByName(tiles)
+        groups = groups.select(*later.columns).unionByName(later.where(F.col("hub_high") == TILE_HUB))
     links = tried.where("similar").select("u", "v")
     failed = tried.where("NOT similar")
     if failed.isEmpty():
