@@ -34,7 +34,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loanlens.llm.common import cut_lineage, free_name, mix, row_ranges, text_buffer
@@ -492,7 +492,7 @@ class _Hub:
         self.met: set[tuple[int, int]] = set()
 
     def pairs(self, members: bytes, first: int | None) -> list[tuple]:
-        """New pairs of a group's sets that are here; what other groups of the hub connect is connected."""
+        """New pairs of a group; what other groups of the hub connect is connected."""
         if self.place is None:
             keys = np.empty(len(self.sets), _KEY)
             keys["low"], keys["high"] = [s[0] for s in self.sets], [s[1] for s in self.sets]
@@ -500,9 +500,8 @@ class _Hub:
             self.place = {blob[10 * i : 10 * i + 10]: i for i in range(len(self.sets))}
             self.sizes = np.array([s[4] for s in self.sets])
             self.labels = np.unique([s[3] for s in self.sets], return_inverse=True)[1]
-        held = (self.place.get(members[i : i + 10]) for i in range(0, len(members), 10))
-        rows = np.array([row for row in held if row is not None], np.int64)
-        if len(rows) < 2 or (self.labels[rows] == self.labels[rows[0]]).all():
+        rows = np.array([self.place[members[i : i + 10]] for i in range(0, len(members), 10)])
+        if (self.labels[rows] == self.labels[rows[0]]).all():
             return []
         sketches = _folded([self.sets[i][5] for i in rows.tolist()])
         found = sketch_pairs(rows, self.sizes, sketches, self.labels, self.forest, self.measure, first)
@@ -571,18 +570,9 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
         packed = groups.select(*hub, "members")
         return packed.mapInArrow(_members, "hub_low long, hub_high int, low long, high int")
 
-    def first_hubs(groups: DataFrame) -> DataFrame:
-        """Every set with one of its hubs, the smallest, and leaders with all of theirs."""
-        one = members_of(groups).groupBy("low", "high").agg(
-            F.min_by("hub_high", "hub_low").alias("hub_high"), F.min("hub_low").alias("hub_low")
-        )
-        chunks = groups.where("chunk IS NOT NULL").select(*hub, "members")
-        leaders = chunks.mapInArrow(_leading, "hub_low long, hub_high int, low long, high int")
-        # A leader may come twice, which changes nothing.
-        return one.select(*hub, "low", "high").unionByName(leaders)
-
-    def pairs(groups: DataFrame, members: DataFrame, labelled: DataFrame, forest: bool) -> DataFrame:
-        """Pairs to compare out of groups, between the sets that ``members`` sends to their hub."""
+    def pairs(groups: DataFrame, labelled: DataFrame, forest: bool) -> DataFrame:
+        # A set goes to a hub once, however many groups of the hub it is in.
+        members = members_of(groups).distinct()
         own = ["low", "high", "node", "label", "n", "sketch"]
         rows = members.join(labelled, ["low", "high"]).select(
             *hub, *own, F.lit(None).cast("int").alias("first"), F.lit(None).cast("binary").alias("members")
@@ -597,11 +587,13 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
         meets its label once, with its hubs in one row."""
         hubs = members_of(groups).groupBy("low", "high").agg(F.collect_set(F.struct(*hub)).alias("hubs"))
         marked = hubs.join(labelled.select("low", "high", "label"), ["low", "high"])
-        marked = marked.select(F.inline("hubs"), "low", "high", "label", *_nulls(groups, _REST))
-        none = [F.lit(None).cast("long").alias("low"), F.lit(None).cast("int").alias("high"), F.lit(None).cast("long").alias("label")]
-        rows = marked.unionByName(groups.select(*hub, *none, *_REST))
+        marked = marked.select(
+            F.inline("hubs"), "low", "high", "label", F.lit(None).cast("int").alias("first"), F.lit(None).cast("binary").alias("members")
+        )
+        none = [F.lit(None).cast(marked.schema[c].dataType).alias(c) for c in ("low", "high", "label")]
+        rows = marked.unionByName(groups.select(*hub, *none, "first", "members"))
         rows = rows.repartition(*hub).sortWithinPartitions(*hub, F.col("members").isNotNull())
-        return rows.select(*hub, "low", "high", "label", *_REST).mapInArrow(_several_labels, GROUP + ", first int")
+        return rows.mapInArrow(_several_labels, "hub_low long, hub_high int, first int, members binary")
 
     def compared(found: DataFrame) -> DataFrame:
         # Their n-grams again, from the texts that are probably meant: only these are shuffled.
@@ -624,18 +616,14 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
         joined = components(tried.where("similar").select("u", "v")).select(F.col("id").alias("node"), "component")
         return sets.join(joined, "node", "left").withColumn("label", F.coalesce("component", "node"))
 
-    # A set first meets the sets of one of its hubs. That connects most of a cluster, and
-    # groups whose sets are connected need no more; the others meet in all of their hubs,
-    # those of chunks in tiles.
-    tried = compared(pairs(groups, first_hubs(groups), sets.withColumn("label", F.col("node")), True))
-    now = cut_lineage(labelled(tried))
-    later = undecided(groups.where("chunk IS NULL"), now).select(*hub, "first", "members")
-    tiles = _tiles(groups.where("chunk IS NOT NULL"), now).select(*hub, "first", "members")
-    later = cut_lineage(later.unionByName(tiles))
-    if not later.isEmpty():
-        # A set goes to a hub once, however many groups of the hub it is in.
-        tried = tried.unionByName(compared(pairs(later, members_of(later).distinct(), now, True)))
-        groups = groups.select(*later.columns).unionByName(later.where(F.col("hub_high") == TILE_HUB))
+    tried = compared(pairs(groups, sets.withColumn("label", F.col("node")), True))
+    chunks = groups.where("chunk IS NOT NULL")
+    if not chunks.isEmpty():
+        now = cut_lineage(labelled(tried))
+        tiles = cut_lineage(_tiles(chunks, now))
+        if not tiles.isEmpty():
+            tried = tried.unionByName(compared(pairs(tiles, now, True)))
+            groups = groups.select(*tiles.columns).unionByName(tiles)
     links = tried.where("similar").select("u", "v")
     failed = tried.where("NOT similar")
     if failed.isEmpty():
@@ -644,8 +632,10 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
     doubtful = failed.select(F.col("u").alias("node")).unionByName(failed.select(F.col("v").alias("node"))).distinct()
     doubtful = sets.select("low", "high", "node").join(doubtful, "node", "left_semi").select("low", "high")
     again = members_of(groups).join(doubtful, ["low", "high"], "left_semi").select(*hub).distinct()
-    rest = cut_lineage(groups.join(again, hub, "left_semi"))
-    more = compared(pairs(rest, members_of(rest).distinct(), labelled(tried), False))
+    # Of their hubs' groups, those whose sets are not all connected by now.
+    now = cut_lineage(labelled(tried))
+    rest = cut_lineage(undecided(groups.join(again, hub, "left_semi"), now))
+    more = compared(pairs(rest, now, False))
     return links.unionByName(more.where("similar").select("u", "v"))
 
 
@@ -701,50 +691,34 @@ def _chunk_members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             )
 
 
-def _members(batches: Iterator[pa.RecordBatch], most: int | None = None) -> Iterator[pa.RecordBatch]:
-    """From groups (hub, members): hub and key of every member, or of the first ``most``."""
+def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From groups (hub, members): hub and key of every member."""
     for batch in batches:
         for at in range(0, batch.num_rows, 200):
             part = batch.slice(at, 200)
-            blobs = [blob[: most and 10 * most] for blob in part.column(2).to_pylist()]
+            blobs = part.column(2).to_pylist()
             keys = np.frombuffer(b"".join(blobs), _KEY)
             count = [len(b) // 10 for b in blobs]
             hubs = [pa.array(np.repeat(part.column(k).to_numpy(), count)) for k in range(2)]
             yield pa.RecordBatch.from_arrays([*hubs, *_key_columns(keys)], ["hub_low", "hub_high", "low", "high"])
 
 
-def _leading(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From chunks (hub, members): hub and key of the leaders, which are in front."""
-    return _members(batches, _leaders())
-
-
-# Columns of a group besides its hub.
-_REST = ["first_low", "first_high", "bucket", "chunk", "members", "first"]
-
-
-def _nulls(like: DataFrame, names: list[str]) -> list[Column]:
-    return [F.lit(None).cast(like.schema[name].dataType).alias(name) for name in names]
-
-
 def _several_labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """From rows (hub, set and label or group) sorted by hub, sets first: groups of several labels."""
     at, labels = None, {}
-    place = 5 + _REST.index("members")
     for batch in batches:
         kept = []
-        blobs = batch.column(place).to_pylist()
-        sets = zip(*(batch.column(k).to_pylist() for k in range(5)))
-        for i, (hub_low, hub_high, low, high, label) in enumerate(sets):
+        rows = zip(*(batch.column(k).to_pylist() for k in (0, 1, 2, 3, 4, 6)))
+        for i, (hub_low, hub_high, low, high, label, members) in enumerate(rows):
             if (hub_low, hub_high) != at:
                 at, labels = (hub_low, hub_high), {}
-            members = blobs[i]
             if members is None:
                 labels[low.to_bytes(8, "little", signed=True) + high.to_bytes(2, "little")] = label
             elif len({labels[members[k : k + 10]] for k in range(0, len(members), 10)}) > 1:
                 kept.append(i)
         if kept:
             chosen = batch.take(pa.array(kept))
-            names = ["hub_low", "hub_high", *_REST]
+            names = ["hub_low", "hub_high", "first", "members"]
             yield pa.RecordBatch.from_arrays([chosen.column(n) for n in names], names)
 
 
