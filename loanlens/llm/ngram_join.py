@@ -11,12 +11,13 @@ Sets that share a signature are first compared by sketches: one bit for each of
 times as many places as the set has n-grams, set by the parity of the n-grams there. Two
 sketches differ in no more places than the sets differ in n-grams, so no similar pair is
 dismissed. Of the pairs left, a forest that connects the sets of a signature is compared
-exactly. Where such a pair fails, all pairs of its signatures that are not connected by
-then are compared exactly too. So every similar pair is linked or connected by links.
+exactly. A pair that a forest leaves out is connected by pairs that were tried. Where one of
+those fails, the sets that tried pairs connect and similar ones don't are compared with each
+other too, as far as they share signatures. So every similar pair is linked or connected.
 
 A signature of many sets is cut into chunks. Each is first compared in itself and with a few
 leaders of the signature, which takes one row per set and signature. Only sets that are not
-connected to the largest component by then meet the sets of other chunks.
+connected to the largest component by then meet all others of the signature, in tiles.
 
 A subset that holds no n-gram of a set says little, and many sets share it. There are
 e first-level parts more than needed, so that similar sets agree in e + 1 of them; a set
@@ -471,6 +472,7 @@ def _filter_of(ids: DataFrame) -> np.ndarray:
     return out
 
 
+_LEFT = [("hub_low", pa.int64()), ("hub_high", pa.int32()), ("first", pa.int32()), ("members", pa.binary())]
 _SET = [("low", pa.int64()), ("high", pa.int32()), ("grams", pa.binary())]
 _PAIR = [("low_a", pa.int64()), ("high_a", pa.int32()), ("u", pa.int64())]
 _PAIR += [("low_b", pa.int64()), ("high_b", pa.int32()), ("v", pa.int64())]
@@ -582,18 +584,21 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
         rows = rows.repartition(*hub).sortWithinPartitions(*hub, F.col("members").isNotNull(), "members", "high", "low")
         return cut_lineage(rows.mapInArrow(_candidates_of(measure, forest), PAIR).distinct())
 
-    def undecided(groups: DataFrame, labelled: DataFrame) -> DataFrame:
-        """Groups whose sets have several labels. Only labels travel, no sketches: every set
-        meets its label once, with its hubs in one row."""
-        hubs = members_of(groups).groupBy("low", "high").agg(F.collect_set(F.struct(*hub)).alias("hubs"))
-        marked = hubs.join(labelled.select("low", "high", "label"), ["low", "high"])
-        marked = marked.select(
-            F.inline("hubs"), "low", "high", "label", F.lit(None).cast("int").alias("first"), F.lit(None).cast("binary").alias("members")
-        )
-        none = [F.lit(None).cast(marked.schema[c].dataType).alias(c) for c in ("low", "high", "label")]
-        rows = marked.unionByName(groups.select(*hub, *none, "first", "members"))
-        rows = rows.repartition(*hub).sortWithinPartitions(*hub, F.col("members").isNotNull())
-        return rows.mapInArrow(_several_labels, "hub_low long, hub_high int, first int, members binary")
+    def undecided(groups: DataFrame, mixed: DataFrame) -> DataFrame:
+        """What is left to compare of groups: their sets of classes with several labels there.
+
+        Only labels travel, no sketches: every set of ``mixed`` meets its label once, with its
+        hubs in one row.
+        """
+        members = members_of(groups).join(mixed.select("low", "high"), ["low", "high"], "left_semi")
+        hubs = members.groupBy("low", "high").agg(F.collect_set(F.struct(*hub)).alias("hubs"))
+        marked = hubs.join(mixed.select("low", "high", "label", "class"), ["low", "high"])
+        marked = cut_lineage(marked.select(F.inline("hubs"), "low", "high", "label", "class"))
+        groups = groups.join(marked.select(*hub).distinct(), hub, "left_semi")
+        rows = marked.unionByName(groups, allowMissingColumns=True)
+        rows = rows.repartition(*hub).sortWithinPartitions(*hub, F.col("members").isNotNull(), "members")
+        rows = rows.select(*hub, "low", "high", "label", "class", "first", "members")
+        return rows.mapInArrow(_left_to_compare, "hub_low long, hub_high int, first int, members binary")
 
     def compared(found: DataFrame) -> DataFrame:
         # Their n-grams again, from the texts that are probably meant: only these are shuffled.
@@ -618,24 +623,27 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
 
     tried = compared(pairs(groups, sets.withColumn("label", F.col("node")), True))
     chunks = groups.where("chunk IS NOT NULL")
+    # Chunks are compared once: a pair of theirs with different labels is in a tile too.
+    groups = groups.where("chunk IS NULL").select(*hub, "first", "members")
     if not chunks.isEmpty():
         now = cut_lineage(labelled(tried))
         tiles = cut_lineage(_tiles(chunks, now))
         if not tiles.isEmpty():
             tried = tried.unionByName(compared(pairs(tiles, now, True)))
-            groups = groups.select(*tiles.columns).unionByName(tiles)
+            groups = groups.unionByName(tiles)
     links = tried.where("similar").select("u", "v")
-    failed = tried.where("NOT similar")
+    failed = tried.where("NOT similar").select("u", "v")
     if failed.isEmpty():
         return links
-    # Groups that hold a set of a failed pair.
-    doubtful = failed.select(F.col("u").alias("node")).unionByName(failed.select(F.col("v").alias("node"))).distinct()
-    doubtful = sets.select("low", "high", "node").join(doubtful, "node", "left_semi").select("low", "high")
-    again = members_of(groups).join(doubtful, ["low", "high"], "left_semi").select(*hub).distinct()
-    # Of their hubs' groups, those whose sets are not all connected by now.
+    # Classes of labels that pairs tried in vain connect.
     now = cut_lineage(labelled(tried))
-    rest = cut_lineage(undecided(groups.join(again, hub, "left_semi"), now))
-    more = compared(pairs(rest, now, False))
+    label = now.select("node", "label")
+    across = failed.join(label.toDF("u", "label_u"), "u").join(label.toDF("v", "label_v"), "v")
+    classes = components(across.select(F.col("label_u").alias("u"), F.col("label_v").alias("v")))
+    classes = cut_lineage(classes.select(F.col("id").alias("label"), F.col("component").alias("class")))
+    mixed = now.join(classes, "label")
+    rest = cut_lineage(undecided(groups, mixed))
+    more = compared(pairs(rest, mixed, False))
     return links.unionByName(more.where("similar").select("u", "v"))
 
 
@@ -703,23 +711,33 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*hubs, *_key_columns(keys)], ["hub_low", "hub_high", "low", "high"])
 
 
-def _several_labels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows (hub, set and label or group) sorted by hub, sets first: groups of several labels."""
-    at, labels = None, {}
+def _left_to_compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows (hub, set, label and class or group) sorted by hub, sets first: groups of the
+    sets whose class has several labels in a group, each once per hub."""
+    at, sets, met = None, {}, set()
     for batch in batches:
         kept = []
-        rows = zip(*(batch.column(k).to_pylist() for k in (0, 1, 2, 3, 4, 6)))
-        for i, (hub_low, hub_high, low, high, label, members) in enumerate(rows):
-            if (hub_low, hub_high) != at:
-                at, labels = (hub_low, hub_high), {}
+        for low, high, *own, label, kind, first, members in zip(*(c.to_pylist() for c in batch.columns)):
+            if (low, high) != at:
+                at, sets, met = (low, high), {}, set()
             if members is None:
-                labels[low.to_bytes(8, "little", signed=True) + high.to_bytes(2, "little")] = label
-            elif len({labels[members[k : k + 10]] for k in range(0, len(members), 10)}) > 1:
-                kept.append(i)
+                key = own[0].to_bytes(8, "little", signed=True) + own[1].to_bytes(2, "little")
+                sets[key] = kind, label
+                continue
+            keys = [members[k : k + 10] for k in range(0, len(members), 10)]
+            labels: dict[int, set] = {}
+            for key in keys:
+                if key in sets:
+                    labels.setdefault(sets[key][0], set()).add(sets[key][1])
+            places = [i for i, key in enumerate(keys) if key in sets and len(labels[sets[key][0]]) > 1]
+            if first is not None:
+                first = bisect_left(places, first)
+            left = b"".join(keys[i] for i in places)
+            if left and first != 0 and (first, left) not in met:
+                met.add((first, left))
+                kept.append((low, high, first, left))
         if kept:
-            chosen = batch.take(pa.array(kept))
-            names = ["hub_low", "hub_high", "first", "members"]
-            yield pa.RecordBatch.from_arrays([chosen.column(n) for n in names], names)
+            yield _batch(kept, _LEFT)
 
 
 def ngram_join(
