@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import sys
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,9 @@ from loanlens.session import checkpoint_folder, cut_lineage
 __all__ = [
     "checkpoint_folder",
     "cut_lineage",
+    "free_memory",
     "free_name",
+    "frugal",
     "mix",
     "named",
     "read_table",
@@ -49,6 +53,34 @@ def named(df: DataFrame) -> list[Column]:
     return [F.col(f"`{c}`") for c in df.columns]
 
 
+# The module that holds what the tasks of a Python worker keep for the next ones.
+WORKER_STATE = "_loanlens_worker"
+
+
+def free_memory(tables: bool = True) -> None:
+    """Gives freed memory back to the system: a worker lives on, beside others, after its task.
+
+    With ``tables`` also what earlier tasks of other operators keep in this worker.
+    """
+    if tables:
+        sys.modules.pop(WORKER_STATE, None)
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not in every C library
+    if trim is not None:
+        trim(0)
+
+
+def frugal(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for mapInArrow, which frees memory before and after a task."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_memory()
+        yield from run(batches)
+        free_memory()
+
+    return task
+
+
 def text_or_empty(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import cut_lineage, free_name, mix, row_ranges, text_buffer
+from loanlens.llm.common import cut_lineage, free_name, frugal, mix, row_ranges, text_buffer
 from loanlens.llm.graph import components
 
 # Bits of the filter of ids whose texts are read again: 2 MB, sent to every task.
@@ -558,11 +558,11 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
     ``sets`` has one row per distinct set: low, high (the key), node (an id), n, sketch.
     """
     texts = df.where(F.col(id_col).isNotNull()).select(F.col(text_col).cast("string").alias("text"))
-    rows = texts.mapInArrow(_signatures_of(measure), "sig long, low long")
+    rows = texts.mapInArrow(frugal(_signatures_of(measure)), "sig long, low long")
     groups = (
         rows.repartition(F.shiftright("sig", 16))
         .sortWithinPartitions("sig", "low")
-        .mapInArrow(_groups, GROUP)
+        .mapInArrow(frugal(_groups), GROUP)
         .dropDuplicates(["bucket", "members"])
     )
     groups = cut_lineage(groups.withColumn("first", F.lit(None).cast("int")))
@@ -570,7 +570,7 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
 
     def members_of(groups: DataFrame) -> DataFrame:
         packed = groups.select(*hub, "members")
-        return packed.mapInArrow(_members, "hub_low long, hub_high int, low long, high int")
+        return packed.mapInArrow(frugal(_members), "hub_low long, hub_high int, low long, high int")
 
     def pairs(groups: DataFrame, labelled: DataFrame, forest: bool) -> DataFrame:
         # A set goes to a hub once, however many groups of the hub it is in.
@@ -582,7 +582,7 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
         nulls = [F.lit(None).cast(labelled.schema[c].dataType).alias(c) for c in own]
         rows = rows.unionByName(groups.select(*hub, *nulls, "first", "members"))
         rows = rows.repartition(*hub).sortWithinPartitions(*hub, F.col("members").isNotNull(), "members", "high", "low")
-        return cut_lineage(rows.mapInArrow(_candidates_of(measure, forest), PAIR).distinct())
+        return cut_lineage(rows.mapInArrow(frugal(_candidates_of(measure, forest)), PAIR).distinct())
 
     def undecided(groups: DataFrame, mixed: DataFrame) -> DataFrame:
         """What is left to compare of groups: their sets of classes with several labels there.
@@ -598,7 +598,7 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
         rows = marked.unionByName(groups, allowMissingColumns=True)
         rows = rows.repartition(*hub).sortWithinPartitions(*hub, F.col("members").isNotNull(), "members")
         rows = rows.select(*hub, "low", "high", "label", "class", "first", "members")
-        return rows.mapInArrow(_left_to_compare, "hub_low long, hub_high int, first int, members binary")
+        return rows.mapInArrow(frugal(_left_to_compare), "hub_low long, hub_high int, first int, members binary")
 
     def compared(found: DataFrame) -> DataFrame:
         # Their n-grams again, from the texts that are probably meant: only these are shuffled.
@@ -607,13 +607,13 @@ def set_links(df: DataFrame, sets: DataFrame, measure: Measure, id_col: str, tex
         texts = df.where(F.col(id_col).isNotNull()).select(
             F.xxhash64(F.col(id_col).cast("long")), F.col(text_col).cast("string").alias("text")
         )
-        grams = texts.mapInArrow(_sets_of(measure, wanted), "low long, high int, grams binary")
+        grams = texts.mapInArrow(frugal(_sets_of(measure, wanted)), "low long, high int, grams binary")
         grams = cut_lineage(grams.dropDuplicates(["low", "high"]))
         a = grams.toDF("low_a", "high_a", "ga")
         b = grams.toDF("low_b", "high_b", "gb")
         both = found.join(a, ["low_a", "high_a"]).join(b, ["low_b", "high_b"])
         return cut_lineage(
-            both.select("u", "v", "ga", "gb").mapInArrow(_compared_of(measure), "u long, v long, similar boolean")
+            both.select("u", "v", "ga", "gb").mapInArrow(frugal(_compared_of(measure)), "u long, v long, similar boolean")
         )
 
     def labelled(tried: DataFrame) -> DataFrame:
@@ -656,7 +656,7 @@ def _tiles(chunks: DataFrame, labelled: DataFrame) -> DataFrame:
     different labels has one outside, so it is in a chunk or in a tile.
     """
     packed = chunks.select("first_low", "first_high", "chunk", "members")
-    keys = packed.mapInArrow(_chunk_members, "first_low long, first_high int, low long, high int, key binary")
+    keys = packed.mapInArrow(frugal(_chunk_members), "first_low long, first_high int, low long, high int, key binary")
     same = ["first_low", "first_high"]
     rows = keys.distinct().join(labelled.select("low", "high", "label"), ["low", "high"]).drop("low", "high")
     rows = cut_lineage(rows)
@@ -755,7 +755,7 @@ def ngram_join(
     """
     ids = F.col(id_col).cast("long").alias("id")
     texts = df.select(ids, F.col(text_col).cast("string").alias("text"))
-    keys = cut_lineage(texts.mapInArrow(_keys_of(measure), "id long, n long, low long, high int, sketch binary"))
+    keys = cut_lineage(texts.mapInArrow(frugal(_keys_of(measure)), "id long, n long, low long, high int, sketch binary"))
     named = keys.where("id IS NOT NULL AND n > 0")
     sets = named.groupBy("low", "high").agg(
         F.min("id").alias("node"), F.first("n").alias("n"), F.first("sketch").alias("sketch")

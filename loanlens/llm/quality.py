@@ -20,7 +20,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import cut_lineage, free_name, named, row_ranges, text_buffer
+from loanlens.llm.common import cut_lineage, free_memory, free_name, named, row_ranges, text_buffer
 from loanlens.llm.ngram_join import word_hashes
 from loanlens.operators.trees import node_table
 
@@ -123,6 +123,7 @@ def statistics_of(text_col: str) -> Column:
     @F.arrow_udf("struct<" + ", ".join(f"{s}: double" for s in STATISTICS) + ">")
     def found(text: pa.Array) -> pa.Array:
         rows = np.array(list(text_statistics(text))).reshape(-1, len(STATISTICS))
+        free_memory()
         return pa.StructArray.from_arrays([pa.array(c) for c in np.ascontiguousarray(rows.T)], STATISTICS)
 
     return found(F.col(text_col).cast("string"))

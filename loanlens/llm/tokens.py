@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from tokenizers import Tokenizer
 
-from loanlens.llm.common import row_ranges, text_buffer
+from loanlens.llm.common import WORKER_STATE, free_memory, row_ranges, text_buffer
 
 # White space and control characters. A space before one of these, or at the end, is odd;
 # any other space begins a piece.
@@ -193,7 +193,7 @@ class Encoder:
 
 def _encoder(path: str) -> Encoder:
     """The encoder of this Python worker, which keeps its table for the next task."""
-    state = sys.modules.setdefault("_loanlens_worker", ModuleType("_loanlens_worker")).__dict__
+    state = sys.modules.setdefault(WORKER_STATE, ModuleType(WORKER_STATE)).__dict__
     if path not in state:
         state[path] = Encoder(path)
     return state[path]
@@ -216,3 +216,4 @@ def encoded(
                 ids = np.insert(ids, np.repeat(ends, len(tail)), np.tile(tail, len(ends)))
                 ends = ends + len(tail) * np.arange(1, len(ends) + 1)
             yield batch.slice(a, b - a), ids, np.r_[0, ends].tolist()
+        free_memory(tables=False)
