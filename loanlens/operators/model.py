@@ -46,13 +46,18 @@ class TrainedModel:
         probability = vector_to_array(F.col("probability"))[1]
         return out.withColumn(name, probability).drop(*[c for c in added if c != name])
 
-    def add_attributions(self, df: DataFrame, name: str = ATTRIBUTIONS) -> DataFrame:
-        """Attribution per feature: log-odds, or probability for a forest."""
+    def add_attributions(
+        self, df: DataFrame, name: str = ATTRIBUTIONS, trees: DataFrame | None = None
+    ) -> DataFrame:
+        """Attribution per feature: log-odds, or probability for a forest.
+
+        ``trees`` are the classifier's packed trees, for a caller who has them already.
+        """
         if isinstance(self.classifier, LogisticRegressionModel):
             weights = dict(zip(self.features, self._raw_coefficients()))
             means = {f: self.background.get(f, 0.0) for f in self.features}
             return df.withColumn(name, linear_attributions(df, weights, means))
-        return add_tree_attributions(df, self.classifier, self.features, name, self._scales())
+        return add_tree_attributions(df, self.classifier, self.features, name, self._scales(), trees)
 
     def _scales(self) -> list[float]:
         """What each feature is divided by before it reaches the classifier."""

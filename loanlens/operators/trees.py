@@ -8,10 +8,12 @@ known feature i is inside its interval (o = 1) or not (o = 0). A leaf worth v gi
                     s_i (1 - t) + o_i t
 
 The product is a polynomial in t whose degree is below the depth, so a Gauss-Legendre rule
-with half as many nodes as the depth integrates it exactly. The products are carried down
-the trees level by level, all edges of a level and a block of rows at once, and sums over
-leaves are carried up again; an edge that meets a feature for a second time takes the
-earlier factor out. No step visits a single leaf.
+with half as many nodes as the depth integrates it exactly. A row enters only through the
+conditions that it meets. So the rows of a batch are grouped, for every small subtree at the
+bottom of a tree, by the conditions on the way to it and its own splits, and the values are
+worked out once per combination that occurs: products are carried down from its root, sums
+over leaves up again; an edge that meets a feature for a second time takes the earlier
+factor out. A row only looks its combination up.
 
 The ensemble is a table of nodes that Spark ML writes with the model. Executors turn each
 tree into arrays of edges; these are shipped to the tasks in pieces of a checked size; the
@@ -37,8 +39,10 @@ from loanlens.session import checkpoint_folder, cut_lineage
 
 # Edges sent with one pass over the rows; larger ensembles take several passes.
 MAX_PASS_BYTES = 64 << 20
-# Edges (whole trees) and rows that are worked on at once.
-BLOCK_EDGES, BLOCK_ROWS = 4096, 64
+# Splits of the subtrees whose rows are grouped by the conditions that they meet.
+CHUNK_SPLITS = 4
+# Up to so many conditions, combinations are numbered through a table instead of by sorting.
+TABLE_BITS = 16
 
 
 class Level(NamedTuple):
@@ -158,19 +162,25 @@ def base_value(trees: DataFrame) -> float:
 # --- Shapley values ------------------------------------------------------------
 
 
-def _merged(trees: list[list[bytes]]) -> list[Level]:
-    """Levels of several trees side by side; the root of tree i is node i of level 0."""
-    levels, before = [], [1] * len(trees)
-    for depth in range(max(map(len, trees))):
-        parts, start, width = [], 0, []
-        for tree, above in zip(trees, before):
-            edges = np.frombuffer(tree[depth], _EDGE) if depth < len(tree) else np.zeros(0, _EDGE)
-            parts.append([edges["parent"].astype(np.int64) + start, *(edges[f] for f in Level._fields[1:])])
-            start += above
-            width.append(len(edges))
-        levels.append(Level(*map(np.concatenate, zip(*parts))))
-        before = width
-    return levels
+class _Chunk(NamedTuple):
+    """Rows told apart by the conditions above a small subtree and by its own splits.
+
+    ``codes`` holds each combination that occurs, ``place`` the combination of every row.
+    """
+
+    codes: np.ndarray
+    place: np.ndarray
+
+
+def _combinations(key: np.ndarray, bits: int) -> _Chunk:
+    if bits > TABLE_BITS:
+        return _Chunk(*np.unique(key, return_inverse=True))
+    seen = np.zeros(1 << bits, bool)
+    seen[key] = True
+    codes = np.flatnonzero(seen)
+    number = np.empty(1 << bits, np.intp)
+    number[codes] = np.arange(len(codes))
+    return _Chunk(codes, number.take(key))
 
 
 def _tables(level: Level, t: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -183,52 +193,115 @@ def _tables(level: Level, t: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.
     ratio = np.divide(factor, old, out=np.zeros_like(factor), where=old > 0)
     gain = np.divide(now - share, factor, out=np.zeros_like(factor), where=factor > 0)
     gain -= np.divide(then - before, old, out=np.zeros_like(factor), where=old > 0)
-    return ratio.reshape(-1, len(t)), (gain * w).reshape(-1, len(t))
+    return ratio, gain * w
 
 
 def shapley(trees: list[list[bytes]], x: np.ndarray) -> np.ndarray:
     """Shapley values, rows by features, of the sum of the trees."""
-    out = np.zeros_like(x, dtype=float)
-    trees = sorted((t for t in trees if t), key=len)
-    block: list[list[bytes]] = []
-    for i, tree in enumerate(trees):
-        block.append(tree)
-        size = sum(len(edges) for t in block for edges in t) // _EDGE.itemsize
-        if size >= BLOCK_EDGES or i + 1 == len(trees):
-            _add_block(block, x, out)
-            block = []
-    return out
-
-
-def _add_block(trees: list[list[bytes]], x: np.ndarray, out: np.ndarray) -> None:
-    levels = _merged(trees)
-    t, w = np.polynomial.legendre.leggauss((len(levels) + 1) // 2)
-    t, w = (t + 1) / 2, w / 2
-    tables = [_tables(level, t, w) for level in levels]
-    order = [np.argsort(level.feature, kind="stable") for level in levels]
-    firsts = [np.unique(level.feature[o], return_index=True) for level, o in zip(levels, order)]
-    for start in range(0, len(x), BLOCK_ROWS):
-        rows = x[start : start + BLOCK_ROWS]
-        product = np.ones((len(rows), len(trees), len(t)))
-        down = []
-        for level, (ratio, _) in zip(levels, tables):
-            values = rows[:, level.feature]
-            kind = ((values > level.low) & (values <= level.high)).astype(np.intp)
-            kind += (values > level.before_low) & (values <= level.before_high)
-            kind += 3 * np.arange(len(level.parent))
-            product = product[:, level.parent] * ratio[kind]
-            down.append((kind, product))
-        below = None
-        for depth in reversed(range(len(levels))):
-            level, (kind, product) = levels[depth], down[depth]
-            product *= level.value[:, None]
-            if below is not None:
-                # Children come in pairs; their parents have no value of their own.
-                product[:, levels[depth + 1].parent[::2]] = below[:, ::2] + below[:, 1::2]
-            below = product
-            gains = np.einsum("rnq,rnq->rn", below, tables[depth][1][kind])
-            names, first = firsts[depth]
-            out[start : start + BLOCK_ROWS, names] += np.add.reduceat(gains[:, order[depth]], first, axis=1)
+    columns = np.ascontiguousarray(x.T, dtype=float)
+    out = np.zeros_like(columns)
+    for tree in trees:
+        if tree and len(x):
+            _TreeValues(tree, columns, out).add()
+    return out.T
+
+
+class _TreeValues:
+    """Adds the Shapley values of one tree to ``out``; ``x`` and ``out`` are features by rows."""
+
+    def __init__(self, tree: list[bytes], x: np.ndarray, out: np.ndarray) -> None:
+        edges = [np.frombuffer(level, _EDGE) for level in tree]
+        levels = [Level(*(e[f] for f in Level._fields)) for e in edges]
+        self.x, self.out = x, out
+        t, w = np.polynomial.legendre.leggauss((len(levels) + 1) // 2)
+        self.t, self.w = (t + 1) / 2, w / 2
+        tables = [_tables(level, self.t, self.w) for level in levels]
+        # Node 0 is the root; the others are numbered along the levels, children in pairs.
+        start = np.cumsum([1, *map(len, edges)])
+        above = [np.zeros(1, np.int64), *(s + np.arange(len(e)) for s, e in zip(start, edges))]
+        parent = np.concatenate([np.zeros(1, np.int64), *(a[e["parent"]] for a, e in zip(above, edges))])
+        self.ratio, self.gain = (np.concatenate([t[i] for t in tables]) for i in (0, 1))
+        self.value = [0.0, *np.concatenate([e["value"] for e in edges]).tolist()]
+        self.share = [1.0, *np.concatenate([e["share"] for e in edges]).tolist()]
+        first = np.zeros(start[-1], np.int64)
+        pairs = np.arange(1, start[-1], 2)
+        first[parent[pairs]] = pairs
+        splits = (first > 0).astype(np.int64)
+        for node in range(start[-1] - 1, 0, -1):
+            splits[parent[node]] += splits[node]
+        self.first, self.splits = first.tolist(), splits.tolist()
+        # The right child's interval starts at the threshold, or above it if that cuts nothing off.
+        feature, low = (np.concatenate([e[f] for e in edges]) for f in ("feature", "low"))
+        self.feature = np.where(first > 0, feature[first - 1], -1).tolist()
+        self.cut = np.where(first > 0, low[np.minimum(first, len(low) - 1)], 0.0).tolist()
+
+    def add(self) -> None:
+        """Down the tree: bit i of a row's key says that it meets all conditions on feature i of the path."""
+        todo = [(0, np.zeros(self.x.shape[1], np.int64), {}, {})]
+        while todo:
+            node, key, bit, share = todo.pop()
+            if self.splits[node] <= CHUNK_SPLITS:
+                self._add_chunk(node, key, bit, share)
+                continue
+            feature, child = self.feature[node], self.first[node]
+            is_left = self.x[feature] <= self.cut[node]
+            known = bit.get(feature)
+            for down, stays in ((child, is_left), (child + 1, ~is_left)):
+                if known is None:
+                    new = key | (stays.astype(np.int64) << len(bit))
+                else:
+                    new = key & (stays.astype(np.int64) << known | ~(1 << known))
+                todo.append((down, new, bit | {feature: bit.get(feature, len(bit))}, share | {feature: self.share[down]}))
+
+    def _add_chunk(self, root: int, key: np.ndarray, bit: dict[int, int], share: dict[int, float]) -> None:
+        nodes, inner = [root], {}
+        for node in nodes:
+            if self.first[node]:
+                inner[node] = len(bit) + len(inner)
+                nodes += [self.first[node], self.first[node] + 1]
+        if inner:
+            key = key.copy()
+        for node, place in inner.items():
+            key |= (self.x[self.feature[node]] <= self.cut[node]).astype(np.int64) << place
+        codes, place = _combinations(key, len(bit) + len(inner))
+        # Factors and gains of the path's features; those of features not met any more are 1 and 0.
+        met = {f: (codes >> i & 1).astype(np.intp) for f, i in bit.items()}
+        s, o = np.array(list(share.values()))[:, None, None], np.array([0.0, 1.0])[:, None]
+        factor = s * (1 - self.t) + o * self.t
+        gain = np.divide(self.w * (o - s), factor, out=np.zeros_like(factor), where=factor > 0)
+        product = np.ones((len(codes), len(self.t)))
+        for i in range(0, len(share), 3):
+            eight = np.ones((1, len(self.t)))
+            for two in factor[i : i + 3]:
+                eight = (two[:, None] * eight).reshape(-1, len(self.t))
+            product *= eight.take(codes >> i & len(eight) - 1, axis=0)
+        found: dict[int, np.ndarray] = {}
+
+        def below(node: int, product: np.ndarray, met: dict[int, np.ndarray]) -> np.ndarray:
+            """Sum over the leaves under a node; what the edges on the way give their features is found."""
+            child = self.first[node]
+            if not child:
+                return self.value[node] * product
+            feature = self.feature[node]
+            is_left, then = codes >> inner[node] & 1, met.get(feature, 1)
+            total = 0.0
+            for down, stays in ((child, is_left), (child + 1, 1 - is_left)):
+                now = then & stays
+                kind = then + now
+                part = below(down, product * self.ratio[down - 1].take(kind, axis=0), met | {feature: now})
+                gained = np.einsum("rq,rq->r", part, self.gain[down - 1].take(kind, axis=0))
+                found[feature] = found.get(feature, 0.0) + gained
+                total = total + part
+            return total
+
+        whole = below(root, product, met)
+        if share:
+            sums = (whole @ gain.reshape(-1, len(self.t)).T).reshape(len(codes), -1, 2)
+            for i, feature in enumerate(bit):
+                own = np.where(met[feature], sums[:, i, 1], sums[:, i, 0])
+                found[feature] = found.get(feature, 0.0) + own
+        for feature, values in found.items():
+            self.out[feature] += values.take(place)
 
 
 # --- As a column -----------------------------------------------------------------
@@ -268,16 +341,18 @@ def add_tree_attributions(
     features: list[str],
     name: str = "attributions",
     scales: list[float] | None = None,
+    trees: DataFrame | None = None,
 ) -> DataFrame:
     """Add an array of Shapley values in feature order: log-odds for boosted trees,
     probability for a forest. Together with the base value they sum to the margin. Features
-    are divided by ``scales`` before they meet the trees."""
+    are divided by ``scales`` before they meet the trees. ``trees`` are those of
+    :func:`packed_trees`, if they are at hand."""
     # A scaler makes 0 of a feature that does not vary.
     scales = scales or [1.0] * len(features)
     values = zip(features, scales)
     x = F.array(*[col(f).cast("double") / s if s else F.lit(0.0) for f, s in values])
     total = F.array(*[F.lit(0.0) for _ in features])
-    trees = packed_trees(model)
+    trees = packed_trees(model) if trees is None else trees
     sizes = [tuple(r) for r in trees.select("tree", "bytes").orderBy("tree").collect()]
     for first, last in _passes(sizes):
         piece = trees.where(F.col("tree").between(first, last)).select("edges").collect()

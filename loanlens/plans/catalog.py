@@ -648,8 +648,9 @@ def ml_tree_attrib(spark: SparkSession, sf: str, cfg: Config = VIEW_CONFIG) -> D
 def ml_tree_additive(spark: SparkSession, sf: str, cfg: Config = VIEW_CONFIG) -> DataFrame:
     """Per loan, whether base value and attributions of a forest add up to its probability."""
     model, rows = _forest(spark, sf, cfg)
-    found = model.add_attributions(model.add_probability(rows))
-    total = F.aggregate(ATTRIBUTIONS, F.lit(base_value(packed_trees(model.classifier))), lambda a, v: a + v)
+    trees = packed_trees(model.classifier)
+    found = model.add_attributions(model.add_probability(rows), trees=trees)
+    total = F.aggregate(ATTRIBUTIONS, F.lit(base_value(trees)), lambda a, v: a + v)
     return found.select(
         LOAN_ID,
         F.size(ATTRIBUTIONS).alias("n_features"),
