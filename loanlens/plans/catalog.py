@@ -73,7 +73,7 @@ from loanlens.plans.features import (
     last_demographics,
 )
 from loanlens.plans.training import fit_candidate, prepare_xy, train
-from loanlens.session import checkpoint_folder, cut_lineage
+from loanlens.session import checkpoint_folder, cut_lineage, spread
 from loanlens.sources.borrowers import shape_nps
 from loanlens.sources.snapshots import infer_numeric, union_snapshots
 from loanlens.sources.tables import (
@@ -633,7 +633,7 @@ def train_score(spark: SparkSession, sf: str, cfg: Config = VIEW_CONFIG) -> Data
 def _forest(spark: SparkSession, sf: str, cfg: Config) -> tuple[TrainedModel, DataFrame]:
     """A forest fitted on all labelled loans, and their complete features."""
     rows, features, medians = prepare_xy(cut_lineage(_labelled(spark, sf)))
-    rows = cut_lineage(rows)
+    rows = cut_lineage(spread(rows))
     return fit_candidate(rows, features, "forest", cfg, medians), rows
 
 

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from loanlens.functions.values import col
+
+# Rows that are worth a task of their own, and the most that one gets.
+FEWEST_ROWS, MOST_ROWS = 2048, 65536
+
 
 def local_session(cores: int | str = "*", name: str = "loanlens") -> SparkSession:
     """A local session for tests and benchmarks; clusters bring their own."""
@@ -60,3 +66,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{checkpoint_folder(spark)}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Deal a small table over all cores, for steps whose work lies in the rows themselves.
+
+    A table of few bytes is read by one or two tasks, however long each row takes. Rows are
+    dealt and ordered by their values, so a task always meets the same ones in the same order.
+    """
+    rows = df.count()
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    tasks = max(min(cores, rows // FEWEST_ROWS), math.ceil(rows / MOST_ROWS))
+    if tasks <= 1:
+        return df
+    columns = [col(c) for c in df.columns]
+    return df.repartition(tasks, *columns).sortWithinPartitions(*columns)
