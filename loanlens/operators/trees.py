@@ -25,6 +25,7 @@ from __future__ import annotations
 import math
 import uuid
 from collections.abc import Callable, Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -39,6 +40,8 @@ from loanlens.session import checkpoint_folder, cut_lineage
 
 # Edges sent with one pass over the rows; larger ensembles take several passes.
 MAX_PASS_BYTES = 64 << 20
+# Nodes that Spark writes at once.
+MAX_WRITE_NODES = 1 << 16
 # Splits of the subtrees whose rows are grouped by the conditions that they meet.
 CHUNK_SPLITS = 4
 # Up to so many conditions, combinations are numbered through a table instead of by sorting.
@@ -63,11 +66,53 @@ class Level(NamedTuple):
     value: np.ndarray
 
 
-def node_table(model) -> DataFrame:
-    """Nodes of the ensemble: tree, id, children, split, value and training weight."""
+def _runs(sizes: list[tuple[int, int]], most: int) -> Iterator[tuple[int, int]]:
+    """First and last tree of runs that stay below a size together."""
+    first, last, total = None, None, 0
+    for tree, size in sizes:
+        if first is not None and total + size > most:
+            yield first, last
+            first, total = None, 0
+        first = tree if first is None else first
+        last, total = tree, total + size
+    if first is not None:
+        yield first, last
+
+
+def _written_nodes(model) -> DataFrame:
+    """The nodes as Spark writes them. It sends a model to a single task for that, so a large
+    ensemble is written as several smaller ones, which neither fill the driver nor a message."""
     spark = SparkSession.getActiveSession()
     path = f"{checkpoint_folder(spark)}/ensemble-{uuid.uuid4().hex}"
-    model.write().save(path)
+    if model.totalNumNodes <= MAX_WRITE_NODES:
+        model.write().save(path)
+        return spark.read.parquet(f"{path}/data")
+    whole, java, boosted = model._java_obj, spark._jvm, isinstance(model, GBTClassificationModel)
+    trees, weights = list(whole.trees()), list(whole.treeWeights())
+    ml = java.org.apache.spark.ml
+    kind = ml.regression.DecisionTreeRegressionModel if boosted else ml.classification.DecisionTreeClassificationModel
+    make = getattr(ml.classification, type(model).__name__)
+
+    def array(kind, values):
+        out = spark.sparkContext._gateway.new_array(kind, len(values))
+        for i, value in enumerate(values):
+            out[i] = value
+        return out
+
+    pieces = []
+    for first, last in _runs([(i, tree.numNodes()) for i, tree in enumerate(trees)], MAX_WRITE_NODES):
+        arrays = [array(kind, trees[first : last + 1])]
+        if boosted:
+            arrays.append(array(java.double, weights[first : last + 1]))
+        piece = make(whole.uid(), *arrays, whole.numFeatures(), whole.numClasses())
+        piece.save(f"{path}/{first}")
+        nodes = spark.read.parquet(f"{path}/{first}/data")
+        pieces.append(nodes.withColumn("treeID", F.col("treeID") + first))
+    return reduce(DataFrame.unionByName, pieces)
+
+
+def node_table(model) -> DataFrame:
+    """Nodes of the ensemble: tree, id, children, split, value and training weight."""
     node = F.col("nodeData")
     stats = node["impurityStats"]
     if isinstance(model, GBTClassificationModel):
@@ -76,7 +121,7 @@ def node_table(model) -> DataFrame:
         # Class weights of a classification node: good, bad.
         good, bad = F.get(stats, F.lit(0)), F.get(stats, F.lit(1))
         value, weight = F.try_divide(bad, good + bad), good + bad
-    return spark.read.parquet(f"{path}/data").select(
+    return _written_nodes(model).select(
         F.col("treeID").alias("tree"),
         node["id"].alias("id"),
         node["leftChild"].alias("left"),
@@ -307,19 +352,6 @@ class _TreeValues:
 # --- As a column -----------------------------------------------------------------
 
 
-def _passes(sizes: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
-    """First and last tree of pieces that stay below the size allowed per pass."""
-    first, last, total = None, None, 0
-    for tree, size in sizes:
-        if first is not None and total + size > MAX_PASS_BYTES:
-            yield first, last
-            first, total = None, 0
-        first = tree if first is None else first
-        last, total = tree, total + size
-    if first is not None:
-        yield first, last
-
-
 def attribution_udf(trees: list[list[bytes]]) -> Callable[[Column], Column]:
     """Shapley values of some trees as an Arrow-batched function.
 
@@ -354,7 +386,7 @@ def add_tree_attributions(
     total = F.array(*[F.lit(0.0) for _ in features])
     trees = packed_trees(model) if trees is None else trees
     sizes = [tuple(r) for r in trees.select("tree", "bytes").orderBy("tree").collect()]
-    for first, last in _passes(sizes):
+    for first, last in _runs(sizes, MAX_PASS_BYTES):
         piece = trees.where(F.col("tree").between(first, last)).select("edges").collect()
         edges = [[bytes(level) for level in r["edges"]] for r in piece]
         total = F.zip_with(total, attribution_udf(edges)(x), lambda a, b: a + b)

@@ -354,6 +354,20 @@ def test_packed_trees_are_made_once(spark, rows, monkeypatch):
     assert len(made) == 1
 
 
+@pytest.mark.parametrize("name", ["forest", "boosted_a"])
+def test_large_ensembles_are_written_in_pieces(spark, rows, monkeypatch, name):
+    """Spark sends the trees of one written model to one task; a large forest filled the driver."""
+    from loanlens.operators import trees
+
+    df, features, _ = rows
+    model = fit_candidate(df, features, name, CFG).classifier
+    whole = node_table(model)
+    monkeypatch.setattr(trees, "MAX_WRITE_NODES", 20)
+    pieces = node_table(model)
+    assert len(pieces.inputFiles()) > 2 > len(whole.inputFiles())
+    assert sorted(map(tuple, pieces.collect())) == sorted(map(tuple, whole.collect()))
+
+
 def test_large_ensembles_take_several_passes(rows, monkeypatch):
     df, features, _ = rows
     model = fit_candidate(df, features, "boosted_a", CFG)
