@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from loanlens.session import checkpoint_folder, cut_lineage
 
 __all__ = [
+    "bounded_batches",
     "checkpoint_folder",
     "cut_lineage",
     "free_memory",
@@ -32,11 +33,27 @@ __all__ = [
 # Bytes of text that are worked on at once in a task; one longer text is a piece of its own.
 CHUNK_BYTES = 256 << 10
 
+# Bytes of one batch that Python tasks get, a longer row aside. Spark's own limit of 10,000
+# rows holds texts of any size; such a batch is in memory several times on either side.
+BATCH_BYTES = 4 << 20
+BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df`` itself, for Python tasks: its session sends them batches of BATCH_BYTES from now on.
+
+    A limit that the session has been given stays.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(BATCH_LIMIT, None) is None:
+        conf.set(BATCH_LIMIT, str(BATCH_BYTES))
+    return df
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name`` with as many underscores in front as it takes to be no column of ``df``.
 

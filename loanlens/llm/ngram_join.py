@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import cut_lineage, free_name, frugal, mix, row_ranges, text_buffer
+from loanlens.llm.common import bounded_batches, cut_lineage, free_name, frugal, mix, row_ranges, text_buffer
 from loanlens.llm.graph import components
 
 # Bits of the filter of ids whose texts are read again: 2 MB, sent to every task.
@@ -754,7 +754,7 @@ def ngram_join(
     N-grams are compared by 64-bit hashes, whole sets of equal content by 80 bits.
     """
     ids = F.col(id_col).cast("long").alias("id")
-    texts = df.select(ids, F.col(text_col).cast("string").alias("text"))
+    texts = bounded_batches(df.select(ids, F.col(text_col).cast("string").alias("text")))
     keys = cut_lineage(texts.mapInArrow(frugal(_keys_of(measure)), "id long, n long, low long, high int, sketch binary"))
     named = keys.where("id IS NOT NULL AND n > 0")
     sets = named.groupBy("low", "high").agg(

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import cut_lineage
+from loanlens.llm.common import bounded_batches, cut_lineage
 from loanlens.llm.tokens import encoded
 
 # Pieces of one group, as expected.
@@ -98,7 +98,7 @@ def token_pieces(
             )
 
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, piece int, start long, length long, ids binary")
+    return bounded_batches(rows).mapInArrow(run, f"id {kind}, piece int, start long, length long, ids binary")
 
 
 def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.ndarray]:

@@ -20,7 +20,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import cut_lineage, free_memory, free_name, named, row_ranges, text_buffer
+from loanlens.llm.common import bounded_batches, cut_lineage, free_memory, free_name, named, row_ranges, text_buffer
 from loanlens.llm.ngram_join import word_hashes
 from loanlens.operators.trees import node_table
 
@@ -245,7 +245,7 @@ def _fit(
 
 def _statistics(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id`` and the statistics of every row, written."""
-    rows = docs.select(F.col(id_col).alias("id"), statistics_of(text_col).alias("s"))
+    rows = bounded_batches(docs).select(F.col(id_col).alias("id"), statistics_of(text_col).alias("s"))
     return cut_lineage(rows.select("id", "s.*"))
 
 

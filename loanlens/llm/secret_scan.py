@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import sha256_hex
+from loanlens.llm.common import bounded_batches, frugal, sha256_hex
 
 # Kinds in the order in which they are listed, and their patterns.
 KINDS = ("assign", "access", "hex", "guess")
@@ -226,7 +226,7 @@ def find_secrets(
                 )
 
     ddl = ", ".join(f"`{n}` {fields[n].dataType.simpleString()}" for n in wanted)
-    return df.select(*kept).mapInArrow(scan, f"{ddl}, secrets {SPANS}")
+    return bounded_batches(df.select(*kept)).mapInArrow(frugal(scan), f"{ddl}, secrets {SPANS}")
 
 
 def redact(
