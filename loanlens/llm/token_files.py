@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loanlens.llm.common import cut_lineage
+from loanlens.llm.common import bounded_batches, cut_lineage
 from loanlens.llm.shared_files import file_system, new_file, new_folder
 from loanlens.llm.tokens import encoded
 
@@ -148,7 +148,7 @@ def _token_rows(df: DataFrame, path: str, suffix_id: int, id_col: str, text_col:
 
     schema = pa.schema([("id", pa.int64()), ("ids", pa.binary()), ("counts", pa.binary())])
     rows = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "id long, ids binary, counts binary")
+    return bounded_batches(rows).mapInArrow(run, "id long, ids binary, counts binary")
 
 
 def _narrow(ids: np.ndarray) -> bytes:
@@ -237,7 +237,8 @@ def write_token_files(
     documents = rows.where("counts IS NULL").select("id", "row", "ids")
     ordered = documents.repartitionByRange("id", "row").sortWithinPartitions("id", "row").select("id", "ids")
     files = ordered.mapInArrow(run, "file string, part int, number int, documents long, tokens long")
-    return cut_lineage(files), rank_file
+    # A row per file: one task writes the table, not each of those that write token files.
+    return cut_lineage(files.repartition(1)), rank_file
 
 
 def read_token_files(files: DataFrame, rank_file: str) -> DataFrame:
@@ -269,6 +270,9 @@ def read_token_files(files: DataFrame, rank_file: str) -> DataFrame:
                         ["id", "start", "ids"],
                     )
 
-    # A task per file; their rows are too small to tell how much work they are.
-    rows = placed.select("file", "start").repartition(max(1, files.count()))
+    # Rows are too small to tell how much work their files are: a task for so many tokens as
+    # close a file, or for every core, and for one file at least.
+    n_files, n_tokens = files.agg(F.count("*"), F.coalesce(F.sum("tokens"), F.lit(0))).first()
+    tasks = max(-(-n_tokens // FILE_TOKENS), 2 * files.sparkSession.sparkContext.defaultParallelism)
+    rows = placed.select("file", "start").repartition(max(1, min(n_files, tasks)))
     return rows.mapInArrow(run, "id long, start long, ids binary")

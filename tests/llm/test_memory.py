@@ -11,6 +11,7 @@ from loanlens.llm.ngram_join import ngram_join
 from loanlens.llm.packing import token_pieces
 from loanlens.llm.quality import quality_scores
 from loanlens.llm.secret_scan import find_secrets
+from loanlens.llm.token_files import write_token_files
 from loanlens.llm.tokens import encoded
 
 PATH = "/opt/tokenizers/byte_bpe_50k.json"
@@ -54,12 +55,13 @@ def test_python_tasks_get_batches_of_bounded_bytes(unlimited):
     assert unlimited.conf.get(BATCH_LIMIT) == "1m"
 
 
-def test_operators_on_texts_bound_their_batches(unlimited):
+def test_operators_on_texts_bound_their_batches(unlimited, tmp_path):
     docs = unlimited.createDataFrame([(1, "a b c")], "doc_id long, text string")
     labels = unlimited.createDataFrame([(1, 1)], "doc_id long, quality int")
     for run in (
         lambda: find_secrets(docs),
         lambda: token_pieces(docs, PATH),
+        lambda: write_token_files(docs, PATH, f"file:{tmp_path}"),
         lambda: ngram_join(docs),
         lambda: quality_scores(docs, labels),
     ):

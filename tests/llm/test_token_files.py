@@ -68,3 +68,14 @@ def test_documents_round_trip(spark):
 def test_empty_table(spark):
     files, ranks = op.write_token_files(documents(spark, []), PATH, new_folder(spark, "test"))
     assert files.count() == 0 and op.read_token_files(files, ranks).count() == 0
+
+
+def test_small_files_share_a_task_and_their_table_is_one_file(spark):
+    texts = [" ".join(sentence(i, 40)) for i in range(60)]
+    df = documents(spark, texts).repartition(3)
+    files, ranks = op.write_token_files(df, PATH, new_folder(spark, "test"), file_tokens=50)
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    assert files.count() > tasks and len(files.inputFiles()) == 1
+    found = op.read_token_files(files, ranks)
+    assert found.rdd.getNumPartitions() <= tasks
+    assert sorted(r["id"] for r in found.collect()) == list(range(60))
