@@ -132,6 +132,10 @@ def statistics_of(text_col: str) -> Column:
 # -- rules --------------------------------------------------------------------------------
 
 
+# Rows of the fit that are worth a task of their own, in each of its hundreds of short jobs.
+TASK_ROWS = 25_000
+
+
 class Rule(NamedTuple):
     """Conditions low < statistic <= high, joined; by name of the statistic."""
 
@@ -147,6 +151,32 @@ class Rule(NamedTuple):
         return out
 
 
+def rule_flags(rules: list[Rule]) -> Column:
+    """One byte per rule over rows with the statistics: 1 where it holds.
+
+    The rules are the task's own data. All rules of a forest as one column expression take
+    about 100 MB of the driver while they are planned.
+    """
+    place = {name: k for k, name in enumerate(STATISTICS)}
+    cuts = [[(place[name], low, high) for name, low, high in rule.conditions] for rule in rules]
+
+    @F.arrow_udf("array<tinyint>")
+    def found(statistics: pa.Array) -> pa.Array:
+        columns = [c.to_numpy(zero_copy_only=False) for c in statistics.flatten()]
+        flags = np.ones((len(statistics), len(cuts)), np.int8)
+        for j, conditions in enumerate(cuts):
+            for k, low, high in conditions:
+                # NaN is above all cuts, as it is for Spark and in the score's column.
+                if low > -math.inf:
+                    flags[:, j] &= ~(columns[k] <= low)
+                if high < math.inf:
+                    flags[:, j] &= columns[k] <= high
+        ends = np.arange(len(statistics) + 1, dtype=np.int32) * np.int32(len(cuts))
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flags.ravel()))
+
+    return found(F.struct(*STATISTICS))
+
+
 class Ensemble(NamedTuple):
     """Rules with weights; ``score`` is the column of the probability."""
 
@@ -215,11 +245,13 @@ def fit_rules(rows: DataFrame, training: Training = Training()) -> Ensemble:
     rules = tree_rules(node_table(forest), STATISTICS)
     if not rules:
         return Ensemble(math.log((good + 1) / (n - good + 1)), ())
-    flags = rows.select("label", F.array(*[r.column().cast("double") for r in rules]).alias("flags"))
-    vectors = flags.select("label", array_to_vector("flags").alias("features"))
+    flags = rule_flags(rules).cast("array<double>")
+    vectors = cut_lineage(rows.select("label", array_to_vector(flags).alias("features")))
+    # Every evaluation of the loss is a job. In few tasks it is one stage, and the driver makes
+    # one copy of the task for all executors instead of one per level of the sum.
     lasso = LogisticRegression(
         elasticNetParam=1.0, regParam=training.penalty, maxIter=100, standardization=False
-    ).fit(cut_lineage(vectors))
+    ).fit(vectors.coalesce(math.ceil(n / TASK_ROWS)))
     weights = [(r, float(w)) for r, w in zip(rules, lasso.coefficients) if w != 0.0]
     return Ensemble(float(lasso.intercept), tuple(weights))
 

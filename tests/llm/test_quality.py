@@ -85,3 +85,41 @@ def test_tree_paths_become_rules(spark):
     assert {r.conditions[0] for r in op.tree_rules(df.withColumn("x", F.lit(1)), ("a",))} == {
         ("a", -inf, 5.0), ("a", 5.0, inf), ("a", -inf, 2.0), ("a", 2.0, 5.0),
     }
+
+
+def test_rule_flags_are_the_rules_columns(spark):
+    rng = random.Random(3)
+    rows = [[rng.choice([0.0, 0.25, 0.5, 1.0, math.nan]) for _ in op.STATISTICS] for _ in range(40)]
+    df = spark.createDataFrame(rows, ", ".join(f"{s} double" for s in op.STATISTICS))
+    inf, (a, b, *_) = math.inf, op.STATISTICS
+    rules = [op.Rule(((a, -inf, 0.25),)), op.Rule(((a, 0.25, inf),)), op.Rule(((a, 0.0, 0.5), (b, 0.25, inf)))]
+    flags = op.rule_flags(rules).alias("flags")
+    found = df.select(flags, *[r.column().cast("int").alias(f"r{k}") for k, r in enumerate(rules)]).collect()
+    assert [list(r[0]) for r in found] == [list(r[1:]) for r in found]
+    assert len({tuple(r[0]) for r in found}) > 3
+    assert df.limit(0).select(flags).collect() == []
+
+
+def test_the_fit_has_short_plans_and_a_stage_per_evaluation(spark, monkeypatch):
+    # Seven files are seven tasks; sums over so many go in three stages per evaluation.
+    n = 350
+    labelled = spark.range(0, n, 1, 7).select(
+        (F.col("id") % 2).cast("double").alias("label"),
+        *[((F.col("id") * (k + 3) + F.col("id") % 2 * 40) % 101).cast("double").alias(s) for k, s in enumerate(op.STATISTICS)],
+    )
+    written = []
+    monkeypatch.setattr(op, "cut_lineage", lambda df, cut=op.cut_lineage: written.append(df) or cut(df))
+    spark.conf.set("spark.sql.files.openCostInBytes", "512m")
+    context = spark.sparkContext
+    context.setJobGroup("fit", "fit")
+    try:
+        ensemble = op.fit_rules(labelled, SMALL)
+    finally:
+        context.setJobGroup("none", "none")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert ensemble.rules
+    tracker = context.statusTracker()
+    jobs = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup("fit")]
+    assert len(jobs) > 20 and sum(len(job.stageIds) for job in jobs) < 1.5 * len(jobs)
+    # The rules are data: the plan of their flags doesn't grow with them.
+    assert len(written[-1]._jdf.queryExecution().analyzed().toJSON()) < 60_000
