@@ -13,7 +13,8 @@ conditions that it meets. So the rows of a batch are grouped, for every small su
 bottom of a tree, by the conditions on the way to it and its own splits, and the values are
 worked out once per combination that occurs: products are carried down from its root, sums
 over leaves up again; an edge that meets a feature for a second time takes the earlier
-factor out. A row only looks its combination up.
+factor out. A row only looks its combination up. That is done in two steps: rows that a larger
+subtree does not tell apart are one row for the small ones in it.
 
 The ensemble is a table of nodes that Spark ML writes with the model. Executors turn each
 tree into arrays of edges; these are shipped to the tasks in pieces of a checked size; the
@@ -29,7 +30,6 @@ from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,10 +40,18 @@ from loanlens.session import checkpoint_folder, cut_lineage
 
 # Edges sent with one pass over the rows; larger ensembles take several passes.
 MAX_PASS_BYTES = 64 << 20
+# Rows that are worked on together.
+MAX_ROW_BYTES = 64 << 20
 # Nodes that Spark writes at once.
 MAX_WRITE_NODES = 1 << 16
 # Splits of the subtrees whose rows are grouped by the conditions that they meet.
-CHUNK_SPLITS = 4
+CHUNK_SPLITS = 6
+# Splits of larger subtrees, in which one row stands for all alike, and rows that are worth it.
+REGION_SPLITS = 32
+REGION_ROWS = 4096
+# Keys of rows are numbered before they pass 2 to this power; through a table if it has no more entries.
+REGION_BITS = 18
+MOST_TABLE = 1 << 24
 # Up to so many conditions, combinations are numbered through a table instead of by sorting.
 TABLE_BITS = 16
 
@@ -83,6 +91,9 @@ def _written_nodes(model) -> DataFrame:
     """The nodes as Spark writes them. It sends a model to a single task for that, so a large
     ensemble is written as several smaller ones, which neither fill the driver nor a message."""
     spark = SparkSession.getActiveSession()
+    written = getattr(model, "node_path", None)
+    if written is not None:
+        return spark.read.parquet(written)
     path = f"{checkpoint_folder(spark)}/ensemble-{uuid.uuid4().hex}"
     if model.totalNumNodes <= MAX_WRITE_NODES:
         model.write().save(path)
@@ -241,23 +252,56 @@ def _tables(level: Level, t: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.
     return ratio, gain * w
 
 
+def _numbered(key: np.ndarray, size: int) -> tuple[int, np.ndarray]:
+    """How many of the keys below ``size`` occur, and the number of every row's."""
+    if size > MOST_TABLE:
+        found, place = np.unique(key, return_inverse=True)
+        return len(found), place.astype(np.uint32)
+    key = key.astype(np.intp)
+    seen = np.zeros(size, bool)
+    seen[key] = True
+    found = np.flatnonzero(seen)
+    number = np.empty(size, np.uint32)
+    number[found] = np.arange(len(found))
+    return len(found), number.take(key)
+
+
+def _thresholds(trees: list[list[bytes]], features: int) -> list[np.ndarray]:
+    """All bounds of the trees' edges, by feature: rows matter only by their place among them."""
+    edges = np.concatenate([np.frombuffer(level, _EDGE) for tree in trees for level in tree])
+    feature = np.concatenate([edges["feature"], edges["feature"]])
+    bound = np.concatenate([edges["low"], edges["high"]])
+    order = np.lexsort((bound, feature))
+    feature, bound = feature[order], bound[order]
+    kept = np.isfinite(bound)
+    kept[1:] &= (feature[1:] != feature[:-1]) | (bound[1:] != bound[:-1])
+    feature, bound = feature[kept], bound[kept]
+    first = np.searchsorted(feature, np.arange(features + 1))
+    return [bound[a:b] for a, b in zip(first, first[1:])]
+
+
 def shapley(trees: list[list[bytes]], x: np.ndarray) -> np.ndarray:
     """Shapley values, rows by features, of the sum of the trees."""
-    columns = np.ascontiguousarray(x.T, dtype=float)
-    out = np.zeros_like(columns)
-    for tree in trees:
-        if tree and len(x):
-            _TreeValues(tree, columns, out).add()
+    out = np.zeros((x.shape[1], len(x)))
+    trees = [tree for tree in trees if tree]
+    if trees and len(x):
+        cuts = _thresholds(trees, x.shape[1])
+        places = [np.searchsorted(c, x[:, f]).astype(np.min_scalar_type(len(c))) for f, c in enumerate(cuts)]
+        for tree in trees:
+            _TreeValues(tree, cuts, places, out).add()
     return out.T
 
 
 class _TreeValues:
-    """Adds the Shapley values of one tree to ``out``; ``x`` and ``out`` are features by rows."""
+    """Adds the Shapley values of one tree to ``out``; ``x`` and ``out`` are features by rows.
+
+    ``x`` are places among the thresholds ``cuts`` of a feature: of how many it lies above.
+    """
 
-    def __init__(self, tree: list[bytes], x: np.ndarray, out: np.ndarray) -> None:
+    def __init__(self, tree: list[bytes], cuts: list[np.ndarray], x: list[np.ndarray], out: np.ndarray) -> None:
         edges = [np.frombuffer(level, _EDGE) for level in tree]
         levels = [Level(*(e[f] for f in Level._fields)) for e in edges]
-        self.x, self.out = x, out
+        self.x, self.out, self.levels = x, out, levels
         t, w = np.polynomial.legendre.leggauss((len(levels) + 1) // 2)
         self.t, self.w = (t + 1) / 2, w / 2
         tables = [_tables(level, self.t, self.w) for level in levels]
@@ -278,27 +322,67 @@ class _TreeValues:
         # The right child's interval starts at the threshold, or above it if that cuts nothing off.
         feature, low = (np.concatenate([e[f] for e in edges]) for f in ("feature", "low"))
         self.feature = np.where(first > 0, feature[first - 1], -1).tolist()
-        self.cut = np.where(first > 0, low[np.minimum(first, len(low) - 1)], 0.0).tolist()
+        cut = np.where(first > 0, low[np.minimum(first, len(low) - 1)], 0.0)
+        self.cut = [int(np.searchsorted(cuts[f], c)) if f >= 0 else 0 for f, c in zip(self.feature, cut)]
 
     def add(self) -> None:
-        """Down the tree: bit i of a row's key says that it meets all conditions on feature i of the path."""
-        todo = [(0, np.zeros(self.x.shape[1], np.int64), {}, {})]
+        rows = len(self.x[0])
+        key = np.zeros(rows, np.uint32 if len(self.levels) + CHUNK_SPLITS <= 32 else np.int64)
+        most = REGION_SPLITS if rows >= REGION_ROWS else CHUNK_SPLITS
+        for part in self._parts((0, key, {}, {}), self.x, most):
+            if self.splits[part[0]] <= CHUNK_SPLITS:
+                self._add_chunk(*part, self.x, self.out)
+            else:
+                self._add_region(*part)
+
+    def _parts(self, part: tuple, x, most: int) -> Iterator[tuple]:
+        """Down the tree to subtrees of at most so many splits, with what lies above them: bit i
+        of a row's key says that it meets all conditions on feature i of the path."""
+        todo = [part]
         while todo:
             node, key, bit, share = todo.pop()
-            if self.splits[node] <= CHUNK_SPLITS:
-                self._add_chunk(node, key, bit, share)
+            if self.splits[node] <= most:
+                yield node, key, bit, share
                 continue
             feature, child = self.feature[node], self.first[node]
-            is_left = self.x[feature] <= self.cut[node]
+            is_left = x[feature] <= self.cut[node]
             known = bit.get(feature)
             for down, stays in ((child, is_left), (child + 1, ~is_left)):
                 if known is None:
-                    new = key | (stays.astype(np.int64) << len(bit))
+                    new = key | (stays.astype(key.dtype) << len(bit))
                 else:
-                    new = key & (stays.astype(np.int64) << known | ~(1 << known))
+                    new = key & ~((~stays).astype(key.dtype) << known)
                 todo.append((down, new, bit | {feature: bit.get(feature, len(bit))}, share | {feature: self.share[down]}))
 
-    def _add_chunk(self, root: int, key: np.ndarray, bit: dict[int, int], share: dict[int, float]) -> None:
+    def _add_region(self, root: int, key: np.ndarray, bit: dict[int, int], share: dict[int, float]) -> None:
+        """One row stands for all that no condition above and in a subtree tells apart."""
+        nodes, cuts = [root], {}
+        for node in nodes:
+            if self.first[node]:
+                cuts.setdefault(self.feature[node], set()).add(self.cut[node])
+                nodes += [self.first[node], self.first[node] + 1]
+        size, place = _numbered(key, 1 << len(bit))
+        for feature, own in cuts.items():
+            if size * (len(own) + 1) > 1 << REGION_BITS:
+                size, place = _numbered(place, size)
+            above = np.zeros(len(key), np.uint8)
+            for cut in own:
+                above += self.x[feature] > cut
+            place *= len(own) + 1
+            place += above
+            size *= len(own) + 1
+        size, place = _numbered(place, size)
+        place = place.astype(np.intp)
+        row = np.empty(size, np.intp)
+        row[place] = np.arange(len(place))
+        found = {f: np.zeros(size) for f in bit | cuts}
+        x = {f: self.x[f].take(row) for f in cuts}
+        for part in self._parts((root, key.take(row), bit, share), x, CHUNK_SPLITS):
+            self._add_chunk(*part, x, found)
+        for feature, values in found.items():
+            self.out[feature] += values.take(place)
+
+    def _add_chunk(self, root: int, key: np.ndarray, bit: dict[int, int], share: dict[int, float], x, out) -> None:
         nodes, inner = [root], {}
         for node in nodes:
             if self.first[node]:
@@ -307,8 +391,8 @@ class _TreeValues:
         if inner:
             key = key.copy()
         for node, place in inner.items():
-            key |= (self.x[self.feature[node]] <= self.cut[node]).astype(np.int64) << place
-        codes, place = _combinations(key, len(bit) + len(inner))
+            key |= (x[self.feature[node]] <= self.cut[node]).astype(key.dtype) << place
+        codes, place = _combinations(key.astype(np.int64), len(bit) + len(inner))
         # Factors and gains of the path's features; those of features not met any more are 1 and 0.
         met = {f: (codes >> i & 1).astype(np.intp) for f, i in bit.items()}
         s, o = np.array(list(share.values()))[:, None, None], np.array([0.0, 1.0])[:, None]
@@ -346,23 +430,45 @@ class _TreeValues:
                 own = np.where(met[feature], sums[:, i, 1], sums[:, i, 0])
                 found[feature] = found.get(feature, 0.0) + own
         for feature, values in found.items():
-            self.out[feature] += values.take(place)
+            out[feature] += values.take(place)
 
 
 # --- As a column -----------------------------------------------------------------
 
 
+def _rows(batch: pa.Array) -> np.ndarray:
+    return batch.flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+
+
 def attribution_udf(trees: list[list[bytes]]) -> Callable[[Column], Column]:
     """Shapley values of some trees as an Arrow-batched function.
 
-    Their bytes are broadcast, and freed with the plan that uses them.
+    Their bytes are broadcast, and freed with the plan that uses them. Batches are taken
+    together up to a size: the more rows, the more of them share their values.
     """
     shared = SparkSession.getActiveSession().sparkContext.broadcast(trees)
 
-    @F.pandas_udf("array<double>")
-    def attribute(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def values(batches: list[pa.Array]) -> Iterator[pa.Array]:
+        found = np.ascontiguousarray(shapley(shared.value, np.vstack([_rows(b) for b in batches])))
+        for batch in batches:
+            own, found = found[: len(batch)], found[len(batch) :]
+            ends = np.arange(len(batch) + 1, dtype=np.int32) * own.shape[1]
+            yield pa.ListArray.from_arrays(ends, own.reshape(-1))
+
+    @F.arrow_udf("array<double>")
+    def attribute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        held, size = [], 0
         for batch in batches:
-            yield pd.Series(list(shapley(shared.value, np.vstack(batch.to_numpy())))) if len(batch) else batch
+            if not len(batch):
+                yield pa.array([], pa.list_(pa.float64()))
+                continue
+            held.append(batch)
+            size += batch.nbytes
+            if size >= MAX_ROW_BYTES:
+                yield from values(held)
+                held, size = [], 0
+        if held:
+            yield from values(held)
 
     return attribute
 

@@ -7,7 +7,7 @@ from dataclasses import dataclass, replace
 from itertools import product
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import DataFrame
@@ -24,6 +24,7 @@ from loanlens.operators.candidates import (
 )
 from loanlens.operators.encode import encode_categoricals, get_model_features
 from loanlens.operators.evaluation import evaluate
+from loanlens.operators.forest import fit_forest, grows_alone
 from loanlens.operators.impute import fill, median_values
 from loanlens.operators.model import TrainedModel
 from loanlens.operators.split import assign_folds, stratified_split
@@ -158,7 +159,13 @@ def fit_candidate(
             StandardScaler(inputCol="raw", outputCol=FEATURE_VECTOR, withMean=False)
         )
     stages.append(candidate.build(counts))
-    fitted = Pipeline(stages=stages).fit(_weighted(rows, candidate, counts))
+    weighted = _weighted(rows, candidate, counts)
+    if name == "forest" and grows_alone(stages[-1], rows.count(), len(features)):
+        before = Pipeline(stages=stages[:-1]).fit(weighted)
+        forest = fit_forest(stages[-1], before.transform(weighted), candidate.weights(counts))
+        fitted = PipelineModel([*before.stages, forest])
+    else:
+        fitted = Pipeline(stages=stages).fit(weighted)
     means = rows.agg(*[F.avg(col(f)).alias(f"m{i}") for i, f in enumerate(features)]).first()
     background = {f: float(means[f"m{i}"]) for i, f in enumerate(features)}
     return TrainedModel(name, fitted, features, medians or {}, background)

@@ -76,7 +76,10 @@ def spread(df: DataFrame) -> DataFrame:
     """
     rows = df.count()
     cores = df.sparkSession.sparkContext.defaultParallelism
-    tasks = max(min(cores, rows // FEWEST_ROWS), math.ceil(rows / MOST_ROWS))
+    tasks = min(cores, rows // FEWEST_ROWS)
+    if rows > MOST_ROWS * cores:
+        # A reader packs several files into a task; as many files per core leave no core behind.
+        tasks = cores * math.ceil(rows / (MOST_ROWS * cores))
     if tasks <= 1:
         return df
     columns = [col(c) for c in df.columns]
