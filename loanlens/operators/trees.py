@@ -268,34 +268,42 @@ def _numbered(key: np.ndarray, size: int) -> tuple[int, np.ndarray]:
 
 def _thresholds(trees: list[list[bytes]], features: int) -> list[np.ndarray]:
     """All bounds of the trees' edges, by feature: rows matter only by their place among them."""
-    edges = np.concatenate([np.frombuffer(level, _EDGE) for tree in trees for level in tree])
-    feature = np.concatenate([edges["feature"], edges["feature"]])
-    bound = np.concatenate([edges["low"], edges["high"]])
-    order = np.lexsort((bound, feature))
-    feature, bound = feature[order], bound[order]
-    kept = np.isfinite(bound)
-    kept[1:] &= (feature[1:] != feature[:-1]) | (bound[1:] != bound[:-1])
-    feature, bound = feature[kept], bound[kept]
-    first = np.searchsorted(feature, np.arange(features + 1))
-    return [bound[a:b] for a, b in zip(first, first[1:])]
+    feature, bound = [], []
+    for tree in trees:
+        edges = np.concatenate([np.frombuffer(level, _EDGE) for level in tree])
+        for side in ("low", "high"):
+            kept = np.isfinite(edges[side])
+            feature.append(edges["feature"][kept])
+            bound.append(edges[side][kept])
+    feature, bound = np.concatenate(feature), np.concatenate(bound)
+    return [np.unique(bound[feature == f]) for f in range(features)]
+
+
+def _places(x: np.ndarray, cuts: list[np.ndarray]) -> list[np.ndarray]:
+    """Of how many thresholds of a feature a row lies above."""
+    return [np.searchsorted(c, x[:, f]).astype(np.min_scalar_type(len(c))) for f, c in enumerate(cuts)]
+
+
+def _values(trees: list[list[bytes]], cuts: list[np.ndarray], places: list[np.ndarray]) -> np.ndarray:
+    out = np.zeros((len(places), len(places[0])))
+    for tree in trees:
+        _TreeValues(tree, cuts, places, out).add()
+    return out
 
 
 def shapley(trees: list[list[bytes]], x: np.ndarray) -> np.ndarray:
     """Shapley values, rows by features, of the sum of the trees."""
-    out = np.zeros((x.shape[1], len(x)))
     trees = [tree for tree in trees if tree]
-    if trees and len(x):
-        cuts = _thresholds(trees, x.shape[1])
-        places = [np.searchsorted(c, x[:, f]).astype(np.min_scalar_type(len(c))) for f, c in enumerate(cuts)]
-        for tree in trees:
-            _TreeValues(tree, cuts, places, out).add()
-    return out.T
+    if not trees or not len(x):
+        return np.zeros(x.shape)
+    cuts = _thresholds(trees, x.shape[1])
+    return _values(trees, cuts, _places(x, cuts)).T
 
 
 class _TreeValues:
     """Adds the Shapley values of one tree to ``out``; ``x`` and ``out`` are features by rows.
 
-    ``x`` are places among the thresholds ``cuts`` of a feature: of how many it lies above.
+    ``x`` are places among the thresholds ``cuts`` of a feature.
     """
 
     def __init__(self, tree: list[bytes], cuts: list[np.ndarray], x: list[np.ndarray], out: np.ndarray) -> None:
@@ -436,39 +444,49 @@ class _TreeValues:
 # --- As a column -----------------------------------------------------------------
 
 
-def _rows(batch: pa.Array) -> np.ndarray:
-    return batch.flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+def _shared_values(trees: list[list[bytes]], batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Shapley values of batches, which are taken together up to a size. Only the places of
+    their values are held, a byte or two each, and the values that come out."""
+    trees = [tree for tree in trees if tree]
+    cuts, held, size = [], [], 0
+
+    def found() -> Iterator[pa.Array]:
+        lengths = [len(places[0]) for places in held]
+        places = [np.concatenate(own) for own in zip(*held)]
+        held.clear()
+        values = _values(trees, cuts, places)
+        first = 0
+        for n in lengths:
+            own = values[:, first : first + n].T.reshape(-1)
+            yield pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32) * len(values), own)
+            first += n
+
+    for batch in batches:
+        if not len(batch):
+            yield pa.array([], pa.list_(pa.float64()))
+            continue
+        x = batch.flatten().to_numpy(zero_copy_only=False).reshape(len(batch), -1)
+        cuts = cuts or (_thresholds(trees, x.shape[1]) if trees else [np.empty(0)] * x.shape[1])
+        held.append(_places(x, cuts))
+        size += x.nbytes
+        if size >= MAX_ROW_BYTES:
+            yield from found()
+            size = 0
+    if held:
+        yield from found()
 
 
 def attribution_udf(trees: list[list[bytes]]) -> Callable[[Column], Column]:
     """Shapley values of some trees as an Arrow-batched function.
 
-    Their bytes are broadcast, and freed with the plan that uses them. Batches are taken
-    together up to a size: the more rows, the more of them share their values.
+    Their bytes are broadcast, and freed with the plan that uses them. The more rows are
+    taken together, the more of them share their values.
     """
     shared = SparkSession.getActiveSession().sparkContext.broadcast(trees)
 
-    def values(batches: list[pa.Array]) -> Iterator[pa.Array]:
-        found = np.ascontiguousarray(shapley(shared.value, np.vstack([_rows(b) for b in batches])))
-        for batch in batches:
-            own, found = found[: len(batch)], found[len(batch) :]
-            ends = np.arange(len(batch) + 1, dtype=np.int32) * own.shape[1]
-            yield pa.ListArray.from_arrays(ends, own.reshape(-1))
-
     @F.arrow_udf("array<double>")
     def attribute(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        held, size = [], 0
-        for batch in batches:
-            if not len(batch):
-                yield pa.array([], pa.list_(pa.float64()))
-                continue
-            held.append(batch)
-            size += batch.nbytes
-            if size >= MAX_ROW_BYTES:
-                yield from values(held)
-                held, size = [], 0
-        if held:
-            yield from values(held)
+        yield from _shared_values(shared.value, batches)
 
     return attribute
 
@@ -493,7 +511,8 @@ def add_tree_attributions(
     trees = packed_trees(model) if trees is None else trees
     sizes = [tuple(r) for r in trees.select("tree", "bytes").orderBy("tree").collect()]
     for first, last in _runs(sizes, MAX_PASS_BYTES):
-        piece = trees.where(F.col("tree").between(first, last)).select("edges").collect()
+        # Row by row: a piece lies in the driver once.
+        piece = trees.where(F.col("tree").between(first, last)).select("edges").toLocalIterator()
         edges = [[bytes(level) for level in r["edges"]] for r in piece]
         total = F.zip_with(total, attribution_udf(edges)(x), lambda a, b: a + b)
     return df.withColumn(name, total)

@@ -193,28 +193,27 @@ def test_rows_that_a_region_does_not_tell_apart_are_one():
     assert np.allclose(shapley([packed], x[::2]), found[::2], atol=1e-12)
 
 
-def test_batches_are_worked_on_together(spark, rows, both, monkeypatch, tmp_path):
-    model, seen, plain = both[1], tmp_path / "seen", trees.shapley
-
-    def counted(edges, x):
-        with open(seen, "a") as f:
-            f.write(f"{len(x)}\n")
-        return plain(edges, x)
-
-    monkeypatch.setattr(trees, "shapley", counted)
-    monkeypatch.setattr(trees, "MAX_ROW_BYTES", 40_000)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
-    try:
-        one = cut_lineage(rows.coalesce(1))
-        found = model.add_attributions(one)
-        assert found.select(F.sum(F.aggregate("attributions", F.lit(0.0), lambda a, v: a + v))).count() == 1
-        out = found.toPandas()
-    finally:
-        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
-    sizes = [int(line) for line in seen.read_text().split()]
-    assert len(out) == 3000 and sum(sizes) % 3000 == 0 and max(sizes) > 1000
-    whole = {tuple(r[:-1]): r.attributions for r in model.add_attributions(rows).collect()}
-    assert all(np.allclose(whole[tuple(r[:-1])], r[-1]) for r in out.itertuples(index=False))
+def test_batches_are_worked_on_together(monkeypatch):
+    """As many batches as a size allows; before, each was worked on alone."""
+    rng = np.random.default_rng(3)
+    x = np.hstack([rng.normal(size=(4000, 6)), rng.random((4000, 4)) < 0.3]).astype(float)
+    _, packed, _, _ = deep_tree(rng, x, 10)
+    sizes, plain = [], trees._values
+
+    def counted(edges, cuts, places):
+        sizes.append(len(places[0]))
+        return plain(edges, cuts, places)
+
+    monkeypatch.setattr(trees, "_values", counted)
+    monkeypatch.setattr(trees, "MAX_ROW_BYTES", 1500 * 10 * 8)
+    batches = [pa.array(x[a:b].tolist(), pa.list_(pa.float64())) for a, b in ((0, 1000), (0, 0), (1000, 2500), (2500, 4000), (0, 7))]
+    found = list(trees._shared_values([packed, []], iter(batches)))
+    assert sizes == [2500, 1500, 7] and sorted(map(len, found)) == sorted(map(len, batches))
+    values = [row for own in found for row in own.to_pylist()]
+    assert np.allclose(values, shapley([packed], x[[*range(4000), *range(7)]]), atol=1e-12)
+    assert list(trees._shared_values([packed], iter([]))) == []
+    (none,) = trees._shared_values([[]], iter(batches[:1]))
+    assert np.array_equal(none.to_pylist(), np.zeros((1000, 10)))
 
 
 def test_as_many_files_for_each_core(spark, monkeypatch):
