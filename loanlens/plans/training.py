@@ -160,7 +160,9 @@ def fit_candidate(
         )
     stages.append(candidate.build(counts))
     weighted = _weighted(rows, candidate, counts)
-    if name == "forest" and grows_alone(stages[-1], rows.count(), len(features)):
+    # A label that is neither good nor bad is left to Spark, which refuses it.
+    usual = name == "forest" and min(counts.good, counts.bad) > 0 and counts.good + counts.bad == rows.count()
+    if usual and grows_alone(stages[-1], counts.good + counts.bad, len(features)):
         before = Pipeline(stages=stages[:-1]).fit(weighted)
         forest = fit_forest(stages[-1], before.transform(weighted), candidate.weights(counts))
         fitted = PipelineModel([*before.stages, forest])
